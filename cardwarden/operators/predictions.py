@@ -7,11 +7,9 @@ from pyspark.sql import functions as F
 
 from cardwarden import fixed
 from cardwarden.functions.numeric import exact_decimal, whole
-from cardwarden.operators.joins import known_subset
+from cardwarden.operators.joins import known_subset, spread_join
 from cardwarden.operators.ordering import first_by
 
-LATEST = ["created_at"]
-
 
 def transaction_rows(scored: DataFrame, created_at: Column | None = None) -> DataFrame:
     """Requests in the types of the transaction table; labels are unknown when scoring."""
@@ -86,15 +84,9 @@ def score_once(requests: DataFrame, log: DataFrame, key: str, earliest: list[Col
         score(unseen).select(*names, F.lit("model").alias("source")))
 
 
-def attach_results(requests: DataFrame, results: DataFrame, key: str, salts: int = 16) -> DataFrame:
-    """Every request with its id's result, results being unique per id.
-
-    Requests for one id may be a third of the log.  They spread over ``salts`` copies of the
-    narrow result side, so no task receives them all.
-    """
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in requests.columns]), F.lit(salts)).cast("int")
-    copies = results.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return requests.withColumn("__salt", salt).join(copies, [key, "__salt"], "left").drop("__salt")
+def attach_results(requests: DataFrame, results: DataFrame, key: str) -> DataFrame:
+    """Every request with its id's result, results being unique per id; hot ids are spread."""
+    return spread_join(requests, results, key)
 
 
 def delete_cascade(transactions: DataFrame, predictions: DataFrame, keys: DataFrame,
