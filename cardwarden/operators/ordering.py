@@ -16,6 +16,7 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CELLS = 4096
 MAX_SPLITS = 1024
@@ -201,9 +202,10 @@ def first_by(df: DataFrame, key: str | list[str], order: list[Column], latest: b
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys]
-    packed = F.struct(
-        *[o.alias(f"__o{i}") for i, o in enumerate(order)], *[F.col(f"`{c}`") for c in rest]
-    )
-    pick = F.max(packed) if latest else F.min(packed)
+    row = F.struct(*[F.col(f"`{c}`") for c in rest])
+    place = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)])
+    if not any(isinstance(df.schema[c].dataType, T.MapType) for c in rest):
+        place = F.struct(place.alias("p"), row.alias("r"))  # equal places: the smaller row, always
+    pick = F.max_by(row, place) if latest else F.min_by(row, place)
     best = df.groupBy(*keys).agg(pick.alias("__row"))
     return best.select(*[F.col(k) if k in keys else F.col(f"__row.`{k}`").alias(k) for k in df.columns])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cardwarden.plans import monitoring, scoring, tables  # noqa: F401
+from cardwarden.plans import monitoring, scoring, streams, tables  # noqa: F401
 from cardwarden.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

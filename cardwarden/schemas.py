@@ -56,8 +56,11 @@ BUS_RECORD = T.StructType([
 ])
 
 
-def integral_names(schema: T.StructType) -> list[str]:
-    return [f.name for f in schema if isinstance(f.dataType, T.LongType)]
+def typed(text: Column, field: T.StructField) -> Column:
+    """A field sent as text in its declared type; null when it cannot be read."""
+    if isinstance(field.dataType, T.LongType):
+        return text.try_cast(T.DecimalType(24, 4)).try_cast("bigint")
+    return text.try_cast(field.dataType)
 
 
 # --- feature lists -----------------------------------------------------------------------------
@@ -106,16 +109,22 @@ def identifier_columns(columns: list[str]) -> list[str]:
 
 # --- conformance -------------------------------------------------------------------------------
 
-def conform(df: DataFrame, wanted: T.StructType, keep: list[str] = ()) -> DataFrame:
+def conform(df: DataFrame, wanted: T.StructType, keep: list[str] = (), extras: str | None = None) -> DataFrame:
     """The wanted columns in the wanted order; an absent one becomes a typed null.
 
-    One ``select``, so wide schemas do not grow the plan column by column.
+    ``extras`` names a map of undeclared fields as text to look absent ones up in.  One ``select``,
+    so wide schemas do not grow the plan column by column.
     """
     have = set(df.columns)
     cols: list[Column] = [F.col(f"`{c}`") for c in keep]
     for field in wanted:
-        source = F.col(f"`{field.name}`") if field.name in have else F.lit(None)
-        cols.append(source.cast(field.dataType).alias(field.name))
+        if field.name in have:
+            value = F.col(f"`{field.name}`").cast(field.dataType)
+        elif extras:
+            value = typed(F.col(extras)[field.name], field)
+        else:
+            value = F.lit(None).cast(field.dataType)
+        cols.append(value.alias(field.name))
     return df.select(*cols)
 
 

@@ -8,26 +8,21 @@ from pyspark.sql import types as T
 
 from cardwarden.functions.numeric import nan_to_null
 from cardwarden.functions.text import decode, raw_fields, undeclared
-from cardwarden.schemas import TRANSACTION, integral_names
+from cardwarden.schemas import TRANSACTION, typed
 
-WHOLE_AS_SENT = T.DecimalType(24, 4)
 POSITION = ["topic", "partition", "offset"]
 
 
 def parse_records(records: DataFrame, schema: T.StructType = TRANSACTION, keep: list[str] = POSITION) -> DataFrame:
     """The declared fields of each JSON value plus the record's position on the bus.
 
-    Whole numbers may be sent as ``13926.0``; a bigint field would read that as null, so they are
-    read as decimals and truncated.  A field that cannot be read is null and keeps its row.
+    Fields are taken as text and cast one by one: whole numbers sent as ``13926.0`` (a bigint field
+    would turn them into null) are truncated, and a field that cannot be read is null without
+    costing the row its other fields.
     """
-    whole = set(integral_names(schema))
-    wire = T.StructType([
-        T.StructField(f.name, WHOLE_AS_SENT if f.name in whole else f.dataType) for f in schema])
+    wire = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     parsed = records.select(*keep, F.from_json(decode(F.col("value")), wire).alias("t"))
-    fields = [
-        (F.col(f"t.`{f.name}`").try_cast("bigint") if f.name in whole else F.col(f"t.`{f.name}`")).alias(f.name)
-        for f in schema]
-    return nan_to_null(parsed.select(*fields, *keep))
+    return nan_to_null(parsed.select(*[typed(F.col(f"t.`{f.name}`"), f).alias(f.name) for f in schema], *keep))
 
 
 def parse_with_extras(records: DataFrame, schema: T.StructType = TRANSACTION,

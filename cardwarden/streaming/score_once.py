@@ -21,8 +21,8 @@ def score_batch(store: PredictionStore, score: Callable[[DataFrame], DataFrame],
                 rejects_path: str | None = None) -> Callable[[DataFrame, int], None]:
     """A micro-batch handler: parse, validate, score unseen ids, write both tables.
 
-    ``score`` adds fraud_probability, fraud_prediction, decision and threshold.  The stored latency
-    is the batch's scoring time per row.
+    ``score`` adds fraud_probability, fraud_prediction, decision and threshold; it also sees the
+    undeclared fields as the map ``extras``.  The stored latency is the batch's time per row.
     """
     def run(records: DataFrame, batch_id: int) -> None:
         if store.is_committed(batch_id):

@@ -33,7 +33,7 @@ def main() -> None:
             else:
                 verdict = f"rows only: {df.count()}"
         except Exception as e:  # noqa: BLE001
-            verdict = f"ERROR {type(e).__name__}: {str(e)[:600]}"
+            verdict = f"ERROR {type(e).__name__}: {' '.join(str(e).split())[:300]}"
         bad += not verdict.startswith(("ok", "rows"))
         print(f"{name:40s} {time.time() - start:6.2f}s  {verdict}", flush=True)
     print("failures:", bad)
