@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwarden import fixed
+from cardwarden.functions.once import once
 
 REQUIRED = [fixed.ID, fixed.TIME, fixed.AMOUNT]
 
@@ -26,7 +27,7 @@ def reasons(raw: str, schema: T.StructType, required: list[str] = REQUIRED) -> C
 def with_reasons(parsed: DataFrame, schema: T.StructType, raw: str = "raw",
                  required: list[str] = REQUIRED) -> DataFrame:
     """Adds ``reasons``; parsing never drops a row, so rejected ones can be reported."""
-    return parsed.withColumn("reasons", reasons(raw, schema, required))
+    return parsed.select("*", once(reasons(raw, schema, required)).alias("reasons"))
 
 
 def accepted(checked: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = sys.argv[2:]
     spark = build_session("oracles", "local[8]", spark__sql__shuffle__partitions="8",
-                          spark__driver__memory="12g")
+                          spark__driver__memory="12g", spark__ui__showConsoleProgress="false")
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle.connect(sf_dir)
     sql = entry_points.oracle_sql()
