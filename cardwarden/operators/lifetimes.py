@@ -80,10 +80,13 @@ def arming_requests(requests: DataFrame, key: str, time: str, request_id: str,
     lifetime = int(round(ttl_seconds * ticks_per_second))
     if lifetime <= 0:
         raise ValueError("the lifetime must be greater than zero")
-    tick = F.floor(F.unix_micros(F.col(time).cast("timestamp")) * ticks_per_second / F.lit(1_000_000))
+    # Whole-number division: microseconds since 1970 times a thousand do not fit a double.
+    width = 1_000_000 // ticks_per_second
+    micros = f"unix_micros(CAST(`{time}` AS TIMESTAMP))"
+    tick = F.expr(f"({micros} - pmod({micros}, {width})) div {width}")
     # Requests of one id at one tick collapse on the map side; the first of them can arm.
     instants = materialise(
-        requests.groupBy(F.col(key).alias("id"), tick.cast("bigint").alias("t")).agg(
+        requests.groupBy(F.col(key).alias("id"), tick.alias("t")).agg(
             F.min(request_id).alias("rid")), "lookup-instants")
     span = instants.groupBy("id", F.expr(f"t div {lifetime}").alias("b")).agg(
         F.count("*").alias("n")).agg(
