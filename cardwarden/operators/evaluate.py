@@ -90,14 +90,14 @@ def ranking_metrics(df: DataFrame, score: str, label: str) -> DataFrame:
 
     Equal scores merge on the map side.  Score groups then go to buckets around approximate
     quantiles, which only balance the work; each bucket is ranked by itself and shifted by the
-    totals of the buckets above it (at most 1,025 rows).  AUC is null when a class is absent.
+    totals of the buckets above it (at most 512 rows).  AUC is null when a class is absent.
     """
     rows = df.select(F.col(score).cast("double").alias("s"), F.col(label).cast("int").alias("y")).where(
         F.col("s").isNotNull() & F.col("y").isNotNull())
     grid = [i / MAX_SPLITS for i in range(1, MAX_SPLITS)]
     info = rows.agg(
         F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("pos"),
-        F.percentile_approx("s", grid, 10_000).alias("grid"),
+        F.percentile_approx("s", grid, 4 * MAX_SPLITS).alias("grid"),
     ).first()
     positives, negatives = info.pos, info.n - info.pos
     grouped = rows.groupBy("s").agg(
@@ -109,12 +109,10 @@ def ranking_metrics(df: DataFrame, score: str, label: str) -> DataFrame:
         F.coalesce(F.sum("q").over(from_top), F.lit(0)).alias("neg_above"))
     down = Window.partitionBy("cell").orderBy(F.desc("s")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
+    inside = cells.select("cell", "pos", "neg", F.sum("pos").over(down).alias("p"), F.sum("neg").over(down).alias("q"))
     # The offsets are one row per bucket.
-    ranked = cells.join(F.broadcast(above), "cell").select(
-        "pos", "neg",
-        (F.col("pos_above") + F.sum("pos").over(down)).alias("tp"),
-        (F.col("neg_above") + F.sum("neg").over(down)).alias("fp"),
-    )
+    ranked = inside.join(F.broadcast(above), "cell").select(
+        "pos", "neg", (F.col("pos_above") + F.col("p")).alias("tp"), (F.col("neg_above") + F.col("q")).alias("fp"))
     # Twice the number of (positive, negative) pairs in right order; ties count one.
     won = F.sum(F.col("pos").cast("decimal(19,0)")
                 * (2 * (F.lit(negatives) - F.col("fp")) + F.col("neg")).cast("decimal(19,0)"))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cardwarden.functions.decision import direction
 from cardwarden.operators.models import RiskModel
 from cardwarden.operators.topk import top_per_group
-from cardwarden.session import work_path
+from cardwarden.session import fill_cores, work_path
 
 
 def _literal(values) -> Column:
@@ -130,7 +130,7 @@ def tree_attributions(model: RiskModel, df: DataFrame, key: str) -> DataFrame:
     spark = df.sparkSession
     leaves, base = tree_leaves(model, work_path(spark, "booster"))
     shared = spark.sparkContext.broadcast(leaves)
-    rows = model.features(df, [key]).select(key, vector_to_array("features").alias("x"))
+    rows = fill_cores(model.features(df, [key]).select(key, vector_to_array("features").alias("x")))
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches):

@@ -28,6 +28,13 @@ MAX_FAN = 4096
 START = np.iinfo(np.int64).min
 
 
+def _in_order(group: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Instants, leaving expiries and blocks by time; blocks ascend with time."""
+    t = group["t"].to_numpy()
+    order = np.argsort(t, kind="stable")
+    return t[order], group["leaving"].to_numpy()[order], group["block"].to_numpy()[order]
+
+
 def _children(block: np.ndarray):
     """Slices of equal block numbers in a sorted array."""
     edges = np.flatnonzero(np.diff(block)) + 1
@@ -44,30 +51,27 @@ def _advance(instants: np.ndarray, leaving: np.ndarray, expiry: np.ndarray) -> n
 def _summarise(span: int, lifetime: int):
     """One block out of its children: where each possible first arming instant leads."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        g = group.sort_values(["block", "t"])
-        t, out, block = g["t"].to_numpy(), g["leaving"].to_numpy(), g["block"].to_numpy()
-        parent = int(g["parent"].iloc[0])
+        t, out, block = _in_order(group)
+        parent = int(group["parent"].iat[0])
         # Entering expiries end inside the first bucket; after it only the very next instant counts.
         entries = t[: np.searchsorted(t, parent * span + lifetime, side="left") + 1]
         state = entries.copy()
         for lo, hi in _children(block):
             state = _advance(t[lo:hi], out[lo:hi], state)
-        return pd.DataFrame({"id": g["id"].iloc[0], "block": parent, "t": entries, "leaving": state})
+        return pd.DataFrame({"id": group["id"].iat[0], "block": parent, "t": entries, "leaving": state})
     return run
 
 
 def _hand_down(group: pd.DataFrame) -> pd.DataFrame:
     """The expiry that enters each child block."""
-    g = group.sort_values(["block", "t"])
-    t, out, block = g["t"].to_numpy(), g["leaving"].to_numpy(), g["block"].to_numpy()
-    state = np.array([g["entering"].iloc[0]])
-    rows = []
+    t, out, block = _in_order(group)
+    state = np.array([group["entering"].iat[0]])
+    blocks, entering = [], []
     for lo, hi in _children(block):
-        rows.append((block[lo], state[0]))
+        blocks.append(block[lo])
+        entering.append(state[0])
         state = _advance(t[lo:hi], out[lo:hi], state)
-    found = pd.DataFrame(rows, columns=["block", "entering"])
-    found.insert(0, "id", g["id"].iloc[0])
-    return found
+    return pd.DataFrame({"id": group["id"].iat[0], "block": blocks, "entering": entering})
 
 
 def arming_requests(requests: DataFrame, key: str, time: str, request_id: str,
@@ -97,13 +101,14 @@ def arming_requests(requests: DataFrame, key: str, time: str, request_id: str,
     buckets = span.last - span.first + 1
     fan = int(min(MAX_FAN, max(2, GROUP_ROWS // span.densest)))
 
+    tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shifted = (F.col("t") - F.lit(origin)).alias("t")
     levels = [instants.select(
         "id", F.expr(f"(t - {origin}) div {lifetime}").alias("block"), shifted,
         (F.col("t") - F.lit(origin) + F.lit(lifetime)).alias("leaving"))]
     widths = [1]
     while widths[-1] * fan < buckets:
-        below = levels[-1].withColumn("parent", F.expr(f"block div {fan}"))
+        below = levels[-1].withColumn("parent", F.expr(f"block div {fan}")).repartition(tasks, "id", "parent")
         level = below.groupBy("id", "parent").applyInPandas(
             _summarise(widths[-1] * fan * lifetime, lifetime),
             "id bigint, block bigint, t bigint, leaving bigint")
@@ -115,7 +120,8 @@ def arming_requests(requests: DataFrame, key: str, time: str, request_id: str,
         "id", F.lit(0).cast("bigint").alias("parent"), F.lit(int(START)).alias("entering")).distinct()
     for level in reversed(levels):
         below = level.withColumn("parent", F.expr(f"block div {fan}"))
-        handed = below.join(entering, ["id", "parent"]).groupBy("id", "parent").applyInPandas(
+        # A given task number: the rows are few bytes but much work, which size-based merging ignores.
+        handed = below.join(entering, ["id", "parent"]).repartition(tasks, "id", "parent").groupBy("id", "parent").applyInPandas(
             _hand_down, "id bigint, block bigint, entering bigint")
         entering = handed.withColumnRenamed("block", "parent")
     # In each bucket the first instant at or after the entering expiry arms.

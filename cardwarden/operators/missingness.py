@@ -13,6 +13,7 @@ from cardwarden.operators.ordering import exact_quantiles
 
 # Columns per aggregate: beyond this whole-stage code generation gives up on the row width.
 BLOCK = 100
+MOMENTS = ["count", "mean", "std", "min", "max"]
 
 
 def add_indicators(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -93,12 +94,11 @@ def describe(df: DataFrame, columns: list[str], probs: list[float] = fixed.DESCR
         return {"count": F.count(x), "mean": F.avg(x), "std": F.stddev_samp(x),
                 "min": F.min(x), "max": F.max(x)}
 
-    moments = _per_column(df, columns, measures)
-    points = exact_quantiles(df, columns, probs)
+    # One row per column reaches the driver; it also bounds the search for the percentiles.
+    moments = {r["column"]: r for r in _per_column(df, columns, measures).collect()}
+    bounds = {c: (r["count"], r["min"], r["max"]) for c, r in moments.items() if r["count"]}
+    points = exact_quantiles(df, columns, probs, bounds)
+    rows = [(c, *[moments[c][m] for m in MOMENTS], *points[c]) for c in columns]
     names = [f"p{round(p * 100):02d}" for p in probs]
-
-    def at(i: int) -> Column:
-        pairs = [e for c in columns for e in (F.lit(c), F.lit(points[c][i]).cast("double"))]
-        return F.create_map(*pairs)[F.col("column")]
-
-    return moments.select("*", *[at(i).alias(n) for i, n in enumerate(names)])
+    fields = ["column string", "count bigint", *[f"{n} double" for n in [*MOMENTS[1:], *names]]]
+    return df.sparkSession.createDataFrame(rows, ", ".join(fields))

@@ -16,7 +16,7 @@ from cardwarden.functions.decision import decision, flagged
 from cardwarden.operators.evaluate import class_weights
 from cardwarden.operators.features import feature_names, fit_features, label_weight
 from cardwarden.schemas import conform
-from cardwarden.session import use_checkpoints
+from cardwarden.session import fill_cores, use_checkpoints
 
 SCORE_COLUMNS = ["fraud_probability", "fraud_prediction", "decision", "threshold", "prediction_latency_ms"]
 
@@ -89,14 +89,15 @@ def _inputs(numeric: list[str], categorical: list[str]) -> T.StructType:
 
 
 def _fit(train: DataFrame, numeric, categorical, label, balanced, build, **features) -> RiskModel:
+    """``train`` should be a stored table: its columns are scanned once per statistics pass."""
     use_checkpoints(train.sparkSession)
     inputs = _inputs(numeric, categorical)
     rows = conform(train, inputs, keep=[label])
     transforms = fit_features(rows, numeric, categorical, **features)
     weights = class_weights(rows, label).first()
-    ready = transforms.transform(rows).select(
+    ready = fill_cores(transforms.transform(rows).select(
         "features", F.col(label).cast("double").alias("label"),
-        label_weight(weights, label, balanced).alias("weight"))
+        label_weight(weights, label, balanced).alias("weight")))
     classifier = build(weights).fit(ready)
     return RiskModel(PipelineModel([*transforms.stages, classifier]), inputs)
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CELLS = 4096
-MAX_SPLITS = 1024
+MAX_SPLITS = 512
 ROWS_PER_SPLIT = 50_000
 
 
@@ -119,10 +119,13 @@ def _narrow(long: DataFrame, pending: dict, cells: int) -> dict:
     }
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[float | None]]:
+def exact_quantiles(
+    df: DataFrame, columns: list[str], probs: list[float],
+    bounds: dict[str, tuple[int, float, float]] | None = None,
+) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles, nulls and NaN left out; all-null columns give None."""
     long = long_values(df, columns)
-    bounds = extent(long)
+    bounds = extent(long) if bounds is None else bounds
     spots = {
         c: [(n - 1) * p for p in probs] for c, (n, _, _) in bounds.items()
     }
@@ -156,10 +159,11 @@ def balanced_splits(n: int, grid: list[float] | None) -> list[float]:
 def bucketed(df: DataFrame, column: str, splits: list[float], output: str = "cell") -> DataFrame:
     """Monotone bucket number of a non-null double by binary search over the bounds."""
     if not splits:
-        return df.withColumn(output, F.lit(0.0))
-    return Bucketizer(
+        return df.withColumn(output, F.lit(0))
+    found = Bucketizer(
         splits=[-math.inf, *splits, math.inf], inputCol=column, outputCol=output
     ).transform(df)
+    return found.withColumn(output, F.col(output).cast("int"))
 
 
 def text_bounds(values: DataFrame, column: str, n: int = 128) -> list[str]:

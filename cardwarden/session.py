@@ -18,8 +18,6 @@ def build_session(app: str = "cardwarden", master: str | None = None, **conf) ->
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        # Parallelism first would keep tiny local partitions; size first suits big shuffles.
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "static",
@@ -61,6 +59,16 @@ def use_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
 
 
+def fill_cores(df: DataFrame) -> DataFrame:
+    """Rows spread over every core when a stored table has fewer partitions than that.
+
+    For work repeated over the same rows, such as a fit; big tables have more partitions and stay
+    as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def materialise(df: DataFrame, label: str = "table") -> DataFrame:
     """Cut lineage with a table in the shared folder; unlike a cache it outlives executors."""
     path = work_path(df.sparkSession, label)

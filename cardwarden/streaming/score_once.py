@@ -27,14 +27,18 @@ def score_batch(store: PredictionStore, score: Callable[[DataFrame], DataFrame],
     def run(records: DataFrame, batch_id: int) -> None:
         if store.is_committed(batch_id):
             return
-        checked = with_reasons(parse_with_extras(records), TRANSACTION)
-        if rejects_path:
-            rejected(checked).select(*TRANSACTION.names, "topic", "partition", "offset", "reasons").write.mode(
-                "overwrite").parquet(f"{rejects_path}/batch_id={batch_id}")
-        fresh = new_keys(accepted(checked), store.transactions().withColumnRenamed("transaction_id", fixed.ID),
-                         fixed.ID, earliest)
-        scored = score(fresh).persist()
+        # Parsed once, read for the rejects, the key lookup and the scoring.
+        checked = with_reasons(parse_with_extras(records), TRANSACTION).persist()
+        scored = None
         try:
+            if rejects_path:
+                rejected(checked).select(
+                    *TRANSACTION.names, "topic", "partition", "offset", "reasons").write.mode("overwrite").parquet(
+                    f"{rejects_path}/batch_id={batch_id}")
+            fresh = new_keys(
+                accepted(checked), store.transactions().withColumnRenamed("transaction_id", fixed.ID),
+                fixed.ID, earliest)
+            scored = score(fresh).persist()
             start = time.perf_counter()
             rows = scored.count()
             per_row = (time.perf_counter() - start) * 1000 / max(rows, 1)
@@ -43,5 +47,7 @@ def score_batch(store: PredictionStore, score: Callable[[DataFrame], DataFrame],
             store.commit(transaction_rows(timed, now),
                          prediction_rows(timed, model_name, model_version, created_at=now), batch_id)
         finally:
-            scored.unpersist()
+            checked.unpersist()
+            if scored is not None:
+                scored.unpersist()
     return run
