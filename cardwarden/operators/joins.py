@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardwarden import fixed
 from cardwarden.functions.numeric import percent
-from cardwarden.session import BROADCAST_ROWS
+from cardwarden.session import BROADCAST_ROWS, materialise
 
 PRESENT = "__present"
 
@@ -99,9 +99,10 @@ def recent_joined(predictions: DataFrame, transactions: DataFrame, key: str, ord
     """The newest n predictions with their transaction, if any.
 
     The limit runs before the join: transaction keys are unique, so it selects the same rows, and
-    only n keys meet the transaction table.
+    only n keys meet the transaction table.  The n rows are stored, as the join reads them twice and
+    the log should be scanned once.
     """
-    newest = predictions.orderBy(*order).limit(n)
+    newest = materialise(predictions.orderBy(*order).limit(n), "newest")
     # At most n keys and, the key being unique, at most n transactions.
     mine = transactions.join(F.broadcast(newest.select(key).distinct()), key, "left_semi")
     return newest.join(F.broadcast(mine), key, "left")

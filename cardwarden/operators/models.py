@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.functions import vector_to_array
@@ -83,6 +86,27 @@ class RiskModel:
         return cls(PipelineModel.load(f"{path}/pipeline"), T.StructType.fromJson(json.loads(text)))
 
 
+def score_external(df: DataFrame, load: Callable[[], Callable[[pd.DataFrame], np.ndarray]],
+                   inputs: T.StructType, key: str, threshold: float = fixed.THRESHOLD) -> DataFrame:
+    """Scoring by a model that is not a Spark ML one.
+
+    ``load`` runs once per task and returns a function from a batch of input columns to
+    probabilities; batches arrive as Arrow data, the decision is taken on the Spark side.
+    """
+    rows = conform(df, inputs, [key])
+    kind = rows.schema[key].dataType.simpleString()
+
+    def run(batches):
+        predict = load()
+        for batch in batches:
+            yield pd.DataFrame({key: batch[key], "fraud_probability": predict(batch[inputs.names])})
+
+    p = F.col("fraud_probability")
+    return rows.mapInPandas(run, f"`{key}` {kind}, fraud_probability double").select(
+        key, p, flagged(p, threshold).alias("fraud_prediction"), decision(p, threshold).alias("decision"),
+        F.lit(threshold).alias("threshold"), F.lit(None).cast("double").alias("prediction_latency_ms"))
+
+
 def _inputs(numeric: list[str], categorical: list[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.DoubleType()) for c in numeric]
                         + [T.StructField(c, T.StringType()) for c in categorical])

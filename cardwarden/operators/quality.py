@@ -124,7 +124,8 @@ def key_coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def common_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    return left.select(key).intersect(right.select(key))
+    """Keys of both tables; each side is reduced to distinct keys before they meet."""
+    return left.select(key).distinct().join(right.select(key).distinct(), key, "left_semi")
 
 
 def orphan_keys(children: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:

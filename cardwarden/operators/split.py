@@ -8,16 +8,22 @@ from pyspark.sql import types as T
 
 from cardwarden import fixed
 from cardwarden.functions.numeric import percent
-from cardwarden.operators.ordering import order_statistics
+from cardwarden.operators.ordering import extent, order_statistics
 
 PARTS = ["train", "valid", "test"]
 
 
+# Rows without a time sort last; a power of two, so that it is exact as a double too.
+NO_TIME = 2 ** 62
+
+
 def _clock(df: DataFrame, time: str) -> Column:
     """The time as a whole number: microseconds for timestamps."""
     if isinstance(df.schema[time].dataType, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(time).cast("timestamp"))
-    return F.col(time).cast("bigint")
+        value = F.unix_micros(F.col(time).cast("timestamp"))
+    else:
+        value = F.col(time).cast("bigint")
+    return F.coalesce(value, F.lit(NO_TIME))
 
 
 def cut_points(df: DataFrame, time: str, key: str,
@@ -30,12 +36,13 @@ def cut_points(df: DataFrame, time: str, key: str,
     """
     clock = df.select(_clock(df, time).alias("t"), F.col(key).cast("bigint").alias("k"))
     times = clock.select(F.lit("t").alias("feature"), F.col("t").cast("double").alias("value"))
-    n = times.count()
+    bounds = extent(times)
+    n = bounds["t"][0] if bounds else 0
     spots = [int(n * e) for e in ends]
     inner = sorted({s for s in spots if s < n})
     if not inner:
         return [None] * len(spots)
-    at = order_statistics(times, {"t": inner})
+    at = order_statistics(times, {"t": inner}, bounds)
     hits = {s: at[("t", s)] for s in inner}
     tied = {str(int(h.value)): [] for h in hits.values()}
     for s, h in hits.items():

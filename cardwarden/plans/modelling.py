@@ -11,6 +11,7 @@ from cardwarden.plans import risk
 from cardwarden.plans.catalog import query, rounded, table
 from cardwarden.plans.inputs import CARD_SQL, GAPPY_SQL, card_transactions, gappy_lines
 from cardwarden.plans.streams import bus_records, event_stream
+from cardwarden.schemas import struct_of
 from cardwarden.session import materialise, work_path
 from cardwarden.streaming import jobs
 from cardwarden.streaming.score_once import score_batch
@@ -212,6 +213,57 @@ def validation_curve(spark, sf):
     return models.loss_curve(boosted(spark, sf), risk.part(prepared(spark, sf), "valid"))
 
 
+EXTERNAL = struct_of("TransactionAmt double, C1 double, V1 double")
+
+
+def _external():
+    """A fixed formula standing in for a model object loaded in every task."""
+    import numpy as np
+
+    def predict(x):
+        z = 0.5 * x["C1"].fillna(0.0) + x["TransactionAmt"] / 500000.0 - 20.0 * x["V1"].fillna(0.0)
+        return 1.0 / (1.0 + np.exp(-(z - 1.0)))
+    return predict
+
+
+@query("external_model_score", f"""WITH {CARD_SQL}, p AS (
+  SELECT TransactionID, 1.0 / (1.0 + exp(-(0.5::DOUBLE * coalesce(C1, 0) + TransactionAmt / 500000.0::DOUBLE
+         - 20.0::DOUBLE * coalesce(V1, 0) - 1.0))) AS p FROM card)
+SELECT TransactionID, round(p, 6) AS fraud_probability, p >= 0.6::DOUBLE AS fraud_prediction,
+       CASE WHEN p >= 0.6::DOUBLE THEN '{fixed.REVIEW}' ELSE '{fixed.LEGITIMATE}' END AS decision,
+       0.6::DOUBLE AS threshold FROM p""")
+def external_model_score(spark, sf):
+    out = models.score_external(card_table(spark, sf), _external, EXTERNAL, fixed.ID)
+    return rounded(out.drop("prediction_latency_ms"), fraud_probability=6)
+
+
+VALID_ROWS = "(SELECT trunc(count(*) * 0.85::DOUBLE)::BIGINT - trunc(count(*) * 0.70::DOUBLE)::BIGINT FROM orders)"
+
+
+@query("score_properties", f"""
+SELECT {VALID_ROWS} AS total_rows, {VALID_ROWS} AS in_range, {VALID_ROWS} AS consistent""")
+def score_properties(spark, sf):
+    """Every row scored, in range, flag and decision agreeing with the threshold."""
+    p = F.col("fraud_probability")
+    agree = (F.col("fraud_prediction") == (p >= F.col("threshold"))) & (
+        F.col("decision") == F.when(p >= fixed.THRESHOLD, fixed.REVIEW).otherwise(fixed.LEGITIMATE))
+    scored = boosted(spark, sf).score(risk.part(prepared(spark, sf), "valid"), [fixed.ID])
+    return scored.agg(F.count_distinct(fixed.ID).alias("total_rows"), F.count_if(p.between(0, 1)).alias("in_range"),
+                      F.count_if(agree).alias("consistent"))
+
+
+@query("saved_model_agrees", "SELECT count(*) AS total_rows, count(*) AS equal FROM orders")
+def saved_model_agrees(spark, sf):
+    """A saved and reloaded model scores every row as the original does."""
+    path, model = work_path(spark, "model"), linear(spark, sf)
+    model.save(path)
+    card = card_table(spark, sf)
+    a = model.score(card, [fixed.ID]).select(fixed.ID, F.col("fraud_probability").alias("p"))
+    b = models.RiskModel.load(spark, path).score(card, [fixed.ID]).select(fixed.ID, "fraud_probability")
+    return a.join(b, fixed.ID).agg(
+        F.count("*").alias("total_rows"), F.count_if(F.abs(F.col("p") - F.col("fraud_probability")) < 1e-12).alias("equal"))
+
+
 # --- attributions ---------------------------------------------------------------------------------
 
 @query("linear_attributions")
@@ -233,10 +285,36 @@ def tree_attributions(spark, sf):
 def sampled_attribution_ranking(spark, sf):
     model = boosted(spark, sf)
     sample = topk.sample_rows(risk.part(prepared(spark, sf), "valid"), fixed.ID, fixed.ATTRIBUTION_SAMPLE)
-    values = explain.tree_attributions(model, sample, fixed.ID)
+    values = explain.tree_attributions(model, materialise(sample, "sample"), fixed.ID)
     return explain.global_ranking(explain.long_attributions(values, model.names, fixed.ID))
 
 
+ADDITIVE_SQL = f"SELECT {VALID_ROWS} AS total_rows, {VALID_ROWS} AS additive"
+
+
+def _additive(values, scored, scale):
+    """Rows whose base and attributions give back the probability through the logistic function."""
+    margin = F.col("base") + F.aggregate("values", F.lit(0.0), lambda a, v: a + v)
+    p = 1 / (1 + F.exp(-scale * margin))
+    return values.select(fixed.ID, p.alias("p")).join(scored, fixed.ID).agg(
+        F.count("*").alias("total_rows"),
+        F.count_if(F.abs(F.col("p") - F.col("fraud_probability")) < 1e-9).alias("additive"))
+
+
+@query("linear_attributions_add_up", ADDITIVE_SQL)
+def linear_attributions_add_up(spark, sf):
+    model, data = linear(spark, sf), prepared(spark, sf)
+    valid = risk.part(data, "valid")
+    return _additive(explain.linear_attributions(model, valid, risk.part(data, "train"), fixed.ID),
+                     model.score(valid, [fixed.ID]), 1)
+
+
+@query("tree_attributions_add_up", ADDITIVE_SQL)
+def tree_attributions_add_up(spark, sf):
+    model, valid = boosted(spark, sf), risk.part(prepared(spark, sf), "valid")
+    return _additive(explain.tree_attributions(model, valid, fixed.ID), model.score(valid, [fixed.ID]), 2)
+
+
 LONG_SQL = """long AS (
   SELECT l_suppkey AS key, l_orderkey::VARCHAR || '-' || l_partkey::VARCHAR AS feature,
          l_extendedprice - 50000.0::DOUBLE AS value FROM lineitem)"""

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -43,20 +42,22 @@ def shared_folder(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    own = os.path.join(tempfile.gettempdir(), f"cardwarden-{spark.sparkContext.applicationId}")
-    os.makedirs(own, exist_ok=True)
-    return own
+    return tempfile.gettempdir()
 
 
 def work_path(spark: SparkSession, label: str) -> str:
-    """A new path below the shared folder; nothing is ever reused or overwritten."""
-    return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, in the application's own subfolder.
+
+    Nothing is reused or overwritten; the subfolder can be dropped once the application is over.
+    """
+    mine = f"{shared_folder(spark).rstrip('/')}/cardwarden-{spark.sparkContext.applicationId}"
+    return f"{mine}/{label}-{uuid.uuid4().hex}"
 
 
 def use_checkpoints(spark: SparkSession) -> None:
     """Give the context a reliable checkpoint folder (iterative fits cut their lineage there)."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
+        spark.sparkContext.setCheckpointDir(work_path(spark, "checkpoints"))
 
 
 def fill_cores(df: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ def score_batch(store: PredictionStore, score: Callable[[DataFrame], DataFrame],
         if store.is_committed(batch_id):
             return
         # Parsed once, read for the rejects, the key lookup and the scoring.
-        checked = with_reasons(parse_with_extras(records), TRANSACTION).persist()
+        checked = with_reasons(parse_with_extras(records), TRANSACTION).drop("raw").persist()
         scored = None
         try:
             if rejects_path:

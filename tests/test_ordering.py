@@ -69,6 +69,13 @@ def test_temporal_split_with_a_time_shared_by_a_third(spark, n):
     assert len(both) == n and (both["split"] == both["want"]).all()
 
 
+def test_temporal_split_puts_missing_times_last(spark):
+    df = spark.createDataFrame([(None, i) for i in range(8)] + [(i, 100 + i) for i in range(12)], "t bigint, id bigint")
+    got = {r.id: r.split for r in split.temporal_split(df, "t", "id").collect()}
+    order = [100 + i for i in range(12)] + list(range(8))
+    assert got == {k: "train" if i < 14 else "valid" if i < 17 else "test" for i, k in enumerate(order)}
+
+
 def test_sample_is_exact_and_independent_of_partitioning(spark):
     df = spark.range(1000).withColumnRenamed("id", "k")
     a = {r.k for r in topk.sample_rows(df, "k", 77).collect()}

@@ -80,6 +80,23 @@ def test_guard_and_join_share_one_shuffle_per_side(spark):
     assert plan.count("Exchange hashpartitioning") == 2
 
 
+def test_filters_and_columns_reach_the_scan(spark):
+    path = work_path(spark, "pruned")
+    spark.range(100).select("id", F.col("id").alias("a"), F.lit("x").alias("wide")).write.parquet(path)
+    out = tables.read_parquet(spark, path, ["id", "a"]).where("a > 5").select("id")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(a,5)" in plan and "wide" not in plan
+
+
+def test_read_pair(spark):
+    a, b = work_path(spark, "pair-a"), work_path(spark, "pair-b")
+    export_csv(spark.range(3), a)
+    export_csv(spark.range(5), b)
+    schema = schemas.struct_of("id bigint")
+    left, right = tables.read_pair(spark, a, b, schema, schema)
+    assert (left.count(), right.count()) == (3, 5)
+
+
 def test_spread_join_with_a_hot_key(spark):
     rows = [(7, i) for i in range(500)] + [(i + 100, i) for i in range(200)] + [(None, -1)]
     left = spark.createDataFrame(rows, "k bigint, n bigint")
