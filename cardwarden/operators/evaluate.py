@@ -102,17 +102,19 @@ def ranking_metrics(df: DataFrame, score: str, label: str) -> DataFrame:
     positives, negatives = info.pos, info.n - info.pos
     grouped = rows.groupBy("s").agg(
         F.sum("y").cast("bigint").alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
-    cells = bucketed(grouped, "s", balanced_splits(info.n, info.grid))
-    from_top = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
-    above = cells.groupBy("cell").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q")).select(
-        "cell", F.coalesce(F.sum("p").over(from_top), F.lit(0)).alias("pos_above"),
-        F.coalesce(F.sum("q").over(from_top), F.lit(0)).alias("neg_above"))
+    splits = balanced_splits(info.n, info.grid)
+    cells = bucketed(grouped, "s", splits)
     down = Window.partitionBy("cell").orderBy(F.desc("s")).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    inside = cells.select("cell", "pos", "neg", F.sum("pos").over(down).alias("p"), F.sum("neg").over(down).alias("q"))
-    # The offsets are one row per bucket.
-    ranked = inside.join(F.broadcast(above), "cell").select(
-        "pos", "neg", (F.col("pos_above") + F.col("p")).alias("tp"), (F.col("neg_above") + F.col("q")).alias("fp"))
+    ranked = cells.select("cell", "pos", "neg", F.sum("pos").over(down).alias("tp"), F.sum("neg").over(down).alias("fp"))
+    if splits:
+        from_top = Window.orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
+        above = cells.groupBy("cell").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q")).select(
+            "cell", F.coalesce(F.sum("p").over(from_top), F.lit(0)).alias("pos_above"),
+            F.coalesce(F.sum("q").over(from_top), F.lit(0)).alias("neg_above"))
+        # The offsets are one row per bucket.
+        ranked = ranked.join(F.broadcast(above), "cell").select(
+            "pos", "neg", (F.col("pos_above") + F.col("tp")).alias("tp"), (F.col("neg_above") + F.col("fp")).alias("fp"))
     # Twice the number of (positive, negative) pairs in right order; ties count one.
     won = F.sum(F.col("pos").cast("decimal(19,0)")
                 * (2 * (F.lit(negatives) - F.col("fp")) + F.col("neg")).cast("decimal(19,0)"))
@@ -176,9 +178,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def evaluation_bundle(df: DataFrame, score: str, label: str, name: str, threshold: float = 0.5) -> DataFrame:
     """One row: confusion, rates, ROC-AUC and average precision of a named split."""
-    at = threshold_sweep(df, score, label, [threshold])
-    curve = ranking_metrics(df, score, label).select("roc_auc", "average_precision")
-    # One row on either side.
-    key = F.lit(1).alias("__one")
-    return at.select(F.lit(name).alias("split"), "*", key).join(
-        curve.select("*", key), "__one").drop("__one")
+    curve = ranking_metrics(df, score, label).first()
+    return threshold_sweep(df, score, label, [threshold]).select(
+        F.lit(name).alias("split"), "*", F.lit(curve.roc_auc).cast("double").alias("roc_auc"),
+        F.lit(curve.average_precision).alias("average_precision"))
