@@ -65,6 +65,5 @@ LINEAR_ITERATIONS = 300
 BOOSTED = {"maxIter": 1000, "maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
            "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5, "seed": SEED}
 REGULARISED = {"maxIter": 1000, "maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.8,
-               "featureSubsetStrategy": "0.7", "minInstancesPerNode": 10, "minInfoGain": 0.1,
-               "seed": SEED}
+               "featureSubsetStrategy": "0.7", "minInstancesPerNode": 10, "seed": SEED}
 ATTRIBUTION_SAMPLE = 5000

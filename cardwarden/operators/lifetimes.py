@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden import fixed
+from cardwarden.functions.clock import SECOND, epoch_micros, whole_units
 from cardwarden.session import materialise
 
 GROUP_ROWS = 5_000_000
@@ -84,10 +85,8 @@ def arming_requests(requests: DataFrame, key: str, time: str, request_id: str,
     lifetime = int(round(ttl_seconds * ticks_per_second))
     if lifetime <= 0:
         raise ValueError("the lifetime must be greater than zero")
-    # Whole-number division: microseconds since 1970 times a thousand do not fit a double.
-    width = 1_000_000 // ticks_per_second
-    micros = f"unix_micros(CAST(`{time}` AS TIMESTAMP))"
-    tick = F.expr(f"({micros} - pmod({micros}, {width})) div {width}")
+    micros = epoch_micros(F.col(time), requests.schema[time].dataType)
+    tick = whole_units(micros, SECOND // ticks_per_second)
     # Requests of one id at one tick collapse on the map side; the first of them can arm.
     instants = materialise(
         requests.groupBy(F.col(key).alias("id"), tick.alias("t")).agg(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwarden import fixed
+from cardwarden.functions.clock import epoch_micros
 from cardwarden.functions.numeric import percent
 from cardwarden.operators.ordering import extent, order_statistics
 
@@ -20,7 +21,7 @@ NO_TIME = 2 ** 62
 def _clock(df: DataFrame, time: str) -> Column:
     """The time as a whole number: microseconds for timestamps."""
     if isinstance(df.schema[time].dataType, (T.TimestampType, T.TimestampNTZType)):
-        value = F.unix_micros(F.col(time).cast("timestamp"))
+        value = epoch_micros(F.col(time), df.schema[time].dataType)
     else:
         value = F.col(time).cast("bigint")
     return F.coalesce(value, F.lit(NO_TIME))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden import fixed
+from cardwarden.functions.clock import SECOND, epoch_micros, whole_units
 from cardwarden.functions.decision import decision, flagged
 from cardwarden.operators.joins import join_one_to_one
 from cardwarden.plans.catalog import table
@@ -111,7 +112,7 @@ def card_transactions(spark: SparkSession, sf: str) -> DataFrame:
         F.col("c_mktsegment").alias("card6"))
     base = orders.select(
         F.col("o_orderkey").alias("TransactionID"),
-        (F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 1_000_000).cast("bigint").alias("TransactionDT"),
+        whole_units(epoch_micros(F.col("o_orderdate"), orders.schema["o_orderdate"].dataType), SECOND).alias("TransactionDT"),
         F.col("o_totalprice").alias("TransactionAmt"), F.col("o_orderstatus").alias("ProductCD"),
         F.col("o_custkey").alias("card1"), F.substring("o_orderpriority", 3, 20).alias("card4"))
     return (

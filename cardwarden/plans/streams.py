@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from cardwarden import fixed
 from cardwarden.functions import text
+from cardwarden.functions.clock import SECOND, epoch_micros, whole_units
 from cardwarden.functions.decision import decision, flagged
 from cardwarden.operators.validation import accepted, with_reasons
 from cardwarden.plans.catalog import query, rounded, table
@@ -40,7 +41,7 @@ def bus_records(events, payload):
 
 
 def _seconds():
-    return F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1_000_000)
+    return whole_units(epoch_micros(F.col("ts"), T.TimestampNTZType()), SECOND)
 
 
 def payload():

@@ -217,3 +217,21 @@ def test_scalars(spark):
         text.id_matches(F.lit(3400379), "0379$").alias("found")).first()
     assert str(row.p) == "0.0430470929" and str(row.amount) == "1265.500000"
     assert (row.whole, row.half, row.none, row.key, row.found) == (-3, 0.0012, 0.0, "fraud:risk:5", True)
+
+
+def test_clock_ignores_the_session_time_zone(spark):
+    from pyspark.sql import types as T
+
+    from cardwarden.functions.clock import epoch_micros, whole_units
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        times = ["1969-12-31 23:59:59.999999", "2024-03-10 02:30:00.5", "2024-07-01 12:00:00.000001"]
+        df = spark.createDataFrame([(t,) for t in times], "s string").select(F.col("s").cast("timestamp_ntz").alias("t"))
+        micros = epoch_micros(F.col("t"), T.TimestampNTZType())
+        got = [tuple(r) for r in df.select(micros, whole_units(micros, 1000)).collect()]
+        assert got == [(-1, -1), (1710037800500000, 1710037800500), (1719835200000001, 1719835200000)]
+        with pytest.raises(TypeError):
+            epoch_micros(F.col("t"), T.LongType())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
