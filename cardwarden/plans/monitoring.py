@@ -157,6 +157,14 @@ def lookup_source_replay_short(spark, sf):
     return lifetimes.lookup_sources(requests, "user_id", "ts", "event_id").select("event_id", "source")
 
 
+@query("lookup_counts", f"SELECT source, count(*) AS total FROM ({_replay_sql(3600 * 1000)}) GROUP BY 1")
+def lookup_counts(spark, sf):
+    """Lookups by the store that answered them."""
+    requests = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    return metrics.labelled_counter(
+        lifetimes.lookup_sources(requests, "user_id", "ts", "event_id", 3600), "source")
+
+
 # --- metrics --------------------------------------------------------------------------------------
 
 @query("decision_counts", f"WITH {LOG_SQL} SELECT decision, model_version, count(*) AS total FROM log GROUP BY 1, 2")

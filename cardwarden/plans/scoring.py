@@ -72,6 +72,18 @@ def threshold_sweep_fine_scores(spark, sf):
     return rounded(evaluate.threshold_sweep(priced_lines(spark, sf), "score", "label"), **RATES)
 
 
+@query("rates_by_period", f"""
+WITH {SCORED_SQL.replace("AS label", "AS label, year(l_shipdate)::INTEGER AS period")}, {_thresholds_sql(fixed.TEST_THRESHOLDS)},
+{CONFUSION_SQL.replace("SELECT threshold", "SELECT period, threshold").replace("GROUP BY 1", "GROUP BY 1, 2")}, {RATES_SQL}
+SELECT period, {ROUNDED_RATES} FROM rates""")
+def rates_by_period(spark, sf):
+    """The operating thresholds judged period by period, still in one scan."""
+    lines = table(spark, sf, "lineitem").select(
+        (F.round(F.col("l_discount") * 100) / 10.0).alias("score"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"), F.year("l_shipdate").alias("period"))
+    return rounded(evaluate.threshold_sweep(lines, "score", "label", fixed.TEST_THRESHOLDS, by=["period"]), **RATES)
+
+
 def _best_sql(metric, where):
     return f"""
 WITH {SCORED_SQL}, {_thresholds_sql(fixed.SWEEP_THRESHOLDS)}, {CONFUSION_SQL}, {RATES_SQL}
