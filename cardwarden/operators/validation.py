@@ -12,22 +12,26 @@ from cardwarden.functions.once import once
 REQUIRED = [fixed.ID, fixed.TIME, fixed.AMOUNT]
 
 
-def reasons(raw: str, schema: T.StructType, required: list[str] = REQUIRED) -> Column:
-    """``missing:<field>`` for an absent required field, ``type:<field>`` for an unreadable one."""
-    checks = []
+def checks(raw: str, schema: T.StructType, required: list[str] = REQUIRED) -> Column:
+    """One entry per possible fault, null where the row does not have it.
+
+    ``missing:<field>`` for an absent required field, ``type:<field>`` for an unreadable one.
+    """
+    found = []
     for field in schema:
         sent = F.col(raw)[field.name].isNotNull()
         read = F.col(f"`{field.name}`").isNotNull()
-        checks.append(F.when(sent & ~read, F.lit(f"type:{field.name}")))
+        found.append(F.when(sent & ~read, F.lit(f"type:{field.name}")))
         if field.name in required:
-            checks.append(F.when(~sent, F.lit(f"missing:{field.name}")))
-    return F.array_compact(F.array(*checks))
+            found.append(F.when(~sent, F.lit(f"missing:{field.name}")))
+    return F.array(*found)
 
 
 def with_reasons(parsed: DataFrame, schema: T.StructType, raw: str = "raw",
                  required: list[str] = REQUIRED) -> DataFrame:
     """Adds ``reasons``; parsing never drops a row, so rejected ones can be reported."""
-    return parsed.select("*", once(reasons(raw, schema, required)).alias("reasons"))
+    checked = parsed.select("*", once(checks(raw, schema, required)).alias("__checks"))
+    return checked.select(*[F.col(f"`{c}`") for c in parsed.columns], F.array_compact("__checks").alias("reasons"))
 
 
 def accepted(checked: DataFrame) -> DataFrame:
