@@ -104,19 +104,21 @@ def solve(cells: DataFrame, sources: DataFrame) -> DataFrame:
 
 def _round_cells(rows: pd.DataFrame) -> pd.DataFrame:
     """Whole copies for one source's cells, largest sizes first: what rounding leaves over or takes too
-    much is carried to the next cell, so the source ends within half of its smallest documents."""
+    much is carried to the next cell, so the source ends within half of its smallest documents.  A cell
+    may give or take up to one copy per document for that."""
     rows = rows.sort_values("__cell", ascending=False)
-    extras, carry = [], 0.0
+    whole, extras, carry = [], [], 0.0
     for docs, tokens, rate in zip(rows["docs"], rows["tokens"], rows["rate"]):
         size = tokens / docs
-        if not size:
-            extras.append(0)
-            continue
-        want = docs * (rate - math.floor(rate)) * size + carry
-        extra = min(max(round(want / size), 0), docs if rate < MOST else 0)
-        carry = want - extra * size
-        extras.append(extra)
-    return rows.assign(extra=extras)
+        copies = 0
+        if size:
+            want = docs * rate + carry / size
+            least, most = max(0, math.floor(rate) - 1) * docs, min(MOST, math.ceil(rate) + 1) * docs
+            copies = min(max(round(want), least), most)
+            carry = (want - copies) * size
+        whole.append(copies // docs)
+        extras.append(copies % docs)
+    return rows.assign(whole=whole, extra=extras)
 
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source",
@@ -146,7 +148,7 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     rated = cells.join(dual.select("__src", "mean", "lam"), "__src", "left").select(
         "__src", "__cell", "docs", "tokens", F.coalesce(rate, F.lit(0.0)).alias("rate"))
     rounded = materialise(rated.groupBy("__src").applyInPandas(
-        _round_cells, "__src string, __cell int, docs bigint, tokens bigint, rate double, extra bigint"), "rounded")
+        _round_cells, "__src string, __cell int, docs bigint, tokens bigint, rate double, whole bigint, extra bigint"), "rounded")
 
     # Fewer than HEAVY_CELLS rows, whatever the input: each has more than that part of all documents.
     total = cells.agg(F.sum("docs")).first()[0] or 0
@@ -160,7 +162,7 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     parts = dealt.groupBy("__src", "__cell", "__part").agg(F.count("*").alias("__n")).withColumn(
         "__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
     facts = materialise(parts.join(rounded, ["__src", "__cell"]).join(sources, "__src").select(
-        "__src", "__cell", "__part", "source_size", "target", "rate", F.floor("rate").alias("__whole"),
+        "__src", "__cell", "__part", "source_size", "target", "rate", F.col("whole").alias("__whole"),
         F.greatest(F.lit(0), F.least(F.col("__n"), F.col("extra") - F.col("__before"))).alias("__quota")), "parts")
     nth = F.row_number().over(Window.partitionBy("__src", "__cell", "__part").orderBy(
         F.xxhash64(F.col(f"`{key}`")), *[F.col(f"`{c}`") for c in own if c == key], "size"))

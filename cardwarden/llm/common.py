@@ -52,10 +52,14 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | N
     return df.mapInArrow(run, schema)
 
 
+def hashable(df: DataFrame) -> list[Column]:
+    """The columns that can be hashed and compared: those without maps, variants or intervals inside."""
+    return [F.col(f"`{c}`") for c, t in df.dtypes if not any(x in t for x in ("map<", "variant", "interval", "void"))]
+
+
 def row_hash(df: DataFrame) -> Column:
     """A number that differs between unlike rows, to spread rows of one key."""
-    plain = [c for c, t in df.dtypes if not t.startswith(("map", "variant", "interval", "void"))]
-    return F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(SPREAD)) if plain else F.lit(0)
+    return F.pmod(F.xxhash64(*hashable(df)), F.lit(SPREAD)).cast("int") if hashable(df) else F.lit(0)
 
 
 def attach(df: DataFrame, facts: DataFrame, key: str, rows: str, total: int, spread: Column | None = None) -> DataFrame:

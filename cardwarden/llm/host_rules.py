@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.functions.once import once
-from cardwarden.llm.common import WHITE, attach, let, words_column
+from cardwarden.llm.common import WHITE, attach, let, row_hash, words_column
 from cardwarden.session import materialise
 
 SYMBOLS = "#*$%&|<>"
@@ -152,7 +152,7 @@ def keep(docs: DataFrame, text: str = "text", host: str = "source") -> DataFrame
         "__host", F.col("host_docs").alias("__rows"), F.col("host_rejected").alias("__rejected")), "verdicts")
     total = verdicts.agg(F.sum("__rows")).first()[0] or 0
     named = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"),
-                        F.col(f"`{host}`").alias("__host"), F.col(f"`{text}`").alias("__text"))
-    passed = text_measures(named, "__text").where(~base_failed()).select("__doc", "__host")
-    left = attach(passed, verdicts, "__host", "__rows", total).where(~F.coalesce(F.col("__rejected"), F.lit(False)))
+                        F.col(f"`{host}`").alias("__host"), F.col(f"`{text}`").alias("__text"), row_hash(docs).alias("__mark"))
+    passed = text_measures(named, "__text").where(~base_failed()).select("__doc", "__host", "__mark")
+    left = attach(passed, verdicts, "__host", "__rows", total, F.col("__mark")).where(~F.coalesce(F.col("__rejected"), F.lit(False)))
     return left.select("__doc.*")

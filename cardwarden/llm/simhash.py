@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import as_bytes, attach, lower_words, map_batches
+from cardwarden.llm.common import as_bytes, attach, hashable, lower_words, map_batches
 from cardwarden.llm.components import components
 from cardwarden.session import materialise
 
@@ -252,7 +252,8 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     own = F.coalesce(F.col(f"`{key}`").cast("bigint"), content)
     ids = docs.select(own.alias("__id"), F.col(f"`{text}`").alias("__text"))
     left = grouped(ids, "__id", "__text").where(F.col("__id") == F.col("component_id")).select("__id").distinct()
-    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), own.alias("__id")).join(
+    kept = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__doc"), own.alias("__id"),
+                       F.xxhash64(*hashable(docs)).alias("__mark")).join(
         left, "__id", "left_semi")
-    first = F.row_number().over(Window.partitionBy("__id").orderBy(F.xxhash64(F.col("__doc"))))
+    first = F.row_number().over(Window.partitionBy("__id").orderBy("__mark"))
     return kept.withColumn("__nth", first).where("__nth = 1").select("__doc.*")
