@@ -189,14 +189,15 @@ class Automaton:
     def __init__(self, grams: _Grams, totals: dict[int, np.ndarray], order: int, tokens: int, types: int, prior: float):
         self.order, self.grams = order, grams
         self.unknown = -np.log10(tokens + types + 1)
-        self.count = {k: totals[k].astype(np.float64) for k in totals}
-        self.seen = {k: np.where((at := grams.at[k]) >= 0, self.count[k][np.maximum(at, 0)] > 0, False) for k in totals}
+        # One more count, of nothing, for the places that hold no n-gram (number -1).
+        self.count = {k: np.append(totals[k].astype(np.float64), 0.0) for k in totals}
+        self.seen = {k: self.count[k][grams.at[k]] > 0 for k in totals}
         p = {1: (self.count[1] + 1) / (tokens + types + 1)}
         self.failure = {}
         for k in range(2, order + 1):
             place = grams.first[k]
             before, shorter = grams.at[k - 1][place - 1], grams.at[k - 1][place]
-            p[k] = (self.count[k] + prior * p[k - 1][shorter]) / (self.count[k - 1][before] + prior)
+            p[k] = (self.count[k][:-1] + prior * p[k - 1][shorter]) / (self.count[k - 1][before] + prior)
             self.failure[k - 1] = np.log10(prior / (self.count[k - 1] + prior))
         self.arcs = {k: np.log10(v) for k, v in p.items()}
 
