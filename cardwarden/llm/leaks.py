@@ -1,12 +1,13 @@
 """Benchmark decontamination by CGK embedding and bit-sampling LSH.
 
 Words are compared without case and ASCII punctuation.  An item of n words is leaked by a text that
-holds a stretch within k = n // 5 word edits of it (similarity 0.8).  Such a stretch shares at least
-n - 1 - 2k of the item's word pairs, within n + k words; only places where the benchmark's word pairs
-lie that dense are looked at.  There every item-sized window is embedded by the CGK random walk, which
-maps word edits to differing positions; sampled positions of the walk are the LSH key, repeated often
-enough to reach the target recall on windows with the most edits allowed.  Windows that meet an item
-are verified by their exact edit distance.
+holds a stretch within k = n // 5 word edits of it (similarity 0.8).  Such a stretch lacks at most 2k
+of the item's n - 1 word pairs, so it has one of any 2k + 1 of them, and n - 1 - 2k of the benchmark's
+pairs within n + k words.  Places are looked at where one of the item's 2k + 1 rarest pairs stands and
+pairs lie that dense; both tests lose nothing.  There every item-sized window that could begin the
+stretch is embedded by the CGK random walk, which maps word edits to differing positions; sampled
+positions of the walk are the LSH key, repeated often enough to reach the target recall on windows
+with the most edits allowed.  Windows that meet an item are verified by their exact edit distance.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ MIN_WORDS = 5
 EDITS_PER_WORD = 5          # one edit is allowed for so many words of an item
 SAMPLED = 2                 # positions of the walk that make one key
 RECALL = 0.99
-TRIALS, MAX_ROUNDS = 400, 200
+TRIALS, FIRST_ROUNDS, MAX_ROUNDS = 300, 16, 256
 BLOCK_ITEMS, BLOCK_CHARS = 5_000, 8_000_000
 WORD_CACHE = 500_000
 ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -38,7 +39,7 @@ def plain_words(text: bytes | None) -> list[bytes]:
     return text.translate(LOWER, PUNCTUATION).split() if text else []
 
 
-def allowed(n: int) -> int:
+def allowed(n):
     return n // EDITS_PER_WORD
 
 
@@ -109,10 +110,13 @@ def rounds_needed(n: int, seed: int) -> int:
                 words.insert(at, int(rng.integers(1, 1 << 62)))
         words = (words + rng.integers(1, 1 << 62, n).tolist())[:n]
         changed[t] = np.array(words, dtype=np.uint64)
-    met = (walk_keys(items, MAX_ROUNDS, seed) == walk_keys(changed, MAX_ROUNDS, seed))
-    found = np.logical_or.accumulate(met, axis=0).mean(1)
-    reached = np.flatnonzero(found >= RECALL)
-    return int(reached[0]) + 1 if len(reached) else MAX_ROUNDS
+    rounds = FIRST_ROUNDS
+    while True:
+        met = walk_keys(items, rounds, seed) == walk_keys(changed, rounds, seed)
+        reached = np.flatnonzero(np.logical_or.accumulate(met, axis=0).mean(1) >= RECALL)
+        if len(reached) or rounds >= MAX_ROUNDS:
+            return int(reached[0]) + 1 if len(reached) else rounds
+        rounds *= 2
 
 
 class Block:
@@ -120,7 +124,6 @@ class Block:
 
     def __init__(self, items: list[tuple], seed: int = 7):
         self.seed, self.ids, self.words, by_length = seed, [], [], {}
-        pairs = []
         for key, text in items:
             words = plain_words(text.encode("utf-8", "replace"))
             if len(words) < MIN_WORDS:
@@ -128,8 +131,13 @@ class Block:
             by_length.setdefault(len(words), []).append(len(self.ids))
             self.ids.append(key)
             self.words.append(np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=np.uint64))
-            pairs.append(self.words[-1][:-1] * ODD + self.words[-1][1:])
-        self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, dtype=np.uint64)
+        own = [w[:-1] * ODD + w[1:] for w in self.words]
+        self.pairs = np.unique(np.concatenate(own)) if own else np.zeros(0, dtype=np.uint64)
+        # Every place of a pair in an item: which pair, which item, where in the item.
+        self.pair = np.searchsorted(self.pairs, np.concatenate(own)) if own else np.zeros(0, dtype=np.int64)
+        self.item = np.repeat(np.arange(len(own)), [len(p) for p in own])
+        self.offset = np.concatenate([np.arange(len(p)) for p in own]) if own else np.zeros(0, dtype=np.int64)
+        self.length = np.array([len(w) for w in self.words], dtype=np.int64)
         self.tables = {}
         for n, members in sorted(by_length.items()):
             rounds = rounds_needed(n, seed)
@@ -137,29 +145,54 @@ class Block:
             order = np.argsort(keys, axis=1, kind="stable")
             self.tables[n] = (rounds, np.take_along_axis(keys, order, 1), np.array(members)[order])
 
+    def _anchors(self, common: np.ndarray) -> np.ndarray:
+        """The 2k + 1 places of each item whose pairs are the rarest, as a mask; ``common`` counts pairs."""
+        order = np.lexsort((self.offset, common[self.pair], self.item))
+        first = np.concatenate(([0], np.cumsum(self.length - 1)[:-1]))
+        rank = np.arange(len(order)) - first[self.item[order]]
+        mask = np.zeros(len(order), dtype=bool)
+        mask[order] = rank <= 2 * allowed(self.length[self.item[order]])
+        return mask
+
+    def _spots(self, words: np.ndarray, doc: np.ndarray, starts_of: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(n, starts): where a stretch near an item of n words may begin."""
+        pairs = words[:-1] * ODD + words[1:]
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        here = (self.pairs[at] == pairs) & (doc[:-1] == doc[1:])
+        place = np.flatnonzero(here)
+        which = at[place]
+        common = np.bincount(which, minlength=len(self.pairs))
+        chosen = np.flatnonzero(self._anchors(common))
+        chosen = chosen[np.argsort(self.pair[chosen], kind="stable")]
+        begin, end = (np.searchsorted(self.pair[chosen], np.arange(len(self.pairs)), s) for s in ("left", "right"))
+        so_far = np.concatenate(([0], np.cumsum(here)))
+        for cut in range(0, len(place), 1 << 17):
+            p, w = place[cut:cut + (1 << 17)], which[cut:cut + (1 << 17)]
+            times = end[w] - begin[w]
+            spot = np.repeat(p, times)
+            entry = chosen[np.repeat(begin[w], times) + np.arange(len(spot)) - np.repeat(np.cumsum(times) - times, times)]
+            n = self.length[self.item[entry]]
+            k = allowed(n)
+            guess = spot - self.offset[entry]
+            low = np.maximum(guess - k, starts_of[doc[spot]])
+            high = np.minimum(guess + n + k, starts_of[doc[spot] + 1] - 1)
+            ok = so_far[np.maximum(high, low)] - so_far[low] >= n - 1 - 2 * k
+            low, last, n = low[ok], np.maximum((guess + k)[ok], low[ok]), n[ok]
+            for size in np.unique(n):
+                a, b = low[n == size], last[n == size]
+                marks = np.zeros(len(words) + 1, dtype=np.int32)
+                np.add.at(marks, a, 1)
+                np.add.at(marks, np.minimum(b + 1, len(words)), -1)
+                yield int(size), np.flatnonzero(np.cumsum(marks[:-1]) > 0)
+
     def near(self, words: np.ndarray, doc: np.ndarray) -> dict[tuple[int, int], int]:
         """(document, item) -> edits, over the words of a batch, ``doc`` telling whose they are."""
         if len(words) < 2 or not len(self.pairs):
             return {}
-        pairs = words[:-1] * ODD + words[1:]
-        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
-        dense = np.flatnonzero((self.pairs[at] == pairs) & (doc[:-1] == doc[1:]))
         starts_of = np.searchsorted(doc, np.arange(doc[-1] + 2))
         regions: dict[tuple[int, int], list[int]] = {}
-        for n, (rounds, keys, members) in self.tables.items():
-            k = allowed(n)
-            need, reach = n - 1 - 2 * k, n + k - 2
-            if len(dense) < need:
-                continue
-            first, last = dense[:len(dense) - need + 1], dense[need - 1:]
-            ok = (last - first <= reach) & (doc[first] == doc[last])
-            if not ok.any():
-                continue
-            low = np.maximum(last[ok] - reach, starts_of[doc[first[ok]]])
-            marks = np.zeros(len(words) + 1, dtype=np.int32)
-            np.add.at(marks, low, 1)
-            np.add.at(marks, first[ok] + 1, -1)
-            begins = np.flatnonzero(np.cumsum(marks[:-1]) > 0)
+        for n, begins in self._spots(words, doc, starts_of):
+            rounds, keys, members = self.tables[n]
             ends = starts_of[doc[begins] + 1]
             for cut in range(0, len(begins), 1 << 15):
                 b, e = begins[cut:cut + (1 << 15)], ends[cut:cut + (1 << 15)]
@@ -195,16 +228,15 @@ class Digests:
     def __init__(self):
         self.seen: dict[bytes, int] = {}
 
-    def of(self, words: list[bytes]) -> list[int]:
+    def of(self, words: list[bytes]) -> np.ndarray:
         if len(self.seen) > WORD_CACHE:
             self.seen.clear()
-        seen, out = self.seen, []
-        for w in words:
-            d = seen.get(w)
-            if d is None:
-                d = seen[w] = xxhash.xxh64_intdigest(w)
-            out.append(d)
-        return out
+        found = list(map(self.seen.get, words))
+        if None in found:
+            for n, w in enumerate(words):
+                if found[n] is None:
+                    found[n] = self.seen[w] = xxhash.xxh64_intdigest(w)
+        return np.array(found, dtype=np.uint64)
 
 
 def blocks(items: DataFrame, key: str, text: str) -> Iterator[Block]:
@@ -229,7 +261,7 @@ def _batch_matches(block: Block, digests: Digests, texts: list[bytes | None]) ->
     def flush():
         if words:
             lengths = [len(w) for w in words]
-            some = block.near(np.array([x for w in words for x in w], dtype=np.uint64),
+            some = block.near(np.concatenate(words),
                               np.repeat(np.arange(len(words)), lengths))
             found.update({(docs[d], i): edits for (d, i), edits in some.items()})
             words.clear()
@@ -238,7 +270,7 @@ def _batch_matches(block: Block, digests: Digests, texts: list[bytes | None]) ->
     size = 0
     for row, text in enumerate(texts):
         own = digests.of(plain_words(text))
-        if own:
+        if len(own):
             words.append(own)
             docs.append(row)
             size += len(own)
