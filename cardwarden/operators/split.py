@@ -9,13 +9,13 @@ from pyspark.sql import types as T
 from cardwarden import fixed
 from cardwarden.functions.clock import epoch_micros
 from cardwarden.functions.numeric import percent
-from cardwarden.operators.ordering import extent, order_statistics
 
 PARTS = ["train", "valid", "test"]
 
 
-# Rows without a time sort last; a power of two, so that it is exact as a double too.
-NO_TIME = 2 ** 62
+# Rows without a time, and among equal times those without an id, sort last.
+LAST = 2 ** 63 - 1
+CELLS = 4096
 
 
 def _clock(df: DataFrame, time: str) -> Column:
@@ -24,7 +24,53 @@ def _clock(df: DataFrame, time: str) -> Column:
         value = epoch_micros(F.col(time), df.schema[time].dataType)
     else:
         value = F.col(time).cast("bigint")
-    return F.coalesce(value, F.lit(NO_TIME))
+    return F.coalesce(value, F.lit(LAST))
+
+
+def _ident(key: str) -> Column:
+    return F.coalesce(F.col(key).cast("bigint"), F.lit(LAST))
+
+
+def whole_at_ranks(rows: DataFrame, value: str, ranks: list[int]) -> dict[int, tuple[int, int]]:
+    """rank -> (the value at that 0-based position in ascending order, rows with smaller values).
+
+    Whole numbers all the way, so ids beyond 2^53 keep their places.  Rows are counted in at most
+    CELLS cells per open interval, with map-side aggregation, until the cell of a rank is one value.
+    Open intervals are equal or apart, so one pass serves all ranks.
+    """
+    ends = rows.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).first()
+    found: dict[int, tuple[int, int]] = {}
+    open_ = {r: (ends.lo, ends.hi, 0) for r in ranks}  # rank -> lowest, highest, rows below the lowest
+    while open_:
+        label: Column = F.lit(None).cast("int")
+        cell: Column = F.lit(None).cast("bigint")
+        spans = sorted({(lo, hi) for lo, hi, _ in open_.values()})
+        widths = [(hi - lo) // CELLS + 1 for lo, hi in spans]
+        for n, ((lo, hi), width) in enumerate(zip(spans, widths)):
+            inside = F.col(value).between(lo, hi)
+            # Differences of far-apart numbers do not fit a bigint.
+            kind = "bigint" if hi - lo < 2 ** 63 else "decimal(20,0)"
+            place = F.call_function("div", F.col(value).cast(kind) - F.lit(lo).cast(kind), F.lit(width).cast(kind))
+            label, cell = F.when(inside, n).otherwise(label), F.when(inside, place).otherwise(cell)
+        counts: dict[int, list[tuple[int, int]]] = {}
+        # At most CELLS rows per open interval.
+        for r in rows.select(label.alias("span"), cell.alias("cell")).where("span is not null").groupBy(
+                "span", "cell").count().collect():
+            counts.setdefault(r["span"], []).append((r["cell"], r["count"]))
+        still = {}
+        for rank, (lo, hi, below) in open_.items():
+            n = spans.index((lo, hi))
+            for at, many in sorted(counts[n]):
+                if rank < below + many:
+                    low = lo + at * widths[n]
+                    if widths[n] == 1:
+                        found[rank] = (low, below)
+                    else:
+                        still[rank] = (low, min(hi, low + widths[n] - 1), below)
+                    break
+                below += many
+        open_ = still
+    return found
 
 
 def cut_points(df: DataFrame, time: str, key: str,
@@ -35,33 +81,25 @@ def cut_points(df: DataFrame, time: str, key: str,
     first, then the key among the rows of exactly that time, so a timestamp that a third of the
     rows share is handled like any other.
     """
-    clock = df.select(_clock(df, time).alias("t"), F.col(key).cast("bigint").alias("k"))
-    times = clock.select(F.lit("t").alias("feature"), F.col("t").cast("double").alias("value"))
-    bounds = extent(times)
-    n = bounds["t"][0] if bounds else 0
+    clock = df.select(_clock(df, time).alias("t"), _ident(key).alias("k"))
+    n = clock.count()
     spots = [int(n * e) for e in ends]
     inner = sorted({s for s in spots if s < n})
     if not inner:
         return [None] * len(spots)
-    at = order_statistics(times, {"t": inner}, bounds)
-    hits = {s: at[("t", s)] for s in inner}
-    tied = {str(int(h.value)): [] for h in hits.values()}
-    for s, h in hits.items():
-        tied[str(int(h.value))].append(s - h.below)
-    among = clock.where(F.col("t").isin([int(v) for v in tied])).select(
-        F.col("t").cast("string").alias("feature"), F.col("k").cast("double").alias("value"))
-    keys = order_statistics(among, tied)
-    return [
-        (int(hits[s].value), int(keys[(str(int(hits[s].value)), s - hits[s].below)].value))
-        if s < n else None
-        for s in spots
-    ]
+    times = whole_at_ranks(clock, "t", inner)
+    cuts: dict[int, tuple[int, int]] = {}
+    for t in sorted({t for t, _ in times.values()}):
+        mine = {s: s - below for s, (at, below) in times.items() if at == t}
+        keys = whole_at_ranks(clock.where(F.col("t") == t), "k", sorted(mine.values()))
+        cuts.update({s: (t, keys[r][0]) for s, r in mine.items()})
+    return [cuts.get(s) for s in spots]
 
 
 def temporal_split(df: DataFrame, time: str, key: str, output: str = "split",
                    ends: tuple[float, ...] = (fixed.TRAIN_END, fixed.VALID_END)) -> DataFrame:
     """Rows labelled train / valid / test by comparing with two constants; nothing moves."""
-    clock, ident = _clock(df, time), F.col(key).cast("bigint")
+    clock, ident = _clock(df, time), _ident(key)
     label: Column = F.lit(PARTS[0])
     for part, cut in zip(PARTS[1:], cut_points(df, time, key, ends)):
         if cut is not None:

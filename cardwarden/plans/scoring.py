@@ -20,6 +20,16 @@ def temporal_split(spark, sf):
     return split.temporal_split(table(spark, sf, "orders"), "o_orderdate", "o_orderkey").select("o_orderkey", "split")
 
 
+BIG = 2 ** 60
+
+
+@query("temporal_split_large_ids", f"WITH {SPLIT_SQL} SELECT o_orderkey + {BIG} AS o_orderkey, split FROM parts")
+def temporal_split_large_ids(spark, sf):
+    """Ids that differ by less than a double can tell."""
+    orders = table(spark, sf, "orders").withColumn("o_orderkey", F.col("o_orderkey") + F.lit(BIG))
+    return split.temporal_split(orders, "o_orderdate", "o_orderkey").select("o_orderkey", "split")
+
+
 @query("split_summary", f"""WITH {SPLIT_SQL}
 SELECT split, count(*) AS total_rows, sum((o_orderstatus = 'F')::INTEGER)::BIGINT AS fraud,
        count(*) - sum((o_orderstatus = 'F')::INTEGER)::BIGINT AS legitimate,

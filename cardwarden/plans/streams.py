@@ -14,6 +14,7 @@ from cardwarden.plans.catalog import query, rounded, table
 from cardwarden.schemas import TRANSACTION, struct_of
 from cardwarden.session import work_path
 from cardwarden.sinks.bus import as_messages
+from cardwarden.sources.tables import table_stream
 from cardwarden.streaming import jobs
 from cardwarden.streaming.parse import parse_records, parse_with_extras
 from cardwarden.streaming.score_once import score_batch
@@ -26,9 +27,8 @@ EVENTS = T.StructType([
 
 
 def event_stream(spark, sf):
-    """The events table as a stream of files."""
-    return spark.readStream.schema(EVENTS).option("pathGlobFilter", "events.parquet").option(
-        "maxFilesPerTrigger", 100).parquet(sf)
+    """The events table, one file or a folder of part files, as a stream of files."""
+    return table_stream(spark, sf, "events.parquet", EVENTS)
 
 
 def bus_records(events, payload):
@@ -135,14 +135,13 @@ def stream_parse(spark, sf):
 
 
 @query("stream_rates", """
-SELECT date_trunc('minute', ts) AS minute, event_type, count(*) AS events FROM events
-WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
-GROUP BY 1, 2""")
+SELECT date_trunc('minute', ts) AS minute, event_type, count(*) AS events FROM events GROUP BY 1, 2""")
 def stream_rates(spark, sf):
     at = work_path(spark, "stream-rates")
     counts = jobs.windowed_counts(event_stream(spark, sf), "ts", ["event_type"])
-    jobs.finish(jobs.to_files(counts, f"{at}/rows", f"{at}/checkpoint", available_only=True))
-    return spark.read.parquet(f"{at}/rows").withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+    jobs.finish(jobs.to_latest_windows(counts, f"{at}/rows", f"{at}/checkpoint", available_only=True))
+    stored = spark.read.parquet(f"{at}/rows").withColumn("minute", F.col("minute").cast("timestamp_ntz"))
+    return jobs.latest_windows(stored, ["minute", "event_type"])
 
 
 def _user_payload():
@@ -173,10 +172,27 @@ def stream_score_once(spark, sf):
     return left.join(store.transactions().select("transaction_id", "product_cd", "transaction_dt"), "transaction_id")
 
 
+@query("stream_rejects", """
+SELECT event_id AS "offset", CASE event_type
+  WHEN 'signup' THEN 'missing:TransactionID,missing:TransactionDT' WHEN 'error' THEN 'missing:TransactionDT'
+  WHEN 'view' THEN 'type:TransactionAmt' ELSE 'type:addr1' END AS reasons
+FROM events WHERE event_type IN ('signup', 'error', 'view', 'click')""")
+def stream_rejects(spark, sf):
+    """What the scoring stream turned away, none lost."""
+    at = work_path(spark, "stream-rejects")
+    handler = score_batch(PredictionStore(spark, f"{at}/store"), amount_score, "amount", "1", [F.col("offset")], f"{at}/rejects")
+    records = bus_records(event_stream(spark, sf), _faulty_payload())
+    jobs.finish(jobs.each_batch(records, handler, f"{at}/checkpoint", available_only=True))
+    return spark.read.parquet(f"{at}/rejects").select("offset", F.array_join("reasons", ",").alias("reasons"))
+
+
 @query("stream_first_within_horizon", """
-SELECT user_id, count(*) AS n FROM (SELECT DISTINCT user_id FROM events) GROUP BY 1""")
+SELECT user_id, 1::BIGINT AS n, CASE WHEN count(*) = 1 THEN min(event_id) END AS only_event FROM events GROUP BY 1""")
 def stream_first_within_horizon(spark, sf):
+    """One row per user inside the horizon; which one is certain for users seen once."""
     at = work_path(spark, "stream-dedupe")
     rows = jobs.dedupe_within(event_stream(spark, sf), "user_id", "ts", "60 days").select("user_id", "event_id")
     jobs.finish(jobs.to_files(rows, f"{at}/rows", f"{at}/checkpoint", available_only=True))
-    return spark.read.parquet(f"{at}/rows").groupBy("user_id").agg(F.count("*").alias("n"))
+    seen = table(spark, sf, "events").groupBy("user_id").agg(F.count("*").alias("seen"))
+    return spark.read.parquet(f"{at}/rows").join(seen, "user_id").groupBy("user_id").agg(
+        F.count("*").alias("n"), F.min(F.when(F.col("seen") == 1, F.col("event_id"))).alias("only_event"))

@@ -59,7 +59,8 @@ BUS_RECORD = T.StructType([
 def typed(text: Column, field: T.StructField) -> Column:
     """A field sent as text in its declared type; null when it cannot be read."""
     if isinstance(field.dataType, T.LongType):
-        return text.try_cast(T.DecimalType(24, 4)).try_cast("bigint")
+        # Digits enough to keep any fraction from rounding the whole number up.
+        return text.try_cast(T.DecimalType(38, 18)).try_cast("bigint")
     return text.try_cast(field.dataType)
 
 

@@ -56,3 +56,17 @@ def inspect(df: DataFrame, key: str, sample_rows: int = 5) -> dict[str, DataFram
     """Columns and types, the first rows by key, and file sizes."""
     return {"columns": column_names(df), "sample": df.orderBy(key).limit(sample_rows),
             "files": file_sizes(df)}
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    """Whether a table is a folder of part files, on any file system that Spark reads."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isDirectory()
+
+
+def table_stream(spark: SparkSession, folder: str, name: str, schema: T.StructType, files_per_batch: int = 100) -> DataFrame:
+    """The Parquet table ``folder/name`` as a stream, be it one file or a folder of part files."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
+    if is_folder(spark, f"{folder}/{name}"):
+        return reader.parquet(f"{folder}/{name}")
+    return reader.option("pathGlobFilter", name).parquet(folder)

@@ -28,6 +28,28 @@ def each_batch(rows: DataFrame, run: Callable[[DataFrame, int], None], checkpoin
     return (writer.trigger(availableNow=True) if available_only else writer).start()
 
 
+def query_identity(batch: DataFrame) -> str:
+    """The identity of the query whose micro-batch this is; it lives in the checkpoint and outlasts restarts."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise ValueError("outside a running stream the writer's name must be given")
+    return found
+
+
+def to_latest_windows(counts: DataFrame, path: str, checkpoint: str, available_only: bool = False) -> StreamingQuery:
+    """Windowed counts in update mode: every batch stores the windows it changed, open ones included."""
+    def run(changed: DataFrame, batch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = counts.writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_only else writer).start()
+
+
+def latest_windows(stored: DataFrame, by: list[str], count: str = "events") -> DataFrame:
+    """Each window as its last batch left it."""
+    return stored.groupBy(*by).agg(F.max_by(count, "batch_id").alias(count))
+
+
 def finish(query: StreamingQuery) -> None:
     """Wait for a bounded query; its failure is the caller's failure."""
     query.awaitTermination()

@@ -12,29 +12,32 @@ from cardwarden import fixed
 from cardwarden.operators.predictions import new_keys, prediction_rows, transaction_rows
 from cardwarden.operators.validation import accepted, rejected, with_reasons
 from cardwarden.schemas import TRANSACTION
+from cardwarden.streaming import jobs
 from cardwarden.streaming.parse import parse_with_extras
 from cardwarden.streaming.store import PredictionStore
 
 
 def score_batch(store: PredictionStore, score: Callable[[DataFrame], DataFrame], model_name: str,
-                model_version: str, earliest: list[Column],
-                rejects_path: str | None = None) -> Callable[[DataFrame, int], None]:
+                model_version: str, earliest: list[Column], rejects_path: str,
+                query: str | None = None) -> Callable[[DataFrame, int], None]:
     """A micro-batch handler: parse, validate, score unseen ids, write both tables.
 
     ``score`` adds fraud_probability, fraud_prediction, decision and threshold; it also sees the
     undeclared fields as the map ``extras``.  The stored latency is the batch's time per row.
+    Rejected requests are written to ``rejects_path``.  ``query`` names the writer; in a stream it is
+    the identity that Spark keeps with the checkpoint, so only a replayed batch is skipped.
     """
     def run(records: DataFrame, batch_id: int) -> None:
-        if store.is_committed(batch_id):
+        name = query or jobs.query_identity(records)
+        if store.is_committed(name, batch_id):
             return
         # Parsed once, read for the rejects, the key lookup and the scoring.
         checked = with_reasons(parse_with_extras(records), TRANSACTION).drop("raw").persist()
         scored = None
         try:
-            if rejects_path:
-                rejected(checked).select(
-                    *TRANSACTION.names, "topic", "partition", "offset", "reasons").write.mode("overwrite").parquet(
-                    f"{rejects_path}/batch_id={batch_id}")
+            rejected(checked).select(
+                *TRANSACTION.names, "topic", "partition", "offset", "reasons").write.mode("overwrite").parquet(
+                f"{rejects_path}/query={name}/batch_id={batch_id}")
             fresh = new_keys(
                 accepted(checked), store.transactions().withColumnRenamed("transaction_id", fixed.ID),
                 fixed.ID, earliest)
@@ -45,7 +48,7 @@ def score_batch(store: PredictionStore, score: Callable[[DataFrame], DataFrame],
             timed = scored.withColumn("prediction_latency_ms", F.lit(per_row))
             now = F.current_timestamp()
             store.commit(transaction_rows(timed, now),
-                         prediction_rows(timed, model_name, model_version, created_at=now), batch_id)
+                         prediction_rows(timed, model_name, model_version, created_at=now), name, batch_id)
         finally:
             checked.unpersist()
             if scored is not None:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwarden.schemas import STORED_PREDICTION, STORED_TRANSACTION, struct_of
 
-COMMIT = struct_of("batch_id bigint")
+COMMIT = struct_of("query string, batch_id bigint")
 
 
 def _with_batch(schema: T.StructType) -> T.StructType:
@@ -16,10 +16,12 @@ def _with_batch(schema: T.StructType) -> T.StructType:
 
 
 class PredictionStore:
-    """Two Parquet tables, partitioned by micro-batch, that become visible together.
+    """Two Parquet tables, partitioned by query and micro-batch, that become visible together.
 
-    A batch overwrites its own partitions and is readable only after its commit row exists, so a
-    replay after a crash repeats the writes without duplicating or half-showing anything.
+    Batch numbers start at 0 with every checkpoint, so a batch is known by its query's identity and
+    its number.  It overwrites its own partitions and is readable only after its commit row exists:
+    a replay after a crash repeats the writes without duplicating or half-showing anything, and
+    batches of another query, or of a new checkpoint, stand beside it.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -38,7 +40,7 @@ class PredictionStore:
 
     def _committed(self, name: str) -> DataFrame:
         # One narrow row per batch; Spark decides how to join it by its measured size.
-        return self._read(name).join(self._read("commits").distinct(), "batch_id", "left_semi")
+        return self._read(name).join(self._read("commits").distinct(), ["query", "batch_id"], "left_semi")
 
     def transactions(self) -> DataFrame:
         return self._committed("transactions").select(*STORED_TRANSACTION.names)
@@ -46,15 +48,16 @@ class PredictionStore:
     def predictions(self) -> DataFrame:
         return self._committed("predictions").select(*STORED_PREDICTION.names)
 
-    def is_committed(self, batch_id: int) -> bool:
-        return not self._read("commits").where(F.col("batch_id") == batch_id).isEmpty()
+    def is_committed(self, query: str, batch_id: int) -> bool:
+        return not self._read("commits").where(
+            (F.col("query") == query) & (F.col("batch_id") == batch_id)).isEmpty()
 
-    def commit(self, transactions: DataFrame, predictions: DataFrame, batch_id: int) -> None:
-        if self.is_committed(batch_id):
+    def commit(self, transactions: DataFrame, predictions: DataFrame, query: str, batch_id: int) -> None:
+        if self.is_committed(query, batch_id):
             return
         for name, rows, schema in (("transactions", transactions, STORED_TRANSACTION),
                                    ("predictions", predictions, STORED_PREDICTION)):
             rows.select(*schema.names).write.mode("overwrite").parquet(
-                f"{self.path}/{name}/batch_id={batch_id}")
-        self.spark.createDataFrame([(batch_id,)], COMMIT).coalesce(1).write.mode("append").parquet(
+                f"{self.path}/{name}/query={query}/batch_id={batch_id}")
+        self.spark.createDataFrame([(query, batch_id)], COMMIT).coalesce(1).write.mode("append").parquet(
             f"{self.path}/commits")

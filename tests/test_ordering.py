@@ -98,3 +98,19 @@ def test_top_per_group_prunes_before_the_shuffle(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2
     assert {(r.g, r.v) for r in out.collect()} == {(0, 99), (0, 96), (1, 97), (1, 94), (2, 98), (2, 95)}
+
+
+def test_temporal_split_tells_large_and_missing_ids_apart(spark):
+    rows = [(1000, 2 ** 60 + i) for i in range(20)]
+    parts = [r.split for r in split.temporal_split(spark.createDataFrame(rows, "t bigint, id bigint"), "t", "id").collect()]
+    assert [parts.count(p) for p in split.PARTS] == [14, 3, 3]
+    rows = [(1000, i) for i in range(18)] + [(1000, None)] * 2
+    parts = [r.split for r in split.temporal_split(spark.createDataFrame(rows, "t bigint, id bigint"), "t", "id").collect()]
+    assert [parts.count(p) for p in split.PARTS] == [14, 3, 3]
+
+
+def test_whole_ranks_over_the_full_range(spark):
+    values = sorted([-2 ** 63, -1, 0, 5, 5, 5, 2 ** 53 + 1, 2 ** 53 + 2, 2 ** 63 - 1])
+    found = split.whole_at_ranks(spark.createDataFrame([(v,) for v in values], "v bigint"), "v", list(range(9)))
+    assert {r: v for r, (v, _) in found.items()} == dict(enumerate(values))
+    assert all(below == sum(x < v for x in values) for v, below in found.values())

@@ -46,14 +46,14 @@ def test_validation(spark):
     assert accepted(checked).first().extras == {"V7": "3"} and rejected(checked).count() == 4
 
 
-def score_all(spark, values, batches=1):
+def score_all(spark, values, batches=1, query=None, at=None):
     """Run the scoring stream over captured files, one file per micro-batch."""
-    at = work_path(spark, "t-stream")
+    at = at or work_path(spark, "t-stream")
     per = -(-len(values) // batches)
     for b in range(batches):
         records(spark, values[b * per:(b + 1) * per], b * per).coalesce(1).write.mode("append").parquet(f"{at}/in")
     store = PredictionStore(spark, f"{at}/store")
-    handler = score_batch(store, amount_score, "m", "1", [F.col("offset")], f"{at}/rejects")
+    handler = score_batch(store, amount_score, "m", "1", [F.col("offset")], f"{at}/rejects", query)
     jobs.finish(jobs.each_batch(captured_stream(spark, f"{at}/in", 1), handler, f"{at}/cp", True))
     return store, handler, at
 
@@ -71,18 +71,52 @@ def test_score_once_across_batches(spark):
 
 
 def test_replayed_and_half_written_batches(spark):
-    store, handler, _ = score_all(spark, [message(1, 10.0)])
+    store, handler, _ = score_all(spark, [message(1, 10.0)], query="q")
     handler(records(spark, [message(1, 999.0), message(2, 20.0)]), 0)  # committed already: nothing happens
     assert store.predictions().count() == 1
     # a crash after the first table of batch 1: its rows stay invisible and are rewritten on replay
-    half = store._read("transactions").limit(1).drop("batch_id").withColumn("transaction_id", F.lit(77).cast("bigint"))
-    half.write.parquet(f"{store.path}/transactions/batch_id=1")
+    half = store._read("transactions").limit(1).drop("query", "batch_id").withColumn("transaction_id", F.lit(77).cast("bigint"))
+    half.write.parquet(f"{store.path}/transactions/query=q/batch_id=1")
     assert store.transactions().count() == 1
     handler(records(spark, [message(2, 20.0), message(1, 5.0)]), 1)
     assert sorted(r.transaction_id for r in store.transactions().collect()) == [1, 2]
     assert sorted(r.transaction_id for r in store.predictions().collect()) == [1, 2]
 
 
+def test_new_checkpoints_and_second_queries_lose_nothing(spark):
+    """Batch numbers repeat with every checkpoint and between queries; ids are still stored once each."""
+    store, _, at = score_all(spark, [message(i) for i in range(5)])
+    for n, checkpoint in ((5, "cp2"), (10, "cp3")):
+        records(spark, [message(i) for i in range(n - 1, n + 5)] + [{"TransactionID": 900 + n}]).coalesce(1).write.parquet(f"{at}/in{n}")
+        handler = score_batch(store, amount_score, "m", "1", [F.col("offset")], f"{at}/rejects")
+        jobs.finish(jobs.each_batch(captured_stream(spark, f"{at}/in{n}", 1), handler, f"{at}/{checkpoint}", True))
+    assert sorted(r.transaction_id for r in store.predictions().collect()) == list(range(15))
+    assert sorted(r.transaction_id for r in store.transactions().collect()) == list(range(15))
+    assert store._read("commits").select("query").distinct().count() == 3
+    assert spark.read.parquet(f"{at}/rejects").count() == 2
+
+
+def test_a_handler_outside_a_stream_needs_a_name(spark):
+    at = work_path(spark, "t-name")
+    store = PredictionStore(spark, f"{at}/store")
+    with pytest.raises(ValueError, match="name"):
+        score_batch(store, amount_score, "m", "1", [F.col("offset")], f"{at}/rejects")(records(spark, [message(1)]), 0)
+
+
+def test_streams_read_a_folder_of_part_files(spark, tmp_path):
+    from cardwarden.plans import registry
+    whole = "/root/testdata/sf0.001"
+    spark.read.parquet(f"{whole}/events.parquet").repartition(5).write.parquet(f"{tmp_path}/events.parquet")
+    for name in ("stream_parse", "stream_rates", "stream_score_once", "stream_rejects", "stream_first_within_horizon"):
+        got, want = (registry.QUERIES[name](spark, d) for d in (str(tmp_path), whole))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+
+
+def test_whole_numbers_are_truncated(spark):
+    rows = parse_records(records(spark, [message(1, card1="13926.99999"), message(2, card1="-0.99999"), message(3, card1="9223372036854775807")])).collect()
+    assert [r.card1 for r in rows] == [13926, 0, 2 ** 63 - 1]
+
+
 def test_file_sink_restart_takes_only_new_records(spark):
     at = work_path(spark, "t-files")
     for n in (3, 5):
