@@ -83,7 +83,18 @@ class RiskModel:
     def load(cls, spark: SparkSession, path: str) -> RiskModel:
         import json
         text = spark.read.parquet(f"{path}/inputs").first().inputs
-        return cls(PipelineModel.load(f"{path}/pipeline"), T.StructType.fromJson(json.loads(text)))
+        model = cls(PipelineModel.load(f"{path}/pipeline"), T.StructType.fromJson(json.loads(text)))
+        model.check()
+        return model
+
+    def check(self) -> None:
+        """The contract between inputs, assembled names and classifier; broken ones raise on load."""
+        names, wanted = self.names, self.classifier.numFeatures
+        if len(names) != wanted:
+            raise ValueError(f"the classifier expects {wanted} features, the assembler gives {len(names)}")
+        absent = [n for n in names if n.split(fixed.MISSING_SUFFIX)[0].split("=")[0] not in set(self.inputs.names)]
+        if absent and all(n in self.inputs.names or n.endswith(fixed.MISSING_SUFFIX) for n in names):
+            raise ValueError(f"features without an input: {absent}")
 
 
 def score_external(df: DataFrame, load: Callable[[], Callable[[pd.DataFrame], np.ndarray]],
@@ -140,11 +151,14 @@ def fit_linear(train: DataFrame, numeric: list[str], categorical: list[str], lab
 
 
 def fit_boosted(train: DataFrame, numeric: list[str], categorical: list[str], label: str = fixed.TARGET,
-                indicators: bool = True, settings: dict | None = None, bins: int = 256) -> RiskModel:
+                indicators: bool = True, settings: dict | None = None, bins: int = 256,
+                trees: int = fixed.TREES) -> RiskModel:
     """Boosted trees with positives weighted by neg/pos; ``settings`` override the fixed ones."""
-    chosen = {**fixed.BOOSTED, **(settings or {})}
+    chosen = {**fixed.BOOSTED, **(settings or {}), "maxIter": trees}
 
-    def build(_):
+    def build(w):
+        if not w.positives:
+            raise ValueError("no positive row to learn from")
         return GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                              maxBins=bins, checkpointInterval=10, **chosen)
     return _fit(train, numeric, categorical, label, False, build, indicators=indicators,

@@ -121,17 +121,13 @@ def prepared(spark, sf):
     return _keep(spark, sf, "prepared", make)
 
 
-# Twenty trees keep the catalogue quick; a production fit takes the fixed settings as they are.
-QUICK = {"maxIter": 20}
-
-
 def fit_linear(spark, sf):
     return models.fit_linear(risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT)
 
 
 def fit_boosted(spark, sf):
     return models.fit_boosted(
-        risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT, settings=QUICK)
+        risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT)
 
 
 def fresh(spark, sf, name, fit):
@@ -163,14 +159,14 @@ def gbt_score(spark, sf):
 @query("gbt_score_without_indicators")
 def gbt_score_without_indicators(spark, sf):
     model = models.fit_boosted(risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT,
-                               indicators=False, settings=QUICK)
+                               indicators=False)
     return model.score(risk.part(prepared(spark, sf), "test"), [fixed.ID])
 
 
 @query("gbt_score_regularised")
 def gbt_score_regularised(spark, sf):
     model = models.fit_boosted(risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT,
-                               indicators=False, settings={**fixed.REGULARISED, **QUICK})
+                               indicators=False, settings=fixed.REGULARISED)
     return model.score(risk.part(prepared(spark, sf), "test"), [fixed.ID])
 
 
@@ -362,6 +358,6 @@ def stream_model_score(spark, sf):
     def score(rows):
         return model.score(rows, rows.columns, extras="extras")
 
-    handler = score_batch(store, score, "linear", "1", [F.col("offset")])
+    handler = score_batch(store, score, "linear", "1", [F.col("offset")], f"{at}/rejects")
     jobs.finish(jobs.each_batch(bus_records(event_stream(spark, sf), payload), handler, f"{at}/checkpoint", True))
     return store.predictions()
