@@ -131,6 +131,30 @@ def ranking_metrics(df: DataFrame, score: str, label: str) -> DataFrame:
     )
 
 
+def ranking_by(df: DataFrame, score: str, label: str, by: str) -> DataFrame:
+    """ROC-AUC of every period, exact: equal scores merge before the shuffle, score groups of a period
+    are ranked inside balanced buckets and shifted by the period's buckets above."""
+    rows = df.select(F.col(by).alias("by"), F.col(score).cast("double").alias("s"), F.col(label).alias("y")).where(
+        "s is not null and y is not null")
+    info = rows.agg(F.count("*").alias("n"), F.percentile_approx(
+        "s", [i / MAX_SPLITS for i in range(1, MAX_SPLITS)], 4 * MAX_SPLITS).alias("grid")).first()
+    grouped = rows.groupBy("by", "s").agg(F.sum("y").cast("bigint").alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
+    cells = bucketed(grouped, "s", balanced_splits(info.n, info.grid))
+    down = Window.partitionBy("by", "cell").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    higher = Window.partitionBy("by").orderBy(F.desc("cell")).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("by")
+    # A row per period and bucket.
+    above = cells.groupBy("by", "cell").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q")).select(
+        "by", "cell", F.coalesce(F.sum("q").over(higher), F.lit(0)).alias("neg_above"),
+        F.sum("p").over(whole).alias("positives"), F.sum("q").over(whole).alias("negatives"))
+    ranked = cells.withColumn("fp", F.sum("neg").over(down)).join(above, ["by", "cell"])
+    below = F.col("negatives") - F.col("neg_above") - F.col("fp")
+    won = F.sum(F.col("pos").cast("decimal(19,0)") * (2 * below + F.col("neg")).cast("decimal(19,0)")).cast("double")
+    pairs = 2.0 * F.col("positives") * F.col("negatives")
+    return ranked.groupBy("by", "positives", "negatives").agg(won.alias("won")).select(
+        F.col("by").alias(by), "positives", "negatives", F.when(pairs > 0, F.col("won") / pairs).alias("roc_auc"))
+
+
 def classification_report(df: DataFrame, score: str, label: str, threshold: float = 0.5) -> DataFrame:
     """Per-class precision, recall, F1 and support, accuracy, macro and weighted means."""
     c = confusion_by_threshold(df, score, label, [threshold])

@@ -26,6 +26,18 @@ def assert_frame(df: DataFrame, target: str | None = None) -> None:
         raise ValueError("the table is empty")
 
 
+def frame_report(df: DataFrame) -> DataFrame:
+    """One row: rows, whether there are any, repeated column names, columns with any missing value."""
+    names = [c.lower() for c in df.columns]
+    repeated = sorted({c for c in names if names.count(c) > 1})
+    places = [f"__{i}" for i in range(len(names))]  # repeated names can only be told apart by place
+    missing = df.toDF(*places).agg(F.count("*").alias("total_rows"), *[F.count_if(F.col(p).isNull()).alias(p) for p in places])
+    gappy = F.array_compact(F.array(*[F.when(F.col(p) > 0, F.lit(c)) for p, c in zip(places, df.columns)]))
+    return missing.select("total_rows", (F.col("total_rows") == 0).alias("empty"),
+                          F.array_join(F.array(*[F.lit(r) for r in repeated]).cast("array<string>"), ",").alias("repeated_names"),
+                          F.array_join(gappy, ",").alias("missing_columns"))
+
+
 def key_profile(df: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows, distinct keys and rows after the first of each key, exact over the whole table."""
     keys = [key] if isinstance(key, str) else list(key)

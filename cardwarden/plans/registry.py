@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cardwarden.plans import modelling, monitoring, properties, scoring, streams, tables  # noqa: F401
+from cardwarden.plans import modelling, monitoring, properties, reports, scoring, streams, tables  # noqa: F401
 from cardwarden.plans.catalog import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
