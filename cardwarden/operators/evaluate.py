@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cardwarden import fixed
 from cardwarden.functions.numeric import ratio
-from cardwarden.operators.ordering import MAX_SPLITS, balanced_splits, bucketed
+from cardwarden.operators.ordering import balanced_splits, bucketed, grid_of
 
 
 def _reached(score: Column, thresholds: list[float]) -> Column:
@@ -90,14 +90,14 @@ def ranking_metrics(df: DataFrame, score: str, label: str) -> DataFrame:
 
     Equal scores merge on the map side.  Score groups then go to buckets around approximate
     quantiles, which only balance the work; each bucket is ranked by itself and shifted by the
-    totals of the buckets above it (at most 512 rows).  AUC is null when a class is absent.
+    totals of the buckets above it (one row per bucket).  AUC is null when a class is absent.
     """
     rows = df.select(F.col(score).cast("double").alias("s"), F.col(label).cast("int").alias("y")).where(
         F.col("s").isNotNull() & F.col("y").isNotNull())
-    grid = [i / MAX_SPLITS for i in range(1, MAX_SPLITS)]
+    grid = grid_of(rows.count())
     info = rows.agg(
         F.count("*").alias("n"), F.coalesce(F.sum("y"), F.lit(0)).alias("pos"),
-        F.percentile_approx("s", grid, 4 * MAX_SPLITS).alias("grid"),
+        F.percentile_approx("s", grid, 4 * (len(grid) + 1)).alias("grid"),
     ).first()
     positives, negatives = info.pos, info.n - info.pos
     grouped = rows.groupBy("s").agg(
@@ -136,8 +136,8 @@ def ranking_by(df: DataFrame, score: str, label: str, by: str) -> DataFrame:
     are ranked inside balanced buckets and shifted by the period's buckets above."""
     rows = df.select(F.col(by).alias("by"), F.col(score).cast("double").alias("s"), F.col(label).alias("y")).where(
         "s is not null and y is not null")
-    info = rows.agg(F.count("*").alias("n"), F.percentile_approx(
-        "s", [i / MAX_SPLITS for i in range(1, MAX_SPLITS)], 4 * MAX_SPLITS).alias("grid")).first()
+    grid = grid_of(rows.count())
+    info = rows.agg(F.count("*").alias("n"), F.percentile_approx("s", grid, 4 * (len(grid) + 1)).alias("grid")).first()
     grouped = rows.groupBy("by", "s").agg(F.sum("y").cast("bigint").alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
     cells = bucketed(grouped, "s", balanced_splits(info.n, info.grid))
     down = Window.partitionBy("by", "cell").orderBy(F.desc("s")).rowsBetween(Window.unboundedPreceding, Window.currentRow)

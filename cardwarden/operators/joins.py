@@ -70,7 +70,7 @@ def known_subset(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     A counted small key set is broadcast, so the table is filtered where it lies; beyond the bound
     both sides are shuffled.
     """
-    few = keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    few = keys.count() <= BROADCAST_ROWS
     return table.join(F.broadcast(keys) if few else keys, key, "left_semi")
 
 

@@ -88,10 +88,13 @@ def arming_requests(requests: DataFrame, key: str, time: str, request_id: str,
     micros = epoch_micros(F.col(time), requests.schema[time].dataType)
     tick = whole_units(micros, SECOND // ticks_per_second)
     # Requests of one id at one tick collapse on the map side; the first of them can arm.
+    # Requests without an id or a time are no lookups.
+    kind = requests.schema[key].dataType.simpleString()
+    known = requests.where(F.col(key).isNotNull() & F.col(time).isNotNull())
     instants = materialise(
-        requests.groupBy(F.col(key).alias("id"), tick.alias("t")).agg(
+        known.groupBy(F.col(key).alias("id"), tick.alias("t")).agg(
             F.min(request_id).alias("rid")), "lookup-instants")
-    span = instants.groupBy("id", F.expr(f"t div {lifetime}").alias("b")).agg(
+    span = instants.groupBy("id", whole_units(F.col("t"), lifetime).alias("b")).agg(
         F.count("*").alias("n")).agg(
         F.max("n").alias("densest"), F.min("b").alias("first"), F.max("b").alias("last")).first()
     if span.densest is None:
@@ -103,14 +106,14 @@ def arming_requests(requests: DataFrame, key: str, time: str, request_id: str,
     tasks = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shifted = (F.col("t") - F.lit(origin)).alias("t")
     levels = [instants.select(
-        "id", F.expr(f"(t - {origin}) div {lifetime}").alias("block"), shifted,
+        "id", whole_units(F.col("t") - F.lit(origin), lifetime).alias("block"), shifted,
         (F.col("t") - F.lit(origin) + F.lit(lifetime)).alias("leaving"))]
     widths = [1]
     while widths[-1] * fan < buckets:
         below = levels[-1].withColumn("parent", F.expr(f"block div {fan}")).repartition(tasks, "id", "parent")
         level = below.groupBy("id", "parent").applyInPandas(
             _summarise(widths[-1] * fan * lifetime, lifetime),
-            "id bigint, block bigint, t bigint, leaving bigint")
+            f"id {kind}, block bigint, t bigint, leaving bigint")
         levels.append(materialise(level, "lookup-level"))
         widths.append(widths[-1] * fan)
 
@@ -121,11 +124,11 @@ def arming_requests(requests: DataFrame, key: str, time: str, request_id: str,
         below = level.withColumn("parent", F.expr(f"block div {fan}"))
         # A given task number: the rows are few bytes but much work, which size-based merging ignores.
         handed = below.join(entering, ["id", "parent"]).repartition(tasks, "id", "parent").groupBy("id", "parent").applyInPandas(
-            _hand_down, "id bigint, block bigint, entering bigint")
+            _hand_down, f"id {kind}, block bigint, entering bigint")
         entering = handed.withColumnRenamed("block", "parent")
     # In each bucket the first instant at or after the entering expiry arms.
     in_bucket = instants.select(
-        "id", F.expr(f"(t - {origin}) div {lifetime}").alias("parent"), shifted, "rid")
+        "id", whole_units(F.col("t") - F.lit(origin), lifetime).alias("parent"), shifted, "rid")
     arms = in_bucket.join(entering, ["id", "parent"]).where(F.col("t") >= F.col("entering")).groupBy(
         "id", "parent", "entering").agg(F.min(F.struct("t", "rid")).alias("a"))
     return arms.select(
@@ -135,7 +138,11 @@ def arming_requests(requests: DataFrame, key: str, time: str, request_id: str,
 
 def lookup_sources(requests: DataFrame, key: str, time: str, request_id: str,
                    ttl_seconds: float = fixed.STORE_TTL_SECONDS) -> DataFrame:
-    """Every request with its ``source``; request ids are unique, so the join has no hot key."""
+    """Every request with its ``source``; request ids are unique, so the join has no hot key.
+
+    A request without an id or a time asks for nothing: its source is null.
+    """
     arms = arming_requests(requests, key, time, request_id, ttl_seconds)
+    asked = F.col(key).isNotNull() & F.col(time).isNotNull()
     return requests.join(arms, request_id, "left").withColumn(
-        "source", F.coalesce("source", F.lit("cache")))
+        "source", F.coalesce("source", F.when(asked, "cache")))

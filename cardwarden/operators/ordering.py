@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CELLS = 4096
-MAX_SPLITS = 512
+LEAST_SPLITS = 512
 ROWS_PER_SPLIT = 50_000
 
 
@@ -144,12 +144,18 @@ def exact_quantiles(
     return out
 
 
+def grid_of(n: int) -> list[float]:
+    """Evenly spaced probabilities: as many as buckets for n rows, however many those are."""
+    wanted = max(LEAST_SPLITS, n // ROWS_PER_SPLIT)
+    return [i / wanted for i in range(1, wanted)]
+
+
 def balanced_splits(n: int, grid: list[float] | None) -> list[float]:
     """Inner bucket bounds from an approximate grid: enough of them for the row count, each once.
 
     The grid only balances the buckets; results do not depend on it.
     """
-    wanted = min(MAX_SPLITS, n // ROWS_PER_SPLIT)
+    wanted = n // ROWS_PER_SPLIT
     if not grid or wanted < 2:
         return []
     stride = max(1, len(grid) // wanted)

@@ -4,34 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardwarden import fixed
 from cardwarden.functions.numeric import exact_decimal, whole
 from cardwarden.operators.joins import known_subset, spread_join
 from cardwarden.operators.ordering import first_by
+from cardwarden.schemas import STORED_TRANSACTION
+from cardwarden.session import materialise
+
+
+# Stored name and name in the request.
+SENT_AS = [
+    ("transaction_id", "TransactionID"), ("transaction_dt", "TransactionDT"), ("transaction_amt", "TransactionAmt"),
+    ("product_cd", "ProductCD"), ("card1", "card1"), ("card2", "card2"), ("card3", "card3"), ("card4", "card4"),
+    ("card5", "card5"), ("card6", "card6"), ("addr1", "addr1"), ("addr2", "addr2"), ("dist1", "dist1"), ("dist2", "dist2"),
+    ("p_emaildomain", "P_emaildomain"), ("r_emaildomain", "R_emaildomain"),
+]
 
 
 def transaction_rows(scored: DataFrame, created_at: Column | None = None) -> DataFrame:
     """Requests in the types of the transaction table; labels are unknown when scoring."""
-    text = {"product_cd": "ProductCD", "card4": "card4", "card6": "card6",
-            "p_emaildomain": "P_emaildomain", "r_emaildomain": "R_emaildomain"}
-    order = ("product_cd card1 card2 card3 card4 card5 card6 addr1 addr2 dist1 dist2 "
-             "p_emaildomain r_emaildomain").split()
-    cols = [
-        whole(F.col(fixed.ID)).alias("transaction_id"),
-        whole(F.col(fixed.TIME)).alias("transaction_dt"),
-        exact_decimal(F.col(fixed.AMOUNT), 18, 6).alias("transaction_amt"),
-    ]
-    for name in order:
-        if name in text:
-            cols.append(F.col(text[name]).alias(name))
-        elif name.startswith("dist"):
-            cols.append(exact_decimal(F.col(name), 18, 6).alias(name))
-        else:
-            cols.append(whole(F.col(name)).alias(name))
-    cols.append(F.lit(None).cast("boolean").alias("actual_fraud"))
-    cols.append((created_at if created_at is not None else F.current_timestamp()).alias("created_at"))
-    return scored.select(*cols)
+    def stored(sent: str, kind: T.DataType) -> Column:
+        if isinstance(kind, T.DecimalType):
+            return exact_decimal(F.col(sent), kind.precision, kind.scale)
+        return whole(F.col(sent)) if isinstance(kind, T.LongType) else F.col(sent)
+
+    return scored.select(
+        *[stored(sent, STORED_TRANSACTION[name].dataType).alias(name) for name, sent in SENT_AS],
+        F.lit(None).cast("boolean").alias("actual_fraud"),
+        (created_at if created_at is not None else F.current_timestamp()).alias("created_at"))
 
 
 def prediction_rows(scored: DataFrame, model_name: str, model_version: str, key: str = fixed.ID,
@@ -63,7 +65,7 @@ def new_keys(batch: DataFrame, existing: DataFrame, key: str, earliest: list[Col
     The batch is reduced to one row per key before anything is joined, and the table is first cut
     to the batch's keys, so a busy key and a large table cost one narrow pass each.
     """
-    firsts = first_by(batch, key, earliest)
+    firsts = materialise(first_by(batch, key, earliest), "firsts")
     stored = known_subset(existing.select(key), firsts.select(key), key).distinct()
     return firsts.join(stored, key, "left_anti")
 
@@ -75,7 +77,7 @@ def score_once(requests: DataFrame, log: DataFrame, key: str, earliest: list[Col
     A stored result is returned whatever its age; only unseen ids are scored.  ``score`` maps the
     unseen requests to the columns of the log.
     """
-    firsts = first_by(requests, key, earliest)
+    firsts = materialise(first_by(requests, key, earliest), "firsts")
     mine = known_subset(log, firsts.select(key), key)
     stored = latest_per_key(mine, key, newest)
     unseen = firsts.join(stored.select(key), key, "left_anti")

@@ -11,7 +11,7 @@ from cardwarden.plans import risk
 from cardwarden.plans.catalog import query, rounded, table
 from cardwarden.plans.inputs import CARD_SQL, GAPPY_SQL, card_transactions, gappy_lines
 from cardwarden.plans.streams import bus_records, event_stream
-from cardwarden.schemas import struct_of
+from cardwarden.schemas import DOUBLE, schema_of
 from cardwarden.session import materialise, work_path
 from cardwarden.streaming import jobs
 from cardwarden.streaming.score_once import score_batch
@@ -209,7 +209,7 @@ def validation_curve(spark, sf):
     return models.loss_curve(boosted(spark, sf), risk.part(prepared(spark, sf), "valid"))
 
 
-EXTERNAL = struct_of("TransactionAmt double, C1 double, V1 double")
+EXTERNAL = T.StructType([T.StructField(n, T.DoubleType()) for n in ("TransactionAmt", "C1", "V1")])
 
 
 def _external():

@@ -11,7 +11,7 @@ from cardwarden.functions.clock import SECOND, epoch_micros, whole_units
 from cardwarden.functions.decision import decision, flagged
 from cardwarden.operators.validation import accepted, with_reasons
 from cardwarden.plans.catalog import query, rounded, table
-from cardwarden.schemas import TRANSACTION, struct_of
+from cardwarden.schemas import TRANSACTION
 from cardwarden.session import work_path
 from cardwarden.sinks.bus import as_messages
 from cardwarden.sources.tables import table_stream
@@ -108,7 +108,7 @@ def json_publish(spark, sf):
         "c_custkey", "c_name", "c_acctbal",
         F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("c_mktsegment"))
     sent = as_messages(customer, "c_custkey")
-    back = struct_of("c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string")
+    back = "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string"
     return sent.select("key", F.from_json("value", back).alias("r"),
                        F.col("value").contains('"c_mktsegment":').alias("segment_sent")).select(
         "key", "r.*", "segment_sent")

@@ -10,13 +10,12 @@ from cardwarden.operators import joins, missingness, ordering, quality
 from cardwarden.plans.catalog import query, rounded, table
 from cardwarden.plans.inputs import (
     GAPPY_COLUMNS, GAPPY_SQL, LABELLED_SQL, LOG_SQL, gappy_lines, labelled_documents, prediction_log)
-from cardwarden.schemas import conform, struct_of
+from cardwarden.schemas import DOUBLE, LONG, TEXT, conform, schema_of
 from cardwarden.session import work_path
 from cardwarden.sinks.tables import export_csv, write_table
 from cardwarden.sources.tables import read_csv
 
-ORDERS_CSV = struct_of("o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
-                       "o_totalprice double, o_orderpriority string")
+ORDERS_CSV = schema_of(o_orderkey=LONG, o_custkey=LONG, o_orderstatus=TEXT, o_totalprice=DOUBLE, o_orderpriority=TEXT)
 
 
 @query("csv_round_trip", """
@@ -308,7 +307,7 @@ def schema_conformance(spark, sf):
     given = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("TransactionID"), F.col("o_custkey").alias("card1"),
         F.col("o_orderstatus").alias("ProductCD"), "o_orderpriority")
-    return conform(given, struct_of("TransactionAmt double, ProductCD string, card1 double, card4 string"),
+    return conform(given, schema_of(TransactionAmt=DOUBLE, ProductCD=TEXT, card1=DOUBLE, card4=TEXT),
                    keep=["TransactionID"])
 
 

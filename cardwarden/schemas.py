@@ -10,44 +10,67 @@ from pyspark.sql import types as T
 
 from cardwarden import fixed
 
-_TYPES = {
-    "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
-    "string": T.StringType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
-}
+LONG, DOUBLE, TEXT, FLAG, TIME = T.LongType(), T.DoubleType(), T.StringType(), T.BooleanType(), T.TimestampType()
 
 
-def struct_of(text: str) -> T.StructType:
-    """``"a bigint, b decimal(18,6)!"`` to a StructType; ``!`` marks a required column."""
-    fields = []
-    for part in re.split(r",\s*(?![^(]*\))", text.strip()):
-        name, kind = part.split()
-        required, kind = kind.endswith("!"), kind.rstrip("!")
-        scaled = re.fullmatch(r"decimal\((\d+),(\d+)\)", kind)
-        dtype = T.DecimalType(int(scaled[1]), int(scaled[2])) if scaled else _TYPES[kind]
-        fields.append(T.StructField(name, dtype, not required))
-    return T.StructType(fields)
+def schema_of(**types: T.DataType) -> T.StructType:
+    """Nullable columns in the given order."""
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
 
 
 # --- fixed values: fields of one transaction message -------------------------------------------
-TRANSACTION = struct_of(
-    "TransactionID bigint, TransactionDT bigint, TransactionAmt double, ProductCD string, "
-    "card1 bigint, card2 double, card3 double, card4 string, card5 double, card6 string, "
-    "addr1 double, addr2 double, dist1 double, dist2 double, "
-    "P_emaildomain string, R_emaildomain string, isFraud bigint"
-)
+TRANSACTION = T.StructType([
+    T.StructField("TransactionID", LONG),
+    T.StructField("TransactionDT", LONG),
+    T.StructField("TransactionAmt", DOUBLE),
+    T.StructField("ProductCD", TEXT),
+    T.StructField("card1", LONG),
+    T.StructField("card2", DOUBLE),
+    T.StructField("card3", DOUBLE),
+    T.StructField("card4", TEXT),
+    T.StructField("card5", DOUBLE),
+    T.StructField("card6", TEXT),
+    T.StructField("addr1", DOUBLE),
+    T.StructField("addr2", DOUBLE),
+    T.StructField("dist1", DOUBLE),
+    T.StructField("dist2", DOUBLE),
+    T.StructField("P_emaildomain", TEXT),
+    T.StructField("R_emaildomain", TEXT),
+    T.StructField("isFraud", LONG),
+])
 # --- fixed values: stored transactions, one row per id -------------------------------------------
-STORED_TRANSACTION = struct_of(
-    "transaction_id bigint!, transaction_dt bigint!, transaction_amt decimal(18,6)!, "
-    "product_cd string, card1 bigint, card2 bigint, card3 bigint, card4 string, card5 bigint, "
-    "card6 string, addr1 bigint, addr2 bigint, dist1 decimal(18,6), dist2 decimal(18,6), "
-    "p_emaildomain string, r_emaildomain string, actual_fraud boolean, created_at timestamp!"
-)
+STORED_TRANSACTION = T.StructType([
+    T.StructField("transaction_id", LONG, False),
+    T.StructField("transaction_dt", LONG, False),
+    T.StructField("transaction_amt", T.DecimalType(18, 6), False),
+    T.StructField("product_cd", TEXT),
+    T.StructField("card1", LONG),
+    T.StructField("card2", LONG),
+    T.StructField("card3", LONG),
+    T.StructField("card4", TEXT),
+    T.StructField("card5", LONG),
+    T.StructField("card6", TEXT),
+    T.StructField("addr1", LONG),
+    T.StructField("addr2", LONG),
+    T.StructField("dist1", T.DecimalType(18, 6)),
+    T.StructField("dist2", T.DecimalType(18, 6)),
+    T.StructField("p_emaildomain", TEXT),
+    T.StructField("r_emaildomain", TEXT),
+    T.StructField("actual_fraud", FLAG),
+    T.StructField("created_at", TIME, False),
+])
 # --- fixed values: prediction log, append only ---------------------------------------------------
-STORED_PREDICTION = struct_of(
-    "transaction_id bigint!, model_name string!, model_version string!, "
-    "fraud_probability decimal(12,10)!, fraud_prediction boolean!, decision string!, "
-    "threshold decimal(5,4)!, prediction_latency_ms decimal(12,4), created_at timestamp!"
-)
+STORED_PREDICTION = T.StructType([
+    T.StructField("transaction_id", LONG, False),
+    T.StructField("model_name", TEXT, False),
+    T.StructField("model_version", TEXT, False),
+    T.StructField("fraud_probability", T.DecimalType(12, 10), False),
+    T.StructField("fraud_prediction", FLAG, False),
+    T.StructField("decision", TEXT, False),
+    T.StructField("threshold", T.DecimalType(5, 4), False),
+    T.StructField("prediction_latency_ms", T.DecimalType(12, 4)),
+    T.StructField("created_at", TIME, False),
+])
 # Columns of a record on the message bus.
 BUS_RECORD = T.StructType([
     T.StructField("key", T.BinaryType()), T.StructField("value", T.BinaryType()),

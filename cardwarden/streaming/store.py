@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cardwarden.schemas import STORED_PREDICTION, STORED_TRANSACTION, struct_of
+from cardwarden.schemas import STORED_PREDICTION, STORED_TRANSACTION
 
-COMMIT = struct_of("query string, batch_id bigint")
+COMMIT = T.StructType([T.StructField("query", T.StringType()), T.StructField("batch_id", T.LongType())])
 
 
 def _with_batch(schema: T.StructType) -> T.StructType:

@@ -154,3 +154,12 @@ def test_counters_of_an_empty_log(spark):
     assert metrics.flagged_total(none).first().flagged == 0
     assert tuple(metrics.kpis(none).first()) == (0, 0, 0.0, 0.0)
     assert metrics.run_summary(none).first().flagged_percentage == 0.0
+
+
+@pytest.mark.parametrize("shift", [0, 10_000, -10_000])
+def test_lifetimes_do_not_depend_on_where_time_is_zero(spark, shift):
+    epoch = datetime.datetime(1970, 1, 1)
+    rows = [(1, "a", epoch + datetime.timedelta(seconds=shift - 290)), (2, "a", epoch + datetime.timedelta(seconds=shift + 20)),
+            (3, "b", epoch + datetime.timedelta(seconds=shift)), (4, None, epoch), (5, None, epoch), (6, "a", None)]
+    got = lifetimes.lookup_sources(spark.createDataFrame(rows, "rid bigint, id string, t timestamp_ntz"), "id", "t", "rid", 300)
+    assert {r.rid: r.source for r in got.collect()} == {1: "model", 2: "database", 3: "model", 4: None, 5: None, 6: None}

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cardwarden import fixed, schemas
 from cardwarden.functions import numeric, text
@@ -12,7 +13,7 @@ from cardwarden.sources import bus, tables
 
 
 def test_csv_edge(spark):
-    schema = schemas.struct_of("id bigint, x double, s string")
+    schema = T.StructType.fromDDL("id bigint, x double, s string")
     path = work_path(spark, "csv")
     export_csv(spark.createDataFrame([(1, float("nan"), "a"), (2, 1.5, None)], schema), path)
     rows = {r.id: (r.x, r.s) for r in tables.read_csv(spark, path, schema).collect()}
@@ -20,7 +21,7 @@ def test_csv_edge(spark):
     with pytest.raises(AnalysisException):
         tables.read_csv(spark, path + "-absent", schema).count()
     with pytest.raises(Exception, match="MALFORMED|Malformed"):
-        tables.read_csv(spark, path, schemas.struct_of("id bigint, x double, s bigint")).collect()
+        tables.read_csv(spark, path, T.StructType.fromDDL("id bigint, x double, s bigint")).collect()
 
 
 def test_inspect(spark):
@@ -92,7 +93,7 @@ def test_read_pair(spark):
     a, b = work_path(spark, "pair-a"), work_path(spark, "pair-b")
     export_csv(spark.range(3), a)
     export_csv(spark.range(5), b)
-    schema = schemas.struct_of("id bigint")
+    schema = T.StructType.fromDDL("id bigint")
     left, right = tables.read_pair(spark, a, b, schema, schema)
     assert (left.count(), right.count()) == (3, 5)
 
@@ -185,7 +186,7 @@ def test_schema_steps(spark):
              "addr1", "DeviceInfo", "Vx", "P_emaildomain", "note"]
     assert schemas.select_features(names) == [
         "ProductCD", "card1", "addr1", "P_emaildomain", "C1", "D1", "M1", "V2", "V1", "id_01", "DeviceInfo"]
-    df = spark.createDataFrame([], schemas.struct_of(", ".join(f"{n} double" for n in names)))
+    df = spark.createDataFrame([], T.StructType.fromDDL(", ".join(f"{n} double" for n in names)))
     groups = {r.group: r.n for r in schemas.feature_group_counts(df).collect()}
     assert groups["v"] == 2 and groups["excluded"] == 5
     assert schemas.leakage_names(["Label", "isFraud", "x", "is_fraud"]) == ["Label", "is_fraud"]
@@ -204,7 +205,7 @@ def test_schema_steps(spark):
 
 def test_conform_uses_extras(spark):
     df = spark.createDataFrame([(1, {"V1": "2.5", "V2": "x"})], "TransactionID bigint, extras map<string,string>")
-    out = schemas.conform(df, schemas.struct_of("V2 double, V1 double, V3 double"), ["TransactionID"], "extras")
+    out = schemas.conform(df, T.StructType.fromDDL("V2 double, V1 double, V3 double"), ["TransactionID"], "extras")
     assert tuple(out.first()) == (1, None, 2.5, None)
 
 
