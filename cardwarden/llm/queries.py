@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import balance, chats, host_rules, leaks, licenses, lm, personal, pieces, secrets, simhash
+from cardwarden.llm import balance, chats, host_rules, leaks, licenses, lm, oracles, personal, pieces, secrets, simhash
 from cardwarden.plans.catalog import table
 
 
@@ -56,4 +56,4 @@ QUERIES = {f.__name__: f for f in (
     op1_entropy_balanced_mix, op2_host_quality_rules, op3_backoff_automaton_scores, op4_simhash_near_dedup,
     op5_unigram_token_counts, op6_secret_scan, op7_personal_data, op8_license_scan, op9_maximal_chats,
     op10_benchmark_leaks)}
-ORACLES: dict[str, str] = {}
+ORACLES = {"op2_host_quality_rules": oracles.HOST_RULES, "op9_maximal_chats": oracles.CHATS}
