@@ -209,7 +209,7 @@ def validation_curve(spark, sf):
     return models.loss_curve(boosted(spark, sf), risk.part(prepared(spark, sf), "valid"))
 
 
-EXTERNAL = T.StructType([T.StructField(n, T.DoubleType()) for n in ("TransactionAmt", "C1", "V1")])
+EXTERNAL = schema_of(TransactionAmt=DOUBLE, C1=DOUBLE, V1=DOUBLE)
 
 
 def _external():
