@@ -33,8 +33,8 @@ from cardwarden.session import materialise
 
 ORDER = 2
 PRIOR = 300.0
-CHUNK_TOKENS = 1_000_000
-BUCKET_TOKENS = 2_000_000
+CHUNK_TOKENS = 300_000
+BUCKET_TOKENS = 1_000_000
 LANE = 512
 END = 0  # digest of the end of a text
 ODD = np.uint64(0x9E3779B97F4A7C15)
