@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden import fixed
+from cardwarden.operators.joins import spread_join
 from cardwarden.operators.ordering import dense_codes, exact_quantiles
 from cardwarden.schemas import assert_numeric
 
@@ -79,9 +80,9 @@ def ordinal_codes(df: DataFrame, column: str) -> DataFrame:
 
 
 def encode_by_join(df: DataFrame, column: str, codes: DataFrame, output: str, unseen: int = -1) -> DataFrame:
-    """Codes looked up by join; unseen categories get -1."""
+    """Codes looked up by join; unseen categories and nulls get -1.  Frequent categories are spread."""
     table = codes.withColumnRenamed("code", output)
-    return df.join(table, column, "left").withColumn(output, F.coalesce(F.col(output), F.lit(unseen)))
+    return spread_join(df, table, column).withColumn(output, F.coalesce(F.col(output), F.lit(unseen)))
 
 
 def _quoted(text: str) -> str:

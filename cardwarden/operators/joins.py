@@ -77,7 +77,7 @@ def known_subset(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 def spread_join(left: DataFrame, right: DataFrame, key: str, salts: int = 64, hot_share: float = 0.001) -> DataFrame:
     """Left join to a table with unique keys when some left keys own a large share of the rows.
 
-    Keys above ``hot_share`` of the rows number fewer than ``1 / hot_share``, so that list is small
+    Rows without a key match nothing and are spread too.  Keys above ``hot_share`` of the rows number fewer than ``1 / hot_share``, so that list is small
     enough to broadcast.  Their rows spread over ``salts`` partitions and their single right row is
     copied as often; all other keys keep one copy.
     """
@@ -87,7 +87,7 @@ def spread_join(left: DataFrame, right: DataFrame, key: str, salts: int = 64, ho
     hot = F.broadcast(hot)
     spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in left.columns]), F.lit(salts)).cast("int")
     salted = left.join(hot, key, "left").withColumn(
-        "__salt", F.when(F.col("__hot"), spread).otherwise(0)).drop("__hot")
+        "__salt", F.when(F.col("__hot") | F.col(key).isNull(), spread).otherwise(0)).drop("__hot")
     copies = right.join(hot, key, "left").withColumn(
         "__salt", F.explode(F.sequence(F.lit(0), F.when(F.col("__hot"), salts - 1).otherwise(0)))
     ).drop("__hot")

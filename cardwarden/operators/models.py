@@ -154,7 +154,7 @@ def fit_boosted(train: DataFrame, numeric: list[str], categorical: list[str], la
                 indicators: bool = True, settings: dict | None = None, bins: int = 256,
                 trees: int = fixed.TREES) -> RiskModel:
     """Boosted trees with positives weighted by neg/pos; ``settings`` override the fixed ones."""
-    chosen = {**fixed.BOOSTED, **(settings or {}), "maxIter": trees}
+    chosen = {**fixed.BOOSTED, "maxIter": trees, **(settings or {})}
 
     def build(w):
         if not w.positives:

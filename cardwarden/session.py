@@ -50,8 +50,17 @@ def work_path(spark: SparkSession, label: str) -> str:
 
     Nothing is reused or overwritten; the subfolder can be dropped once the application is over.
     """
-    mine = f"{shared_folder(spark).rstrip('/')}/cardwarden-{spark.sparkContext.applicationId}"
-    return f"{mine}/{label}-{uuid.uuid4().hex}"
+    return f"{_own_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/cardwarden-{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> bool:
+    """Delete the application's work tables once its results are written; false when there were none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(_own_folder(spark))
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def use_checkpoints(spark: SparkSession) -> None:

@@ -163,3 +163,19 @@ def test_lifetimes_do_not_depend_on_where_time_is_zero(spark, shift):
             (3, "b", epoch + datetime.timedelta(seconds=shift)), (4, None, epoch), (5, None, epoch), (6, "a", None)]
     got = lifetimes.lookup_sources(spark.createDataFrame(rows, "rid bigint, id string, t timestamp_ntz"), "id", "t", "rid", 300)
     assert {r.rid: r.source for r in got.collect()} == {1: "model", 2: "database", 3: "model", 4: None, 5: None, 6: None}
+
+
+def test_spread_join_leaves_no_large_partition(spark):
+    """A key with a third of the rows and as many rows without a key end up all over the place."""
+    rows = spark.range(30_000).select(F.col("id").alias("row"), F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 3 == 1, F.col("id")).alias("k"))
+    right = spark.range(30_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = joins.spread_join(rows, right, "k")
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 30_000 and max(sizes) < 2.5 * 30_000 / 8
+        assert joined.where("k is not null and (v is null or v <> 2 * k)").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
