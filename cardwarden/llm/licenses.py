@@ -21,7 +21,7 @@ PLAIN = bytes(
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
 TAG = "spdx license identifier"
-TAG_TEXT = re.compile(r"(?i)spdx-license-identifier\s*:\s*([^\n\r]*)")
+TAG_TEXT = re.compile(r"(?i)spdx-license-identifier\s*:\s*((?:(?!spdx-license-identifier|\*/|--!?>|\*\)|[\n\r]).)*)")
 
 # Notice phrases, as words, and the expression each stands for.
 NOTICES = {
@@ -58,6 +58,12 @@ EXCEPTION = 0.2    # what an exception (WITH) adds
 
 RANK = {"or": 1, "and": 2, "with": 3}
 TOKEN = re.compile(r"[()]|[A-Za-z0-9.+:-]+")
+# In a tag everything but blanks counts, so that whatever is no part of an expression ends it.
+TAG_TOKEN = re.compile(r"[()]|[^\s()]+")
+QUOTES = "\"'`<"
+TRAILING = re.compile(r"[^A-Za-z0-9+]+$")
+LIKELY = re.compile(r"[0-9-]")  # what sets an identifier apart from the prose after OR or AND
+OPERAND = re.compile(r"(?=.*[A-Za-z0-9])[A-Za-z0-9.+:-]+")
 
 
 def freedom(license_id: str) -> float:
@@ -68,8 +74,12 @@ def freedom(license_id: str) -> float:
 
 def parse(expression: str) -> list[str] | None:
     """Postfix form by shunting-yard (WITH before AND before OR); None when it is not an expression."""
+    return parse_tokens(TOKEN.findall(expression))
+
+
+def parse_tokens(tokens: list[str]) -> list[str] | None:
     out, waiting, operand = [], [], True
-    for token in TOKEN.findall(expression):
+    for token in tokens:
         word = token.lower()
         if token == "(":
             if not operand:
@@ -98,6 +108,37 @@ def parse(expression: str) -> list[str] | None:
     return out + waiting[::-1]
 
 
+def parse_tag(rest: str) -> list[str] | None:
+    """Postfix form of the longest expression among the first tokens of a tag's line; None without one.
+
+    The tokens end where no expression can go on: at an operand after an operand, at a token that is
+    none of theirs, after a mark of punctuation; then a plain word after OR or AND is prose unless
+    the table knows it as a license.  A line that ends unfinished (``MIT OR``) holds none.
+    """
+    tokens, ends, depth, operand, whole = [], [], 0, True, True
+    for raw in TAG_TOKEN.findall(rest):
+        token = raw if raw in "()" else TRAILING.sub("", raw.lstrip(QUOTES))
+        joins = token.lower() in RANK
+        if token in ("(", ")"):
+            ok = operand if token == "(" else not operand and depth > 0
+        else:
+            ok = not operand if joins else operand and OPERAND.fullmatch(token)
+        if not ok:
+            whole = False
+            break
+        tokens.append(token)
+        depth += (token == "(") - (token == ")")
+        operand = token == "(" or joins
+        if not operand and not depth and (not ends or token == ")" or LIKELY.search(token) or freedom(token) != UNKNOWN):
+            ends.append(len(tokens))
+        if raw not in "()" and TRAILING.search(raw):
+            whole = False
+            break
+    if whole:
+        return parse_tokens(tokens)
+    return parse_tokens(tokens[:ends[-1]]) if ends else None
+
+
 def evaluate(postfix: list[str]) -> tuple[float, list[str]]:
     """(freedom, identifiers): OR leaves the choice, AND binds to the stricter, WITH eases."""
     stack = []
@@ -131,11 +172,11 @@ def examine(text: bytes | None, automaton: ahocorasick.Automaton) -> tuple:
     places = [bisect_left(blanks, start) for start, _ in base]
     labels = {BASE[p] for _, p in base}
     values, expressions = [], [NOTICES[p] for _, p in hits if p in NOTICES]
+    parsed = [parse(e) for e in expressions]
     if any(p == TAG for _, p in hits):
-        expressions += TAG_TEXT.findall(text.decode("utf-8", "replace"))
+        parsed += [parse_tag(rest) for rest in TAG_TEXT.findall(text.decode("utf-8", "replace"))]
     found = set(labels)
-    for expression in expressions:
-        postfix = parse(expression)
+    for postfix in parsed:
         if postfix:
             value, names = evaluate(postfix)
             values.append(value)
@@ -150,7 +191,8 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
 
     ``labels`` adds to the base labels the identifiers of tags and notices; ``score`` is how freely the
     strictest of them lets the text be used: 1 freely, 0 not at all, 0.5 where nothing is said.  A null
-    text is empty.  A tag whose expression cannot be parsed adds nothing.  Repeated rows are scanned
+    text is empty.  A tag is read up to a comment's end, the next tag or
+    the first token that cannot belong to its expression; one without an expression adds nothing.  Repeated rows are scanned
     each; other columns are not read.
     """
     kind = docs.schema[key].dataType.simpleString()

@@ -55,3 +55,15 @@ def test_tags_and_notices():
     assert (base, base_labels, labels, score) == (1, "reserved", "apache-2.0,gpl-2.0-only,mit,reserved", 1.0)
     assert licenses.examine(b"All rights reserved.", a)[-1] == 0.0 and licenses.examine(b"prose", a)[-1] == 0.5
     assert licenses.examine(b"SPDX-License-Identifier: MIT OR", a)[5:] == ("", 0.5)
+
+
+@pytest.mark.parametrize("line, labels, score", [
+    ("<!-- SPDX-License-Identifier: MIT -->", "mit", 1.0), ("/* SPDX-License-Identifier: GPL-2.0-only */", "gpl-2.0-only", 0.4),
+    ("SPDX-License-Identifier: MIT This file is part of a library.", "mit", 1.0), ("(* SPDX-License-Identifier: MIT *)", "mit", 1.0),
+    ("SPDX-License-Identifier: MIT OR GPL-2.0-only WITH Classpath-exception-2.0. See there", "classpath-exception-2.0,gpl-2.0-only,mit", 1.0),
+    ("SPDX-License-Identifier: MIT SPDX-License-Identifier: GPL-3.0-only", "gpl-3.0-only,mit", 0.4),
+    ("SPDX-License-Identifier: (MIT OR ISC) and -- more", "isc,mit", 1.0), ("[//]: # (SPDX-License-Identifier: MIT)", "mit", 1.0),
+    ('content="SPDX-License-Identifier: MIT"/>', "mit", 1.0), ("SPDX-License-Identifier: MIT # all rights reserved", "mit,reserved", 1.0),
+    ("SPDX-License-Identifier: -- none", "", 0.5), ("SPDX-License-Identifier: MIT OR", "", 0.5), ("SPDX-License-Identifier: (MIT", "", 0.5)])
+def test_tags_in_comments_and_prose(line, labels, score):
+    assert licenses.examine(line.encode(), licenses.finder())[5:] == (labels, score)
