@@ -1,8 +1,8 @@
 """Secret scanning: fixed shapes, and random strings that a tokenizer cannot shorten.
 
 Words and names known to a byte-pair vocabulary pack several characters into a token; random
-strings do not.  Long unbroken runs that mix letters and digits are measured in characters per
-token, after known digests and identifiers are set aside.
+strings do not.  Long unbroken runs are measured in characters per token, after known digests and
+identifiers are set aside.
 """
 
 from __future__ import annotations
@@ -32,16 +32,23 @@ LEAST_ASSIGNED, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 # A run shorter than LEAST_HEX cannot match, so the scan may ask for the length at once; likewise above.
 LONG_HEX = re.compile(r"[0-9a-f]{16,}")
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST_RANDOM = 16
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 MAX_CHARS_PER_TOKEN = 2.2
+# Rare words of 16 to 19 letters pack as badly as 2.0, so such a short word-shaped run must pack worse still.
+SHORT_WORD, MAX_CHARS_OF_SHORT_WORD = 20, 1.95
 # Set aside: digests by their length in hexadecimal digits (md5, sha1, sha224, sha256, sha384, sha512),
 # universal identifiers, plain numbers and dates, names made of words, paths of words.
 DIGEST = re.compile(r"(?i)(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})")
 UNIVERSAL = re.compile(r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
-NUMERIC = re.compile(r"[0-9+/_=-]+")
+NUMERIC = re.compile(r"[0-9+/_=-]*(?:T[0-9+/_=-]+Z?)?")
 NAME = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4})(?:[_/+=-]*(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4}))*[_/+=-]*")
 NAME_PIECES = re.compile(r"[A-Za-z]+|[0-9]+")
+NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 LEAST_WORD = 3.0  # mean letters a piece of a name has
+LEAST_LETTERS = 5  # different characters; repetition is not random
+LEAST_REST = 4  # characters of a key beside a span found already
+SLICE = 512  # characters encoded at once: the merges of one long piece take more than linear time
 
 
 def base_spans(text: str) -> list[tuple[int, int, str]]:
@@ -53,15 +60,28 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
-def known(run: str) -> bool:
-    """Digests, identifiers, numbers and names: random-looking or long, but no secrets."""
+def named(run: str, vocabulary: Vocabulary) -> bool:
+    """Names made of words: pieces of the usual shapes, whose letters the vocabulary packs well."""
     bare = run.strip("-_=+/")
-    if DIGEST.fullmatch(bare) or UNIVERSAL.fullmatch(bare) or NUMERIC.fullmatch(bare):
-        return True
-    if not re.search(r"[0-9]", bare) or not re.search(r"[A-Za-z]", bare):
-        return True
     pieces = NAME_PIECES.findall(bare)
-    return bool(NAME.fullmatch(bare)) and sum(map(len, pieces)) / len(pieces) >= LEAST_WORD
+    if not NAME.fullmatch(bare) or sum(map(len, pieces)) < LEAST_WORD * len(pieces):
+        return False
+    words = NAME_WORDS.findall(bare)
+    return sum(map(len, words)) > MAX_CHARS_PER_TOKEN * sum(map(vocabulary.tokens, words))
+
+
+def known(run: str, vocabulary: Vocabulary) -> bool:
+    """Digests, identifiers, numbers, repetitions and names: random-looking or long, but no secrets."""
+    bare = run.strip("-_=+/")
+    return bool(DIGEST.fullmatch(bare) or UNIVERSAL.fullmatch(bare) or NUMERIC.fullmatch(bare)
+                or len(set(bare[:SLICE])) < LEAST_LETTERS or named(run, vocabulary))
+
+
+def is_random(run: str, vocabulary: Vocabulary) -> bool:
+    bare = run.strip("-_=+/")
+    short = len(bare) < SHORT_WORD and NAME_WORDS.fullmatch(bare)
+    most = MAX_CHARS_OF_SHORT_WORD if short else MAX_CHARS_PER_TOKEN
+    return len(bare) <= most * vocabulary.tokens(bare) and not known(run, vocabulary)
 
 
 class Vocabulary:
@@ -83,17 +103,39 @@ class Vocabulary:
 
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, self.raw.splitlines()) if a}
             self.encoder = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
-        return len(self.encoder.encode_ordinary(run))
+        return sum(len(self.encoder.encode_ordinary(run[i:i + SLICE])) for i in range(0, len(run), SLICE))
+
+
+def uncovered(start: int, end: int, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The parts of a stretch outside ``taken``, which is in order."""
+    parts = []
+    for s, e, _ in taken:
+        if s < end and start < e:
+            if start < s:
+                parts.append((start, s))
+            start = max(start, e)
+    return parts + [(start, end)] if start < end else parts
 
 
 def random_spans(text: str, vocabulary: Vocabulary, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
-    """Runs with few characters per token that do not touch a span found already."""
+    """Runs with few characters per token, as far as they are outside the spans found already.
+
+    What a span leaves of a run is tested by itself, and short parts count with the whole run: a key
+    around a stretch of hexadecimal digits is masked to its ends.
+    """
     found = []
     for m in CANDIDATE.finditer(text):
-        if known(m[0]) or any(s < m.end() and m.start() < e for s, e, _ in taken):
+        near = [t for t in taken if t[0] < m.end() and m.start() < t[1]]
+        whole = is_random(m[0], vocabulary)
+        if not near:
+            if whole:
+                found.append((m.start(), m.end(), "random"))
             continue
-        if len(m[0]) <= MAX_CHARS_PER_TOKEN * vocabulary.tokens(m[0]):
-            found.append((m.start(), m.end(), "random"))
+        for s, e in uncovered(m.start(), m.end(), near):
+            part = text[s:e]
+            if e - s >= LEAST_RANDOM and is_random(part, vocabulary) or (
+                    whole and len(part.strip("-_=+/")) >= LEAST_REST and not named(part, vocabulary)):
+                found.append((s, e, "random"))
     return found
 
 

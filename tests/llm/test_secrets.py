@@ -54,6 +54,23 @@ def test_random_strings_are_found_and_names_are_not():
         assert not [s for s in secrets.secret_spans(f"see {name} here", VOCABULARY) if s[2] == "random"], name
 
 
+def test_letters_alone_and_short_keys_are_random_too():
+    rng, low, up = random.Random(4), "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for letters, n in ((low, 24), (up, 24), (low + up, 24), (low, 40), (low + up, 40), (low + up + "0123456789", 16)):
+        runs = ["".join(rng.choice(letters) for _ in range(n)) for _ in range(100)]
+        found = sum(secrets.secret_spans(f"see {run} here", VOCABULARY) == [(4, 4 + n, "random")] for run in runs)
+        assert found >= 95, (letters, n, found)
+    for plain in ("responsibilities", "20240101T120000Z", "internationalization", "z" * 5000, "ACGT" * 10, "XMLHttpRequestFactory", "COVID-19-related-deaths"):
+        assert secrets.secret_spans(f"see {plain} here", VOCABULARY) == [], plain
+
+
+def test_a_key_around_hexadecimal_digits_is_masked_to_its_ends():
+    left, right = "Zq7RkXw9PmT2vLs8Yh", "KxW3TqZp9Vr"
+    text = f"see {left}0123456789abcdef{right} here"
+    assert secrets.redacted(text, secrets.secret_spans(text, VOCABULARY)) in ("see [secret] here", "see [secret][secret][secret] here")
+    assert [s[2] for s in secrets.secret_spans("sha256-" + "0123456789abcdef" * 4, VOCABULARY)] == ["hex"]
+
+
 def test_clean_documents_get_no_random_span(spark, sample_docs):
     texts = [r.text for r in sample_docs.collect()]
     assert sum("random" in s[2] for t in texts for s in secrets.secret_spans(t, VOCABULARY)) == 0
