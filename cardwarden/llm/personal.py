@@ -9,6 +9,7 @@ reconciled at once, as the non-overlapping set of the largest total confidence.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from bisect import bisect_right
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import map_batches
+from cardwarden.session import materialise
 
 # The shapes of the base kinds, in their order.
 KINDS = ["email", "ip", "card", "phone"]
@@ -246,31 +247,65 @@ class Tagger:
 
 # --- training and scanning ------------------------------------------------------------------------
 
-SAMPLE_ROWS = 400      # labelled rows the network is fitted on, at most
+SAMPLE_ROWS = 400      # rows with spans the network is fitted on, at most
+PLAIN_ROWS = 100       # rows without spans beside them, at most
+CUT = 8 * WINDOW       # characters taken of a row
 SAMPLE_WINDOWS = 2_000
 STEPS = 400
 SURE = 0.95            # mean posterior of an added span's characters
 DECODED = 512          # windows decoded together
 
 
+def stretch(text: str) -> tuple[bool, str, list[tuple[str, int, int]]]:
+    """(whether it holds a span, a cut of bounded length, the spans inside it).
+
+    The cut lies around the first span that a window can hold, wherever in the text that is, and so
+    that a window begins at the span; without one it begins at the first window of interest.
+    """
+    spans = base_spans(text)
+    first = min((s for _, s, e in spans if e - s <= WINDOW), default=None)
+    if first is None:
+        starts = windows(codes(text))
+        low = int(starts[0]) if len(starts) else 0
+    else:
+        low = max(first % STRIDE, first - CUT // 2)
+        while low < first and any(s < low < e for _, s, e in spans):  # no span is cut in two
+            low += STRIDE
+    high = min([low + CUT, *[s for _, s, e in spans if low < s < low + CUT < e and s != first]])
+    inside = [(k, s - low, e - low) for k, s, e in spans if low <= s and e <= high]
+    return first is not None, text[low:high], inside
+
+
 def labelled_sample(docs: DataFrame, key: str, text: str) -> list[tuple[str, list[tuple[str, int, int]]]]:
-    """Texts with their spans of the fixed shapes: the SAMPLE_ROWS rows with digits or at-signs whose
-    keys have the smallest digests.  Only windows of at most SAMPLE_WINDOWS are kept of them."""
-    rows = docs.where(F.col(f"`{text}`").rlike("[0-9]{3}|@")).select(
+    """Cuts of texts with their spans of the fixed shapes: of all rows that hold a span the SAMPLE_ROWS
+    whose keys have the smallest digests, and PLAIN_ROWS of the others with digits or at-signs mixed in.
+
+    Every task hands on no more rows than that.  Only windows of at most SAMPLE_WINDOWS are kept of them.
+    """
+    like = r"@|[0-9]{3}|[0-9]\.[0-9]|\+[0-9]|(?:[0-9][ -]?){13}"  # what any span of the fixed shapes has
+    rows = docs.where(F.col(f"`{text}`").rlike(like)).select(
         F.xxhash64(F.col(f"`{key}`"), F.lit(7)).alias("h"), F.xxhash64(F.col(f"`{text}`")).alias("g"),
         F.col(f"`{text}`").alias("t"))
+    most = {True: SAMPLE_ROWS, False: PLAIN_ROWS}
 
-    def cuts(batch: pa.RecordBatch) -> pa.RecordBatch:
-        """Stretches around windows of interest, so that long texts send no more than short ones."""
-        out = []
-        for t in batch.column("t").to_pylist():
-            starts = windows(codes(t))
-            low = int(starts[0]) if len(starts) else 0
-            out.append(t[low:low + 8 * WINDOW])
-        return pa.RecordBatch.from_arrays([batch.column("h"), batch.column("g"), pa.array(out)], ["h", "g", "t"])
-
-    picked = map_batches(rows, cuts, "h bigint, g bigint, t string").orderBy("h", "g").limit(SAMPLE_ROWS).collect()
-    return [(r.t, base_spans(r.t)) for r in picked]
+    def least(batches):
+        best = {True: [], False: []}
+        for batch in batches:
+            for h, g, t in zip(*[batch.column(c).to_pylist() for c in ("h", "g", "t")]):
+                has, piece, spans = stretch(t)
+                best[has].append((h, g, has, piece, listed(spans)))
+            best = {has: heapq.nsmallest(most[has], found) for has, found in best.items()}
+        found = best[True] + best[False]
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*found)], ["h", "g", "has", "t", "spans"])
+
+    small = materialise(rows.mapInArrow(least, "h bigint, g bigint, has boolean, t string, spans string"), "labelled")
+    picked = {has: small.where(F.col("has") == has).orderBy("h", "g").limit(n).collect() for has, n in most.items()}
+    share, plain, mixed = SAMPLE_ROWS // PLAIN_ROWS, picked[False], []
+    for i in range(0, len(picked[True]), share):
+        mixed += picked[True][i:i + share] + plain[i // share:i // share + 1]
+    mixed += plain[-(-len(picked[True]) // share):]
+    return [(r.t, [(k, int(s), int(e)) for k, s, e in (x.split(":") for x in r.spans.split(",") if x)]) for r in mixed]
 
 
 def train(labelled: list[tuple[str, list[tuple[str, int, int]]]], steps: int = STEPS) -> Tagger | None:
@@ -374,7 +409,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", tagger: Tagge
 
     Spans are kind:start:end in code points, end exclusive, by kind as listed and start; the network's
     kinds begin with ``model_``.  Without a tagger one is fitted on a bounded sample of ``docs``; a table
-    without personal data gets none.  Null and empty texts have no spans.  Repeated rows are scanned
+    in which no row holds a span of the fixed shapes gets none.  Null and empty texts have no spans.  Repeated rows are scanned
     each; other columns are not read.
     """
     tagger = tagger or train(labelled_sample(docs, key, text))

@@ -105,3 +105,22 @@ def test_reconciled_takes_the_heaviest_set():
     spans = [(0.6, "ip", 0, 10), (0.9, "card", 5, 15), (0.5, "ip", 10, 20), (0.6, "ip", 0, 10)]
     assert personal.reconciled(spans) == [(0.6, "ip", 0, 10), (0.5, "ip", 10, 20)]
     assert personal.reconciled([]) == []
+
+
+def test_the_sample_finds_rare_and_late_spans(spark):
+    """Years and prices in 3,000 rows, personal data far behind a year in five of them."""
+    late = "In 1999 and 2004 it cost 1500. " + "and so on " * 2000
+    rows = [(i, late + f"write to person{i}@mail.example.org or 10.0.0.{i % 200} now" if i % 600 == 77 else f"In {1900 + i % 120} it cost {i} crowns.")
+            for i in range(3000)]
+    sample = personal.labelled_sample(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(7), "doc_id", "text")
+    held = [(t, s) for t, s in sample if s]
+    assert len(held) == 5 and len(sample) == 5 + personal.PLAIN_ROWS and all(len(t) <= personal.CUT for t, _ in sample)
+    assert all({k for k, _, _ in s} == {"email", "ip"} and s == personal.base_spans(t) for t, s in held)
+    assert personal.train(sample, steps=1) is not None
+    assert personal.train([x for x in sample if not x[1]], steps=1) is None
+
+
+def test_a_cut_holds_its_span_whole():
+    for n in range(0, 900, 7):
+        has, piece, spans = personal.stretch("x " * (n // 2) + " " * (n % 2) + "+49 (30) 1234567 and 4111 1111 1111 1111 " * 30)
+        assert has and spans and all(piece[s] in "+4" and piece[e - 1].isdigit() for _, s, e in spans) and spans == personal.base_spans(piece)
