@@ -138,7 +138,7 @@ def stream_parse(spark, sf):
 SELECT date_trunc('minute', ts) AS minute, event_type, count(*) AS events FROM events GROUP BY 1, 2""")
 def stream_rates(spark, sf):
     at = work_path(spark, "stream-rates")
-    counts = jobs.windowed_counts(event_stream(spark, sf), "ts", ["event_type"])
+    counts = jobs.windowed_counts(event_stream(spark, sf), "ts", ["event_type"], late_by=None)
     jobs.finish(jobs.to_latest_windows(counts, f"{at}/rows", f"{at}/checkpoint", available_only=True))
     stored = spark.read.parquet(f"{at}/rows").withColumn("minute", F.col("minute").cast("timestamp_ntz"))
     return jobs.latest_windows(stored, ["minute", "event_type"])
@@ -191,7 +191,8 @@ SELECT user_id, 1::BIGINT AS n, CASE WHEN count(*) = 1 THEN min(event_id) END AS
 def stream_first_within_horizon(spark, sf):
     """One row per user inside the horizon; which one is certain for users seen once."""
     at = work_path(spark, "stream-dedupe")
-    rows = jobs.dedupe_within(event_stream(spark, sf), "user_id", "ts", "60 days").select("user_id", "event_id")
+    horizon = jobs.span_of(table(spark, sf, "events"), "ts", 60)
+    rows = jobs.dedupe_within(event_stream(spark, sf), "user_id", "ts", horizon).select("user_id", "event_id")
     jobs.finish(jobs.to_files(rows, f"{at}/rows", f"{at}/checkpoint", available_only=True))
     seen = table(spark, sf, "events").groupBy("user_id").agg(F.count("*").alias("seen"))
     return spark.read.parquet(f"{at}/rows").join(seen, "user_id").groupBy("user_id").agg(

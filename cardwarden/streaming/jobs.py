@@ -58,13 +58,25 @@ def finish(query: StreamingQuery) -> None:
 
 
 def windowed_counts(rows: DataFrame, time: str, by: list[str], every: str = "1 minute",
-                    late_by: str = "10 minutes") -> DataFrame:
-    """Counts per window and label; state is kept only for windows the watermark has not closed."""
+                    late_by: str | None = "10 minutes") -> DataFrame:
+    """Counts per window and label; state is kept only for windows the watermark has not closed.
+
+    For a bounded table, whose files come in any order, ``late_by`` is None: no window closes, no row
+    is late, and the state is as large as the result.
+    """
     clock = rows.withColumn(time, F.col(time).cast("timestamp"))
-    return clock.withWatermark(time, late_by).groupBy(F.window(time, every).alias("w"), *by).agg(
+    clock = clock if late_by is None else clock.withWatermark(time, late_by)
+    return clock.groupBy(F.window(time, every).alias("w"), *by).agg(
         F.count("*").alias("events")).select(F.col("w.start").alias("minute"), *by, "events")
 
 
+def span_of(rows: DataFrame, time: str, least_days: int) -> str:
+    """A horizon that holds all rows of a bounded table, whatever their order; at least so many days."""
+    at = F.col(time).cast("timestamp").cast("double")
+    seconds = rows.agg((F.ceil(F.max(at) - F.min(at)) + 1).alias("s")).first().s or 0
+    return f"{max(int(seconds), least_days * 86_400)} seconds"
+
+
 def dedupe_within(rows: DataFrame, key: str, time: str, horizon: str) -> DataFrame:
     """First row per key, remembered for the horizon: the form with bounded state.
 
