@@ -153,3 +153,9 @@ def test_prepare_and_judge(spark, card):
     out = risk.judge(model, data)
     assert out.count() == 6
     assert out.where("true_positives + false_positives + true_negatives + false_negatives <> 135").count() == 0
+
+
+def test_boosted_fits_take_the_full_number_of_trees():
+    import inspect
+    assert inspect.signature(models.fit_boosted).parameters["trees"].default == fixed.TREES == 1000
+    assert "maxIter" not in fixed.BOOSTED and "maxIter" not in fixed.REGULARISED
