@@ -64,8 +64,7 @@ SEED = 42
 LINEAR_ITERATIONS = 300
 # Trees of a boosted fit unless the caller names another number.
 TREES = 1000
-BOOSTED = {"maxDepth": 6, "stepSize": 0.05, "subsamplingRate": 0.8,
-           "featureSubsetStrategy": "0.8", "minInstancesPerNode": 5, "seed": SEED}
-REGULARISED = {"maxDepth": 4, "stepSize": 0.05, "subsamplingRate": 0.8,
-               "featureSubsetStrategy": "0.7", "minInstancesPerNode": 10, "seed": SEED}
+BOOSTED = {"depth": 6, "rate": 0.05, "row_share": 0.8, "column_share": 0.8, "child_weight": 5.0, "seed": SEED}
+REGULARISED = {"depth": 4, "rate": 0.05, "row_share": 0.8, "column_share": 0.7, "child_weight": 10.0,
+               "least_gain": 0.1, "l1": 0.1, "l2": 2.0, "seed": SEED}
 ATTRIBUTION_SAMPLE = 5000

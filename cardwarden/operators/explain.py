@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from math import factorial
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden.functions.decision import direction
+from cardwarden.operators import boosting
 from cardwarden.operators.models import RiskModel
 from cardwarden.operators.topk import top_per_group
-from cardwarden.session import fill_cores, work_path
+from cardwarden.session import fill_cores
 
 
 def _literal(values) -> Column:
@@ -34,112 +35,122 @@ def linear_attributions(model: RiskModel, df: DataFrame, background: DataFrame,
 
 # --- trees ----------------------------------------------------------------------------------------
 
-def _leaves(nodes: dict[int, dict], weight: float) -> list[tuple]:
-    """Every leaf as (value, features, lower, upper, share): the box it covers and, per feature on
-    its path, the share of training weight that follows the path when the feature is unknown."""
-    found, stack = [], [(0, {})]
-    while stack:
-        at, box = stack.pop()
-        node = nodes[at]
-        if node["left"] < 0:
-            features = sorted(box)
-            lo, hi, share = (np.array([box[f][i] for f in features]) for i in range(3))
-            found.append((weight * node["value"], np.array(features, dtype=int), lo, hi, share))
-            continue
-        f, cut = node["feature"], node["threshold"]
-        lo, hi, share = box.get(f, (-np.inf, np.inf, 1.0))
-        for child, bounds in ((node["left"], (lo, min(hi, cut))), (node["right"], (max(lo, cut), hi))):
-            part = nodes[child]["cover"] / node["cover"] if node["cover"] else 0.5
-            stack.append((child, {**box, f: (*bounds, share * part)}))
-    return found
-
-
-def _shares(inside: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Shapley values of a product game: per pattern of satisfied features, each one's part.
-
-    Averaging over coalitions needs only how many others are known, so the product over the other
-    features is kept as a polynomial in that number.
+def _quadrature(depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Points and weights on (0, 1) that integrate polynomials of the degree of a path exactly."""
+    points, weights = np.polynomial.legendre.leggauss((depth + 1) // 2)
+    return (points + 1) / 2, weights / 2
+
+
+@dataclass(frozen=True)
+class _Walk:
+    """A tree's nodes level by level, with what a walk needs at each edge into a node.
+
+    ``share`` is the part of the training weight that follows the path where its feature is unknown,
+    over all splits on that feature so far; ``prior`` is the last edge above on the same feature.
     """
-    n, m = inside.shape
-    out = np.empty((n, m))
-    for i in range(m):
-        poly = np.ones((n, 1))
-        for j in range(m):
-            if j != i:
-                known = np.pad(poly * inside[:, j:j + 1], ((0, 0), (1, 0)))
-                poly = known + np.pad(poly * share[j], ((0, 0), (0, 1)))
-        mean = np.array([factorial(k) * factorial(m - 1 - k) / factorial(m) for k in range(m)])
-        out[:, i] = (inside[:, i] - share[i]) * (poly @ mean)
-    return out
-
-
-SMALL_PATH = 10
-
-
-def _all_patterns(m: int) -> np.ndarray:
-    return (np.arange(2 ** m)[:, None] >> np.arange(m) & 1).astype(float)
-
-
-def _tree_values(x: np.ndarray, leaves: list[tuple], tables: list) -> np.ndarray:
-    """Attributions of a batch; ``tables`` keeps each short-path leaf's values per pattern."""
-    values = np.zeros(x.shape)
-    for at, (value, features, lo, hi, share) in enumerate(leaves):
-        m = len(features)
-        if m == 0 or value == 0.0:
-            continue
-        part = x[:, features]
-        inside = (part > lo) & (part <= hi)
-        if m <= SMALL_PATH:
-            if tables[at] is None:
-                tables[at] = value * _shares(_all_patterns(m), share)
-            values[:, features] += tables[at][inside @ (1 << np.arange(m))]
-        else:
-            patterns, which = np.unique(inside, axis=0, return_inverse=True)
-            values[:, features] += value * _shares(patterns.astype(float), share)[which.reshape(-1)]
+
+    parent: list[np.ndarray]
+    node: list[np.ndarray]
+    prior: np.ndarray
+    share: np.ndarray
+    feature: np.ndarray
+
+
+def _walk_of(feature: np.ndarray, cover: np.ndarray) -> _Walk:
+    n = len(feature)
+    prior, share, on = np.full(n, -1), np.ones(n), np.full(n, -1)
+    above: dict[int, dict[int, int]] = {0: {}}
+    parents, levels, level = [], [], [0]
+    while level:
+        down = [c for p in level if feature[p] >= 0 for c in (2 * p + 1, 2 * p + 2)]
+        for c in down:
+            p = (c - 1) // 2
+            f = on[c] = feature[p]
+            prior[c] = above[p].get(f, -1)
+            share[c] = cover[c] / cover[p] * (share[prior[c]] if prior[c] >= 0 else 1.0)
+            above[c] = {**above[p], f: c}
+        if down:
+            levels.append(np.array(down))
+            parents.append((levels[-1] - 1) // 2)
+        level = down
+    return _Walk(parents, levels, prior, share, on)
+
+
+def _tree_values(x: np.ndarray, forest: boosting.Forest, t: int, walk: _Walk) -> np.ndarray:
+    """Shapley values of one tree for a batch: one walk down and one up, nodes × depth / 2 steps a row.
+
+    A leaf's game is a product over its path's features, of 1 if the row follows the path and of the
+    feature's share if it is unknown.  Its Shapley value for a feature is the integral over u in
+    (0, 1) of the product of the other features' mixtures, a polynomial of the path's length, so a
+    few points give it exactly.  The walk down carries the product at those points; where a feature
+    returns, its earlier factor is divided out.  The walk up adds the leaves below every edge.
+    """
+    points, weights = _quadrature(forest.depth)
+    rows, n = len(x), forest.feature.shape[1]
+    follows = np.ones((n, rows), bool)
+    factor = np.ones((n, rows, len(points)))
+    product = np.ones((n, rows, len(points)))
+    for parent, node in zip(walk.parent, walk.node):
+        v = x[:, walk.feature[node]].T
+        left = np.where(np.isnan(v), forest.missing_left[t, parent, None], v < forest.cut[t, parent, None])
+        inside = left == (node % 2 == 1)[:, None]
+        before = walk.prior[node]
+        follows[node] = inside & (follows[before] | (before < 0)[:, None])
+        share = walk.share[node][:, None, None]
+        factor[node] = share + points * (follows[node][:, :, None] - share)
+        old = np.where((before >= 0)[:, None, None], factor[before], 1.0)
+        product[node] = product[parent] * factor[node] / old
+    values = np.zeros((rows, x.shape[1]))
+    below = product * forest.value[t][:, None, None]  # the value of inner nodes is 0
+    for parent, node in zip(walk.parent[::-1], walk.node[::-1]):
+        sums = below[node] * weights
+        own = (follows[node] - walk.share[node][:, None]) * (sums / factor[node]).sum(axis=2)
+        before = walk.prior[node]
+        again = before >= 0
+        if again.any():
+            # Leaves below count for the last edge of the feature, not for the one before.
+            up = before[again]
+            own[again] -= (follows[up] - walk.share[up][:, None]) * (sums[again] / factor[up]).sum(axis=2)
+        hot = np.zeros((len(node), x.shape[1]))
+        hot[np.arange(len(node)), walk.feature[node]] = 1.0
+        values += own.T @ hot
+        below[parent[::2]] = below[node[::2]] + below[node[1::2]]
     return values
 
 
-def tree_leaves(model: RiskModel, path: str) -> tuple[list[tuple], float]:
-    """All leaves of a boosted model and its expected margin.
+def expected_margin(forest: boosting.Forest) -> float:
+    """The mean margin over the training weight: leaf values by their share of the cover."""
+    whole = forest.cover[:, :1]
+    share = np.divide(forest.cover, whole, out=np.zeros_like(forest.cover), where=whole > 0)
+    return float((share * np.where(forest.feature < 0, forest.value, 0.0)).sum())
 
-    Read back from the model's saved node table, a bounded one (trees × nodes).
-    """
-    booster = model.classifier
-    booster.write().overwrite().save(path)
-    rows = SparkSession.active().read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
-    trees: dict[int, dict[int, dict]] = {}
-    for r in rows:
-        cut = r.split.leftCategoriesOrThreshold
-        trees.setdefault(r.treeID, {})[r.id] = {
-            "value": r.prediction, "cover": float(r.impurityStats[0]), "left": r.leftChild,
-            "right": r.rightChild, "feature": r.split.featureIndex,
-            "threshold": cut[0] if cut else None}
-    leaves, base = [], 0.0
-    for tree, weight in zip(sorted(trees), booster.treeWeights):
-        mine = _leaves(trees[tree], weight)
-        leaves += mine
-        base += sum(value * float(np.prod(share)) for value, _, _, _, share in mine)
-    return leaves, base
+
+ROWS_AT_ONCE = 256
 
 
 def tree_attributions(model: RiskModel, df: DataFrame, key: str) -> DataFrame:
     """(key, values, base) of boosted trees, in the margin's unit; values + base add up to it.
 
-    Rows stay where they are; the leaves, bounded by trees × nodes, are broadcast.
+    Exact Shapley values of the path-dependent kind.  Rows stay where they are; the forest, bounded
+    by trees × nodes, is broadcast, and each tree costs nodes × depth per row.
     """
     spark = df.sparkSession
-    leaves, base = tree_leaves(model, work_path(spark, "booster"))
-    shared = spark.sparkContext.broadcast(leaves)
+    base = expected_margin(model.forest)
+    shared = spark.sparkContext.broadcast(vars(model.forest))
     rows = fill_cores(model.features(df, [key]).select(key, vector_to_array("features").alias("x")))
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches):
-        leaves = shared.value
-        tables: list = [None] * len(leaves)
+        forest = boosting.Forest(**shared.value)
+        walks = [_walk_of(f, c) for f, c in zip(forest.feature, forest.cover)]
         for pdf in batches:
-            if len(pdf):
-                values = _tree_values(np.stack(pdf["x"].to_numpy()), leaves, tables)
-                yield pd.DataFrame({key: pdf[key], "values": list(values), "base": base})
+            for i in range(0, len(pdf), ROWS_AT_ONCE):
+                part = pdf.iloc[i:i + ROWS_AT_ONCE]
+                x = np.stack(part["x"].to_numpy())
+                values = np.zeros(x.shape)
+                for t, walk in enumerate(walks):
+                    values += _tree_values(x, forest, t, walk)
+                yield pd.DataFrame({key: part[key], "values": list(values), "base": base})
 
     return rows.mapInPandas(run, f"`{key}` {kind}, values array<double>, base double")
 

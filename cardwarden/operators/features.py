@@ -91,10 +91,10 @@ def _quoted(text: str) -> str:
 
 def fit_features(df: DataFrame, numeric: list[str], categorical: list[str], indicators: bool = False,
                  categorical_fill: str = "constant", encoding: str = "ordinal",
-                 output: str = "features") -> PipelineModel:
+                 output: str = "features", numeric_fill: bool = True) -> PipelineModel:
     """Imputation, encoding and assembly, with every statistic taken from ``df`` alone.
 
-    Numbers: exact median.  Categories: the text ``missing`` or the most frequent value, then codes
+    Numbers: exact median, or NaN without ``numeric_fill``.  Categories: the text ``missing`` or the most frequent value, then codes
     by sorted category (unseen: -1) or one slot per category (unseen: all zero).  The vector holds
     the numeric block, the indicators, then the categorical block.  Columns without any value carry
     no information and are left out.
@@ -110,7 +110,8 @@ def fit_features(df: DataFrame, numeric: list[str], categorical: list[str], indi
     flagged = [*numeric_in, *categorical_in] if indicators else []
 
     exprs = [f"CAST(`{c}` IS NULL AS TINYINT) AS `{c}{fixed.MISSING_SUFFIX}`" for c in flagged]
-    exprs += [f"COALESCE(NANVL(CAST(`{c}` AS DOUBLE), NULL), {mids[c]!r}D) AS `{c}{FILLED}`" for c in numeric_in]
+    fill = {c: f"{mids[c]!r}D" if numeric_fill else "DOUBLE('NaN')" for c in numeric_in}
+    exprs += [f"COALESCE(NANVL(CAST(`{c}` AS DOUBLE), NULL), {fill[c]}) AS `{c}{FILLED}`" for c in numeric_in]
     exprs += [f"COALESCE(CAST(`{c}` AS STRING), {_quoted(fills[c])}) AS `{c}{FILLED}`" for c in categorical_in]
     stages = [SQLTransformer(statement=f"SELECT *, {', '.join(exprs)} FROM __THIS__")]
     inputs = [c + FILLED for c in numeric_in] + [c + fixed.MISSING_SUFFIX for c in flagged]
@@ -135,10 +136,24 @@ def fit_features(df: DataFrame, numeric: list[str], categorical: list[str], indi
                 indexed = stage.transform(indexed)
             stages.append(encoder.fit(indexed))
             inputs += [c + SLOTS for c in categorical_in]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="error"))
+    stages.append(VectorAssembler(inputCols=inputs, outputCol=output,
+                                  handleInvalid="error" if numeric_fill else "keep"))
     return PipelineModel(stages)
 
 
+def feature_inputs(model: PipelineModel) -> list[str]:
+    """The raw column behind every column the assembler takes."""
+    assembler = next(s for s in model.stages if isinstance(s, VectorAssembler))
+    found = []
+    for c in assembler.getInputCols():
+        for suffix in (FILLED, CODE, SLOTS, fixed.MISSING_SUFFIX):
+            if c.endswith(suffix):
+                c = c.removesuffix(suffix)
+                break
+        found.append(c)
+    return found
+
+
 def feature_names(model: PipelineModel) -> list[str]:
     """Names in vector order: taken from the assembler, which decides that order."""
     labels: dict[str, list[str]] = {}

@@ -1,14 +1,15 @@
-"""Risk models on Spark ML: fitting, scoring, importance, persistence."""
+"""Risk models: fitting, scoring, importance, persistence."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,24 +17,31 @@ from pyspark.sql import types as T
 
 from cardwarden import fixed
 from cardwarden.functions.decision import decision, flagged
-from cardwarden.operators.evaluate import class_weights
-from cardwarden.operators.features import feature_names, fit_features, label_weight
+from cardwarden.operators import boosting
+from cardwarden.operators.evaluate import average_precision_by, class_weights
+from cardwarden.operators.features import feature_inputs, feature_names, fit_features, label_weight
 from cardwarden.schemas import conform
-from cardwarden.session import fill_cores, use_checkpoints
+from cardwarden.session import fill_cores, materialise, use_checkpoints
 
 SCORE_COLUMNS = ["fraud_probability", "fraud_prediction", "decision", "threshold", "prediction_latency_ms"]
 
 
 @dataclass
 class RiskModel:
-    """A fitted pipeline and the raw columns it was fitted on."""
+    """Fitted transforms, the raw columns they were fitted on, and a linear classifier as last stage
+    or a forest beside them."""
 
     pipeline: PipelineModel
     inputs: T.StructType
+    forest: boosting.Forest | None = None
 
     @property
     def classifier(self):
-        return self.pipeline.stages[-1]
+        return self.forest if self.forest is not None else self.pipeline.stages[-1]
+
+    @property
+    def transforms(self) -> list:
+        return self.pipeline.stages if self.forest is not None else self.pipeline.stages[:-1]
 
     @property
     def names(self) -> list[str]:
@@ -53,7 +61,7 @@ class RiskModel:
     def features(self, df: DataFrame, keep: list[str] = ()) -> DataFrame:
         """The kept columns and the assembled vector."""
         rows = self.prepare(df, keep)
-        for stage in self.pipeline.stages[:-1]:
+        for stage in self.transforms:
             rows = stage.transform(rows)
         return rows.select(*self._unpacked(keep), "features")
 
@@ -65,7 +73,10 @@ class RiskModel:
         fills it in.
         """
         scored = self.pipeline.transform(self.prepare(df, keep, extras))
-        p = vector_to_array("probability")[1]
+        if self.forest is not None:
+            p = 1.0 / (1.0 + F.exp(-boosting.margin_column(df.sparkSession, self.forest, vector_to_array("features"))))
+        else:
+            p = vector_to_array("probability")[1]
         return scored.select(*self._unpacked(keep), p.alias("fraud_probability")).select(
             *keep, "fraud_probability",
             flagged(F.col("fraud_probability"), threshold).alias("fraud_prediction"),
@@ -76,24 +87,29 @@ class RiskModel:
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         spark = SparkSession.active()
-        spark.createDataFrame([(self.inputs.json(),)], "inputs string").coalesce(1).write.mode(
+        shape = None
+        if self.forest is not None:
+            self.forest.save(spark, f"{path}/trees")
+            shape = json.dumps({"trees": len(self.forest), "depth": self.forest.depth, "width": self.forest.width})
+        spark.createDataFrame([(self.inputs.json(), shape)], "inputs string, forest string").coalesce(1).write.mode(
             "overwrite").parquet(f"{path}/inputs")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> RiskModel:
-        import json
-        text = spark.read.parquet(f"{path}/inputs").first().inputs
-        model = cls(PipelineModel.load(f"{path}/pipeline"), T.StructType.fromJson(json.loads(text)))
+        about = spark.read.parquet(f"{path}/inputs").first()
+        forest = boosting.Forest.load(spark, f"{path}/trees", **json.loads(about.forest)) if about.forest else None
+        model = cls(PipelineModel.load(f"{path}/pipeline"), T.StructType.fromJson(json.loads(about.inputs)), forest)
         model.check()
         return model
 
     def check(self) -> None:
         """The contract between inputs, assembled names and classifier; broken ones raise on load."""
-        names, wanted = self.names, self.classifier.numFeatures
+        names = self.names
+        wanted = self.forest.width if self.forest is not None else self.classifier.numFeatures
         if len(names) != wanted:
             raise ValueError(f"the classifier expects {wanted} features, the assembler gives {len(names)}")
-        absent = [n for n in names if n.split(fixed.MISSING_SUFFIX)[0].split("=")[0] not in set(self.inputs.names)]
-        if absent and all(n in self.inputs.names or n.endswith(fixed.MISSING_SUFFIX) for n in names):
+        absent = [c for c in feature_inputs(self.pipeline) if c not in self.inputs.names]
+        if absent:
             raise ValueError(f"features without an input: {absent}")
 
 
@@ -123,18 +139,22 @@ def _inputs(numeric: list[str], categorical: list[str]) -> T.StructType:
                         + [T.StructField(c, T.StringType()) for c in categorical])
 
 
-def _fit(train: DataFrame, numeric, categorical, label, balanced, build, **features) -> RiskModel:
-    """``train`` should be a stored table: its columns are scanned once per statistics pass."""
+def _ready(train: DataFrame, numeric, categorical, label, balanced, **features) -> tuple:
+    """Fitted transforms and (features, label, weight) of the training rows.
+
+    ``train`` should be a stored table: its columns are scanned once per statistics pass.
+    """
     use_checkpoints(train.sparkSession)
     inputs = _inputs(numeric, categorical)
     rows = conform(train, inputs, keep=[label])
     transforms = fit_features(rows, numeric, categorical, **features)
     weights = class_weights(rows, label).first()
-    ready = fill_cores(transforms.transform(rows).select(
+    if not weights.positives:
+        raise ValueError("no positive row to learn from")
+    ready = transforms.transform(rows).select(
         "features", F.col(label).cast("double").alias("label"),
-        label_weight(weights, label, balanced).alias("weight")))
-    classifier = build(weights).fit(ready)
-    return RiskModel(PipelineModel([*transforms.stages, classifier]), inputs)
+        label_weight(weights, label, balanced).alias("weight"))
+    return inputs, transforms, weights, ready
 
 
 def fit_linear(train: DataFrame, numeric: list[str], categorical: list[str], label: str = fixed.TARGET,
@@ -143,40 +163,48 @@ def fit_linear(train: DataFrame, numeric: list[str], categorical: list[str], lab
 
     The penalty equals a unit penalty on the summed loss; class weights add up to the row count.
     """
-    def build(w):
-        return LogisticRegression(
-            featuresCol="features", labelCol="label", weightCol="weight", maxIter=iterations,
-            regParam=1.0 / max(w.positives + w.negatives, 1), standardization=False)
-    return _fit(train, numeric, categorical, label, True, build, encoding="onehot")
+    inputs, transforms, w, ready = _ready(train, numeric, categorical, label, True, encoding="onehot")
+    classifier = LogisticRegression(
+        featuresCol="features", labelCol="label", weightCol="weight", maxIter=iterations,
+        regParam=1.0 / max(w.positives + w.negatives, 1), standardization=False).fit(fill_cores(ready))
+    return RiskModel(PipelineModel([*transforms.stages, classifier]), inputs)
 
 
 def fit_boosted(train: DataFrame, numeric: list[str], categorical: list[str], label: str = fixed.TARGET,
-                indicators: bool = True, settings: dict | None = None, bins: int = 256,
-                trees: int = fixed.TREES) -> RiskModel:
-    """Boosted trees with positives weighted by neg/pos; ``settings`` override the fixed ones."""
-    chosen = {**fixed.BOOSTED, "maxIter": trees, **(settings or {})}
+                indicators: bool = True, settings: dict | None = None, trees: int = fixed.TREES,
+                impute: bool = True) -> RiskModel:
+    """Boosted trees with positives weighted by neg/pos; ``settings`` override the fixed ones.
+
+    With ``impute=False`` missing numbers reach the trees, which learn a side for them at each split.
+    """
+    chosen = boosting.Settings(**{"trees": trees, **fixed.BOOSTED, **(settings or {})})
+    inputs, transforms, _, ready = _ready(
+        train, numeric, categorical, label, False, indicators=indicators, numeric_fill=impute,
+        categorical_fill="most_frequent" if indicators else "constant")
+    rows = materialise(ready.select(
+        F.monotonically_increasing_id().alias("row"), vector_to_array("features").alias("x"), "label", "weight"), "matrix")
+    return RiskModel(transforms, inputs, boosting.fit(rows, chosen))
 
-    def build(w):
-        if not w.positives:
-            raise ValueError("no positive row to learn from")
-        return GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
-                             maxBins=bins, checkpointInterval=10, **chosen)
-    return _fit(train, numeric, categorical, label, False, build, indicators=indicators,
-                categorical_fill="most_frequent" if indicators else "constant")
 
+def precision_curve(model: RiskModel, parts: dict[str, DataFrame], label: str = fixed.TARGET) -> DataFrame:
+    """(part, iteration, average_precision): exact after every tree, on every part.
 
-def loss_curve(model: RiskModel, df: DataFrame, label: str = fixed.TARGET) -> DataFrame:
-    """(iteration, loss) on a held-out table; only reported, training is not stopped by it."""
-    ready = model.features(df.withColumn("label", F.col(label).cast("double")), ["label"]).withColumn(
-        "weight", F.lit(1.0))
-    losses = model.classifier.evaluateEachIteration(ready)
-    return df.sparkSession.createDataFrame(
-        [(i + 1, float(v)) for i, v in enumerate(losses)], "iteration int, loss double")
+    Only reported; training is not stopped by it.
+    """
+    rows = None
+    for name, df in parts.items():
+        one = model.features(df, [label]).select(F.lit(name).alias("part"), label, vector_to_array("features").alias("x"))
+        rows = one if rows is None else rows.unionByName(one)
+    groups = boosting.staged_groups(fill_cores(rows.where(F.col(label).isNotNull())), model.forest, ["part"], label)
+    return average_precision_by(groups, ["part", "iteration"])
 
 
 def feature_importance(model: RiskModel) -> DataFrame:
-    """(feature, importance), one row per model input."""
-    values = model.classifier.featureImportances.toArray()
+    """(feature, importance), one row per model input.
+
+    Trees: the mean gain of the splits on a feature, as a share of all.  Linear: |coefficient|.
+    """
+    values = model.forest.importance() if model.forest is not None else np.abs(model.classifier.coefficients.toArray())
     names = model.names
     if len(values) != len(names):
         raise ValueError("importance and feature names differ in number")

@@ -126,8 +126,20 @@ def fit_linear(spark, sf):
 
 
 def fit_boosted(spark, sf):
-    return models.fit_boosted(
-        risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT)
+    return models.fit_boosted(risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT)
+
+
+def fit_without_indicators(spark, sf):
+    return models.fit_boosted(risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT, indicators=False)
+
+
+def fit_regularised(spark, sf):
+    return models.fit_boosted(risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT, settings=fixed.REGULARISED)
+
+
+def fit_routed(spark, sf):
+    """Missing numbers reach the trees, which learn a side for them at each split."""
+    return models.fit_boosted(risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT, indicators=False, impute=False)
 
 
 def fresh(spark, sf, name, fit):
@@ -152,22 +164,28 @@ def logistic_score(spark, sf):
 
 @query("gbt_score")
 def gbt_score(spark, sf):
-    model = fresh(spark, sf, "boosted", fit_boosted)
+    model = boosted(spark, sf)
+    return model.score(risk.part(prepared(spark, sf), "test"), [fixed.ID])
+
+
+def _boosted_by(spark, sf, name, fit):
+    model = _keep(spark, sf, name, lambda: fit(spark, sf))
     return model.score(risk.part(prepared(spark, sf), "test"), [fixed.ID])
 
 
 @query("gbt_score_without_indicators")
 def gbt_score_without_indicators(spark, sf):
-    model = models.fit_boosted(risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT,
-                               indicators=False)
-    return model.score(risk.part(prepared(spark, sf), "test"), [fixed.ID])
+    return _boosted_by(spark, sf, "without", fit_without_indicators)
 
 
 @query("gbt_score_regularised")
 def gbt_score_regularised(spark, sf):
-    model = models.fit_boosted(risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT,
-                               indicators=False, settings=fixed.REGULARISED)
-    return model.score(risk.part(prepared(spark, sf), "test"), [fixed.ID])
+    return _boosted_by(spark, sf, "regularised", fit_regularised)
+
+
+@query("gbt_score_missing_routed")
+def gbt_score_missing_routed(spark, sf):
+    return _boosted_by(spark, sf, "routed", fit_routed)
 
 
 @query("saved_model_score")
@@ -177,19 +195,23 @@ def saved_model_score(spark, sf):
     return models.RiskModel.load(spark, path).score(card_table(spark, sf), [fixed.ID])
 
 
+def scored_part(spark, sf, part):
+    """A held-out part scored by the boosted model, stored once: every report reads it several times."""
+    return _keep(spark, sf, f"scored {part}", lambda: materialise(
+        models.labelled_predictions(boosted(spark, sf), risk.part(prepared(spark, sf), part)), "scored"))
+
+
 @query("model_evaluation")
 def model_evaluation(spark, sf):
-    data = prepared(spark, sf)
-    valid = models.labelled_predictions(boosted(spark, sf), risk.part(data, "valid"))
-    test = models.labelled_predictions(boosted(spark, sf), risk.part(data, "test"))
     label = f"actual_{fixed.TARGET}"
-    return evaluate.evaluation_bundle(valid, "fraud_probability", label, "valid").unionByName(
-        evaluate.evaluation_bundle(test, "fraud_probability", label, "test"))
+    one, other = (evaluate.evaluation_bundle(scored_part(spark, sf, part), "fraud_probability", label, part)
+                  for part in ("valid", "test"))
+    return one.unionByName(other)
 
 
 @query("operating_points")
 def operating_points(spark, sf):
-    valid = models.labelled_predictions(boosted(spark, sf), risk.part(prepared(spark, sf), "valid"))
+    valid = scored_part(spark, sf, "valid")
     sweep = materialise(evaluate.threshold_sweep(valid, "fraud_probability", f"actual_{fixed.TARGET}"), "sweep")
     return evaluate.best_thresholds(sweep)
 
@@ -206,7 +228,14 @@ def feature_importance(spark, sf):
 
 @query("validation_curve")
 def validation_curve(spark, sf):
-    return models.loss_curve(boosted(spark, sf), risk.part(prepared(spark, sf), "valid"))
+    """Average precision of the training and the held-out part after every tree."""
+    return curve(spark, sf)
+
+
+def curve(spark, sf):
+    data = prepared(spark, sf)
+    return _keep(spark, sf, "curve", lambda: materialise(models.precision_curve(
+        boosted(spark, sf), {name: risk.part(data, name) for name in ("train", "valid")}), "curve"))
 
 
 EXTERNAL = schema_of(TransactionAmt=DOUBLE, C1=DOUBLE, V1=DOUBLE)
@@ -243,7 +272,7 @@ def score_properties(spark, sf):
     p = F.col("fraud_probability")
     agree = (F.col("fraud_prediction") == (p >= F.col("threshold"))) & (
         F.col("decision") == F.when(p >= fixed.THRESHOLD, fixed.REVIEW).otherwise(fixed.LEGITIMATE))
-    scored = boosted(spark, sf).score(risk.part(prepared(spark, sf), "valid"), [fixed.ID])
+    scored = materialise(boosted(spark, sf).score(risk.part(prepared(spark, sf), "valid"), [fixed.ID]), "scored")
     return scored.agg(F.count_distinct(fixed.ID).alias("total_rows"), F.count_if(p.between(0, 1)).alias("in_range"),
                       F.count_if(agree).alias("consistent"))
 
@@ -272,9 +301,8 @@ def linear_attributions(spark, sf):
 
 @query("tree_attributions")
 def tree_attributions(spark, sf):
-    model = boosted(spark, sf)
-    values = explain.tree_attributions(model, risk.part(prepared(spark, sf), "valid"), fixed.ID)
-    return explain.long_attributions(values, model.names, fixed.ID)
+    values = explain.tree_attributions(boosted(spark, sf), risk.part(prepared(spark, sf), "valid"), fixed.ID)
+    return explain.long_attributions(values, boosted(spark, sf).names, fixed.ID)
 
 
 @query("sampled_attribution_ranking")
@@ -288,10 +316,10 @@ def sampled_attribution_ranking(spark, sf):
 ADDITIVE_SQL = f"SELECT {VALID_ROWS} AS total_rows, {VALID_ROWS} AS additive"
 
 
-def _additive(values, scored, scale):
+def _additive(values, scored):
     """Rows whose base and attributions give back the probability through the logistic function."""
     margin = F.col("base") + F.aggregate("values", F.lit(0.0), lambda a, v: a + v)
-    p = 1 / (1 + F.exp(-scale * margin))
+    p = 1 / (1 + F.exp(-margin))
     return values.select(fixed.ID, p.alias("p")).join(scored, fixed.ID).agg(
         F.count("*").alias("total_rows"),
         F.count_if(F.abs(F.col("p") - F.col("fraud_probability")) < 1e-9).alias("additive"))
@@ -302,13 +330,13 @@ def linear_attributions_add_up(spark, sf):
     model, data = linear(spark, sf), prepared(spark, sf)
     valid = risk.part(data, "valid")
     return _additive(explain.linear_attributions(model, valid, risk.part(data, "train"), fixed.ID),
-                     model.score(valid, [fixed.ID]), 1)
+                     model.score(valid, [fixed.ID]))
 
 
 @query("tree_attributions_add_up", ADDITIVE_SQL)
 def tree_attributions_add_up(spark, sf):
     model, valid = boosted(spark, sf), risk.part(prepared(spark, sf), "valid")
-    return _additive(explain.tree_attributions(model, valid, fixed.ID), model.score(valid, [fixed.ID]), 2)
+    return _additive(explain.tree_attributions(model, valid, fixed.ID), model.score(valid, [fixed.ID]))
 
 
 LONG_SQL = """long AS (

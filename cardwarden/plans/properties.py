@@ -13,7 +13,8 @@ from cardwarden.plans import risk
 from cardwarden.plans.catalog import query, table
 from cardwarden.plans.inputs import CARD_SQL
 from cardwarden.plans.modelling import (
-    CARD_NUMERIC, CARD_TEXT, boosted, card_table, linear, prepared, stream_model_score)
+    CARD_NUMERIC, CARD_TEXT, boosted, card_table, curve, gbt_score, gbt_score_missing_routed, gbt_score_regularised,
+    gbt_score_without_indicators, linear, prepared, scored_part, stream_model_score)
 from cardwarden.session import materialise
 
 LABEL = f"actual_{fixed.TARGET}"
@@ -45,15 +46,12 @@ def logistic_scores_sound(spark, sf):
 
 @query("boosted_scores_sound", f"""WITH {PARTS_SQL}
 SELECT model, TransactionID, true AS sound FROM parts
-CROSS JOIN (SELECT unnest(['with indicators', 'without', 'regularised']) AS model) WHERE split = 'test'""")
+CROSS JOIN (SELECT unnest(['with indicators', 'without', 'regularised', 'routed']) AS model) WHERE split = 'test'""")
 def boosted_scores_sound(spark, sf):
-    data = prepared(spark, sf)
-    train, test = risk.part(data, "train"), risk.part(data, "test")
-    fits = {"with indicators": boosted(spark, sf),
-            "without": models.fit_boosted(train, CARD_NUMERIC, CARD_TEXT, indicators=False),
-            "regularised": models.fit_boosted(train, CARD_NUMERIC, CARD_TEXT, indicators=False, settings=fixed.REGULARISED)}
+    fits = {"with indicators": gbt_score, "without": gbt_score_without_indicators,
+            "regularised": gbt_score_regularised, "routed": gbt_score_missing_routed}
     return reduce(DataFrame.unionByName, [
-        _sound(m.score(test, [fixed.ID])).withColumn("model", F.lit(name)) for name, m in fits.items()])
+        _sound(scores(spark, sf)).withColumn("model", F.lit(name)) for name, scores in fits.items()])
 
 
 @query("importance_complete", f"""
@@ -66,16 +64,21 @@ def importance_complete(spark, sf):
     return found.select("feature", F.col("importance").between(0, 1).alias("in_range")).join(F.broadcast(total))
 
 
-@query("validation_curve_agrees", f"SELECT unnest(range(1, {fixed.TREES + 1}))::INTEGER AS iteration, true AS agrees")
+@query("validation_curve_agrees", f"""
+SELECT part, iteration::INTEGER AS iteration, true AS agrees
+FROM (SELECT unnest(range(1, {fixed.TREES + 1})) AS iteration) CROSS JOIN (SELECT unnest(['train', 'valid']) AS part)""")
 def validation_curve_agrees(spark, sf):
-    """One loss per tree; the last is the log loss of the scores (the trees' loss counts it twice)."""
-    valid = risk.part(prepared(spark, sf), "valid")
-    scored = models.labelled_predictions(boosted(spark, sf), valid)
-    own = F.when(F.col(LABEL) == 1, _p()).otherwise(1 - _p())
-    loss = scored.agg((-2 * F.avg(F.log(own))).alias("wanted"))
-    curve = models.loss_curve(boosted(spark, sf), valid).join(F.broadcast(loss))
-    close = F.abs(F.col("loss") - F.col("wanted")) < 1e-6
-    return curve.select("iteration", (close | (F.col("iteration") < fixed.TREES)).alias("agrees"))
+    """A row per tree and part, in range; the last is the average precision of the whole model's scores."""
+    wanted = []
+    for part in ("train", "valid"):
+        scored = scored_part(spark, sf, part)
+        wanted.append(evaluate.ranking_metrics(scored, "fraud_probability", LABEL).select(
+            F.lit(part).alias("part"), F.col("average_precision").alias("wanted")))
+    joined = curve(spark, sf).join(F.broadcast(wanted[0].unionByName(wanted[1])), "part")
+    # Margins beyond 36 meet in the probability 1, so the last digits may differ.
+    close = F.abs(F.col("average_precision") - F.col("wanted")) < 1e-9
+    last = F.col("iteration") == fixed.TREES
+    return joined.select("part", "iteration", (F.col("average_precision").between(0, 1) & (close | ~last)).alias("agrees"))
 
 
 @query("threshold_counts_agree", f"""WITH {PARTS_SQL}
@@ -87,7 +90,7 @@ def threshold_counts_agree(spark, sf):
     judged = materialise(risk.judge(model, data), "judged")
     found = []
     for part in ("valid", "test"):
-        scored = materialise(models.labelled_predictions(model, risk.part(data, part)), "scores")
+        scored = scored_part(spark, sf, part)
         for t in fixed.TEST_THRESHOLDS:
             hit, bad = _p() >= t, F.col(LABEL) == 1
             found.append(scored.agg(
@@ -105,7 +108,7 @@ FROM parts WHERE split <> 'train' GROUP BY 1""")
 def evaluation_agrees(spark, sf):
     """The evaluation of both held-out parts: whole counts, metrics in range, chosen thresholds in the sweep."""
     def one(part):
-        scored = models.labelled_predictions(boosted(spark, sf), risk.part(prepared(spark, sf), part))
+        scored = scored_part(spark, sf, part)
         b = evaluate.evaluation_bundle(scored, "fraud_probability", LABEL, part)
         sound = F.col("roc_auc").between(0, 1) & F.col("average_precision").between(0, 1) & (F.col("threshold") == 0.5)
         return b.select("split", (F.col("true_positives") + F.col("false_negatives")).alias("positives"),

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cardwarden import fixed
-from cardwarden.operators import explain, features, models
+from cardwarden.operators import boosting, evaluate, explain, features, models
 from cardwarden.plans import risk
 from cardwarden.session import work_path
 
@@ -97,14 +97,22 @@ def test_model_round_trip_and_sparse_input(spark, card):
 
 
 def test_boosted_trees_learn_the_missing_signal_and_explain_it(spark, card):
-    model = models.fit_boosted(card, NUM, CAT, settings={"maxIter": 5, "maxDepth": 3})
+    model = models.fit_boosted(card, NUM, CAT, settings={"depth": 3}, trees=5)
     assert models.top_features(model, 1).first().feature in ("C1", "C1_missing")
     assert abs(models.feature_importance(model).agg(F.sum("importance")).first()[0] - 1) < 1e-9
-    assert models.loss_curve(model, card).count() == 5
+    curve = models.precision_curve(model, {"all": card, "even": card.where("TransactionID % 2 = 0")})
+    rows = {(r.part, r.iteration): r.average_precision for r in curve.collect()}
+    assert len(rows) == 10
+    for n in (1, 3, 5):
+        short = models.RiskModel(model.pipeline, model.inputs, boosting.Forest(
+            **{c: getattr(model.forest, c)[:n] for c in boosting.Forest.COLUMNS}, width=model.forest.width))
+        scored = models.labelled_predictions(short, card)
+        want = evaluate.ranking_metrics(scored, "fraud_probability", f"actual_{fixed.TARGET}").first().average_precision
+        assert rows["all", n] == pytest.approx(want, abs=1e-12)
     values = explain.tree_attributions(model, card, fixed.ID)
     margin = F.col("base") + F.aggregate("values", F.lit(0.0), lambda a, v: a + v)
     scored = model.score(card, [fixed.ID])
-    worst = values.withColumn("p", 1 / (1 + F.exp(-2 * margin))).join(scored, fixed.ID).agg(
+    worst = values.withColumn("p", 1 / (1 + F.exp(-margin))).join(scored, fixed.ID).agg(
         F.max(F.abs(F.col("p") - F.col("fraud_probability")))).first()[0]
     assert worst < 1e-9
     long = explain.long_attributions(values, model.names, fixed.ID)
@@ -116,32 +124,67 @@ def test_boosted_trees_learn_the_missing_signal_and_explain_it(spark, card):
     assert long.where(f"value = 0 AND direction <> '{fixed.TOWARD_LEGITIMATE}'").count() == 0
 
 
-@pytest.mark.parametrize("small", [10, 0])
-def test_tree_values_are_shapley_values(monkeypatch, small):
-    monkeypatch.setattr(explain, "SMALL_PATH", small)
-    node = lambda v, c, l=-1, r=-1, f=None, t=None: {
-        "value": v, "cover": c, "left": l, "right": r, "feature": f, "threshold": t}
-    nodes = {0: node(0, 10, 1, 2, 0, 0.5), 1: node(0, 6, 3, 4, 1, 0.3), 2: node(0, 4, 5, 6, 0, 0.8),
-             3: node(1.0, 2), 4: node(-2.0, 4), 5: node(3.0, 1), 6: node(0.5, 3)}
-
-    def expected(x, known, at=0):
-        n = nodes[at]
-        if n["left"] < 0:
-            return n["value"]
-        if n["feature"] in known:
-            return expected(x, known, n["left"] if x[n["feature"]] <= n["threshold"] else n["right"])
-        return sum(nodes[c]["cover"] / n["cover"] * expected(x, known, c) for c in (n["left"], n["right"]))
-
-    leaves = explain._leaves(nodes, 1.0)
-    xs = np.array([[0.2, 0.1, 9.0], [0.7, 0.9, 9.0], [0.5, 0.3, 9.0], [0.95, 0.2, 9.0]])
-    got = explain._tree_values(xs, leaves, [None] * len(leaves))
+def test_boosted_model_round_trip_routing_and_contract(spark, card):
+    model = models.fit_boosted(card, NUM, CAT, indicators=False, impute=False, trees=4)
+    path = work_path(spark, "boosted-test")
+    model.save(path)
+    again = models.RiskModel.load(spark, path)
+    a = {r[0]: r[1] for r in model.score(card, [fixed.ID]).select(fixed.ID, "fraud_probability").collect()}
+    b = {r[0]: r[1] for r in again.score(card, [fixed.ID]).select(fixed.ID, "fraud_probability").collect()}
+    assert a == b and again.names == model.names == ["TransactionAmt", "C1", "ProductCD"]
+    assert np.isnan(vectors(models.PipelineModel(model.transforms), card.where("C1 is null").limit(1), fixed.ID).popitem()[1][1])
+    ghost = models.RiskModel(model.pipeline, models._inputs(["TransactionAmt"], CAT), model.forest)
+    with pytest.raises(ValueError, match="without an input.*C1"):
+        ghost.check()
+    one_hot = models.fit_linear(card, NUM, CAT, iterations=5)
+    one_hot.check()
+    with pytest.raises(ValueError, match="without an input.*ProductCD"):
+        models.RiskModel(one_hot.pipeline, models._inputs(NUM, [])).check()
+
+
+def random_forest(rng, depth, width):
+    """Trees of full depth with repeated features on their paths and some leaves above."""
+    forest = boosting.Forest.empty(3, depth, width)
+    for t in range(3):
+        forest.cover[t, 0] = 100.0
+        for node in range(2 ** depth - 1):
+            if forest.cover[t, node] and (node == 0 or rng.random() < 0.85):
+                forest.feature[t, node] = rng.integers(width)
+                forest.cut[t, node] = rng.normal()
+                forest.missing_left[t, node] = rng.random() < 0.5
+                part = rng.uniform(0.2, 0.8)
+                forest.cover[t, 2 * node + 1], forest.cover[t, 2 * node + 2] = np.array([part, 1 - part]) * forest.cover[t, node]
+        leaf = (forest.feature[t] < 0) & (forest.cover[t] > 0)
+        forest.value[t, leaf] = rng.normal(size=leaf.sum())
+    return forest
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, 4, 5, 6])
+def test_tree_values_are_shapley_values(depth):
+    rng, width = np.random.default_rng(depth), 4
+    forest = random_forest(rng, depth, width)
+    xs = rng.normal(size=(5, width))
+    xs[0, 1] = np.nan
+
+    def expected(t, x, known, at=0):
+        f = forest.feature[t, at]
+        if f < 0:
+            return forest.value[t, at]
+        if f in known:
+            left = forest.missing_left[t, at] if np.isnan(x[f]) else x[f] < forest.cut[t, at]
+            return expected(t, x, known, 2 * at + 2 - left)
+        return sum(forest.cover[t, c] / forest.cover[t, at] * expected(t, x, known, c) for c in (2 * at + 1, 2 * at + 2))
+
+    got = sum(explain._tree_values(xs, forest, t, explain._walk_of(forest.feature[t], forest.cover[t])) for t in range(3))
+    assert explain.expected_margin(forest) == pytest.approx(sum(expected(t, xs[0], set()) for t in range(3)))
     for x, row in zip(xs, got):
-        for i in range(3):
-            rest = [j for j in range(3) if j != i]
+        for i in range(width):
+            rest = [j for j in range(width) if j != i]
             want = sum(
-                math.factorial(k) * math.factorial(2 - k) / 6 * (expected(x, {*s, i}) - expected(x, set(s)))
-                for k in range(3) for s in itertools.combinations(rest, k))
-            assert row[i] == pytest.approx(want)
+                math.factorial(k) * math.factorial(width - 1 - k) / math.factorial(width)
+                * (expected(t, x, {*some, i}) - expected(t, x, set(some)))
+                for t in range(3) for k in range(width) for some in itertools.combinations(rest, k))
+            assert row[i] == pytest.approx(want, abs=1e-9)
 
 
 def test_prepare_and_judge(spark, card):
@@ -158,4 +201,4 @@ def test_prepare_and_judge(spark, card):
 def test_boosted_fits_take_the_full_number_of_trees():
     import inspect
     assert inspect.signature(models.fit_boosted).parameters["trees"].default == fixed.TREES == 1000
-    assert "maxIter" not in fixed.BOOSTED and "maxIter" not in fixed.REGULARISED
+    assert "trees" not in fixed.BOOSTED and "trees" not in fixed.REGULARISED
