@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwarden.llm import balance, chats, host_rules, leaks, licenses, lm, oracles, personal, pieces, secrets, simhash
+from cardwarden.llm import (
+    balance, chats, classifier, host_rules, infill, leaks, licenses, lm, oracles, personal, pieces, secrets, simhash, trie)
 from cardwarden.plans.catalog import table
 
 
@@ -52,8 +53,21 @@ def op10_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    return classifier.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held)
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.nodes(table(spark, sf_dir, "conversations"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return infill.transformed(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_entropy_balanced_mix, op2_host_quality_rules, op3_backoff_automaton_scores, op4_simhash_near_dedup,
     op5_unigram_token_counts, op6_secret_scan, op7_personal_data, op8_license_scan, op9_maximal_chats,
-    op10_benchmark_leaks)}
+    op10_benchmark_leaks, op11_quality_classifier, op12_conversation_trie, op13_fill_in_middle)}
 ORACLES = {"op2_host_quality_rules": oracles.HOST_RULES, "op9_maximal_chats": oracles.CHATS}
