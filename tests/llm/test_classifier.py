@@ -67,7 +67,7 @@ def test_parts_are_averaged(spark):
         for part in parts:
             mine = classifier.Leader(leader.z.copy(), leader.n.copy())
             for r in part:
-                mine.learn(np.frombuffer(bytes(r.slots), np.int32), np.frombuffer(bytes(r["values"]), np.float32).astype(float), r.label, 1.0)
+                mine.learn(*classifier.unpacked(bytes(r.slots), bytes(r.counts), 10), r.label, 1.0)
             states.append(mine)
         leader = classifier.Leader(np.mean([s.z for s in states], axis=0), np.mean([s.n for s in states], axis=0))
     assert len(parts) > 1 and weights == pytest.approx(leader.weights())
@@ -89,6 +89,15 @@ def test_nulls_repeats_clashes_and_empty_tables(spark):
     assert classifier.judged(docs.where("false"), labels, held()).count() == 0
 
 
+def test_a_bounded_sample_of_ids_is_learned_from(spark):
+    docs = spark.range(500).selectExpr("id as doc_id", "concat('w', id) as text")
+    docs = docs.union(docs.where("doc_id < 300"))
+    labels = spark.range(400).selectExpr("id as doc_id", "cast(id % 2 as int) as quality")
+    rows = classifier.labelled_rows(docs, labels, F.lit(False), "doc_id", "text", "quality", 8, sample=50)
+    every = sorted(r[0] for r in labels.select(F.xxhash64("doc_id")).collect())
+    assert sorted(r.order for r in rows.collect()) == every[:50]
+
+
 def test_tokens_and_slots():
     assert classifier.TOKEN.findall(b"the*** a-b !! \xc3\xa9") == [b"the", b"***", b"a", b"-", b"b", b"!!", b"\xc3\xa9"]
     slots, values = classifier.sparse(b"One one TWO", 12)
