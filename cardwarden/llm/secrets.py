@@ -10,6 +10,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,12 +43,16 @@ SHORT_WORD, MAX_CHARS_OF_SHORT_WORD = 20, 1.95
 DIGEST = re.compile(r"(?i)(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})")
 UNIVERSAL = re.compile(r"(?i)[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}")
 NUMERIC = re.compile(r"[0-9+/_=-]*(?:T[0-9+/_=-]+Z?)?")
-NAME = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4})(?:[_/+=-]*(?:[A-Z]?[a-z]{2,}|[A-Z]{2,}|[0-9]{1,4}))*[_/+=-]*")
+# Runs of one class are taken whole and never given back, so a failing match costs one pass.
+NAME = re.compile(r"(?:[A-Z]*+[a-z]{2,}+|[A-Z]{2,}+|[0-9]++|[_/+=-]++)++")
 NAME_PIECES = re.compile(r"[A-Za-z]+|[0-9]+")
 NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 LEAST_WORD = 3.0  # mean letters a piece of a name has
 LEAST_LETTERS = 5  # different characters; repetition is not random
 LEAST_REST = 4  # characters of a key beside a span found already
+# A few characters over and over; a stretch of it is set aside, what is beside it is tested by itself.
+REPEATED = re.compile(r"(.{1,8}?)\1{3,}+")
+LEAST_REPEATED = 32
 SLICE = 512  # characters encoded at once: the merges of one long piece take more than linear time
 
 
@@ -74,7 +79,7 @@ def known(run: str, vocabulary: Vocabulary) -> bool:
     """Digests, identifiers, numbers, repetitions and names: random-looking or long, but no secrets."""
     bare = run.strip("-_=+/")
     return bool(DIGEST.fullmatch(bare) or UNIVERSAL.fullmatch(bare) or NUMERIC.fullmatch(bare)
-                or len(set(bare[:SLICE])) < LEAST_LETTERS or named(run, vocabulary))
+                or len(set(bare)) < LEAST_LETTERS or named(run, vocabulary))
 
 
 def is_random(run: str, vocabulary: Vocabulary) -> bool:
@@ -106,32 +111,55 @@ class Vocabulary:
         return sum(len(self.encoder.encode_ordinary(run[i:i + SLICE])) for i in range(0, len(run), SLICE))
 
 
-def uncovered(start: int, end: int, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """The parts of a stretch outside ``taken``, which is in order."""
+def covered(spans: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
+    """The union of spans in order, as stretches apart from each other."""
+    out: list[list[int]] = []
+    for s, e, _ in spans:
+        if out and s <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([s, e])
+    return [(s, e) for s, e in out]
+
+
+def uncovered(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The parts of a stretch outside ``taken``, which is in order and apart."""
     parts = []
-    for s, e, _ in taken:
-        if s < end and start < e:
-            if start < s:
-                parts.append((start, s))
-            start = max(start, e)
+    for s, e in taken:
+        if start < s:
+            parts.append((start, s))
+        start = max(start, e)
     return parts + [(start, end)] if start < end else parts
 
 
+def runs(text: str) -> Iterator[tuple[int, int]]:
+    """Long unbroken runs without long repeated stretches."""
+    for m in CANDIDATE.finditer(text):
+        same = [r.span() for r in REPEATED.finditer(text, m.start(), m.end()) if r.end() - r.start() >= LEAST_REPEATED]
+        yield from ((s, e) for s, e in uncovered(m.start(), m.end(), same) if e - s >= LEAST_RANDOM)
+
+
 def random_spans(text: str, vocabulary: Vocabulary, taken: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
     """Runs with few characters per token, as far as they are outside the spans found already.
 
     What a span leaves of a run is tested by itself, and short parts count with the whole run: a key
-    around a stretch of hexadecimal digits is masked to its ends.
+    around a stretch of hexadecimal digits is masked to its ends.  Runs and spans are walked side by side.
     """
-    found = []
-    for m in CANDIDATE.finditer(text):
-        near = [t for t in taken if t[0] < m.end() and m.start() < t[1]]
-        whole = is_random(m[0], vocabulary)
+    found, at = [], 0
+    taken = covered(taken)
+    for start, end in runs(text):
+        while at < len(taken) and taken[at][1] <= start:
+            at += 1
+        near, ahead = [], at
+        while ahead < len(taken) and taken[ahead][0] < end:
+            near.append(taken[ahead])
+            ahead += 1
+        whole = is_random(text[start:end], vocabulary)
         if not near:
             if whole:
-                found.append((m.start(), m.end(), "random"))
+                found.append((start, end, "random"))
             continue
-        for s, e in uncovered(m.start(), m.end(), near):
+        for s, e in uncovered(start, end, near):
             part = text[s:e]
             if e - s >= LEAST_RANDOM and is_random(part, vocabulary) or (
                     whole and len(part.strip("-_=+/")) >= LEAST_REST and not named(part, vocabulary)):
@@ -165,7 +193,8 @@ def scan(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, key: str = "doc_
     """(key, n_assign, n_access, n_hex, n_random, base_sha256, spans) of every row's whole text.
 
     Spans are kind:start:end in code points, end exclusive, by start and then kind.  Null and empty
-    texts have no spans.  Repeated rows are scanned each; other columns are not read.
+    texts have no spans, texts of any length are read whole in time proportional to it, an empty table gives no
+    rows.  Repeated rows are scanned each; other columns, whatever their names, are not read.
     """
     words = Vocabulary(vocabulary)
     kind = docs.schema[key].dataType.simpleString()
@@ -185,7 +214,8 @@ def scan(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, key: str = "doc_
 
 
 def redact(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, text: str = "text", length: str | None = None) -> DataFrame:
-    """``docs`` with every secret in ``text`` masked; rows and columns stay, in their order.
+    """``docs`` with every secret in ``text`` masked; rows and columns stay, in their order.  Null and empty
+    texts stay as they are; no column is added, so no name can clash.
 
     ``length`` names a bigint column that holds the text's length; it is counted anew where the
     text changed.

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 
@@ -89,3 +90,39 @@ def test_redaction(spark):
 def test_missing_vocabulary():
     with pytest.raises(FileNotFoundError):
         secrets.Vocabulary("/nowhere")
+
+
+def _letters(alphabet, n, seed=1):
+    return "".join(random.Random(seed).choices(alphabet, k=n))
+
+
+@pytest.mark.parametrize("alphabet", ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789", "ab", "_-/", "aB1_"])
+@pytest.mark.parametrize("tail", ["", "A1b", "z", "Z", "-", "a_B"])
+def test_long_runs_of_one_class_take_linear_time(alphabet, tail):
+    run = _letters(alphabet, 100_000) + tail
+    start = time.perf_counter()
+    secrets.secret_spans(run, VOCABULARY)
+    assert time.perf_counter() - start < 10
+
+
+def test_many_spans_take_linear_time():
+    digests = [hashlib.md5(str(i).encode()).hexdigest() for i in range(100_000)]
+    start = time.perf_counter()
+    spans = secrets.secret_spans(" ".join(digests), VOCABULARY)
+    assert time.perf_counter() - start < 10
+    assert len(spans) == 100_000
+
+
+@pytest.mark.parametrize("run, named", [
+    ("parseHttpRequest", True), ("abcD", False), ("ABCd", False), ("ABcd", True), ("Ab", False), ("Abc", True), ("A", False), ("a", False),
+    ("a1", False), ("snake_case_name2024", True), ("x86_64", False), ("2024-01-02", True), ("abX", False), ("abXY", True), ("éa", False)])
+def test_name_shapes(run, named):
+    assert bool(secrets.NAME.fullmatch(run)) is named
+
+
+def test_keys_beside_repeated_stretches():
+    key = _letters("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 400, 5)
+    for filler in ("AB" * 300, "=" * 900, "abcdefgh" * 80):
+        assert secrets.secret_spans(filler + key, VOCABULARY) == [(len(filler), len(filler) + 400, "random")]
+        assert secrets.secret_spans(key + filler + key, VOCABULARY)[-1][1] == 800 + len(filler)
+        assert secrets.secret_spans(filler, VOCABULARY) == []
