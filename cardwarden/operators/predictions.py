@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,6 +72,12 @@ def new_keys(batch: DataFrame, existing: DataFrame, key: str, earliest: list[Col
     return firsts.join(stored, key, "left_anti")
 
 
+def new_keys_in(batch: DataFrame, stored: Callable[[DataFrame], DataFrame], key: str, earliest: list[Column]) -> DataFrame:
+    """As ``new_keys`` over an indexed table: ``stored`` gives the table's rows of the asked keys."""
+    firsts = materialise(first_by(batch, key, earliest), "firsts")
+    return firsts.join(stored(firsts.select(key)).select(key).distinct(), key, "left_anti")
+
+
 def score_once(requests: DataFrame, log: DataFrame, key: str, earliest: list[Column],
                newest: list[Column], score) -> DataFrame:
     """One result per requested id: the newest stored one, else a new score of its first request.
@@ -93,7 +101,7 @@ def attach_results(requests: DataFrame, results: DataFrame, key: str) -> DataFra
 
 def delete_cascade(transactions: DataFrame, predictions: DataFrame, keys: DataFrame,
                    key: str = "transaction_id") -> tuple[DataFrame, DataFrame]:
-    """Both tables without the given ids; the caller writes them to a new place."""
+    """Both tables without the given ids, as frames; ``PredictionStore.delete`` does it to stored tables."""
     gone = keys.select(key).distinct()
     return (transactions.join(gone, key, "left_anti"), predictions.join(gone, key, "left_anti"))
 

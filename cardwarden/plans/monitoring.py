@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cardwarden import fixed
-from cardwarden.operators import joins, lifetimes, metrics, predictions
+from cardwarden.operators import counters, joins, lifetimes, metrics, predictions
 from cardwarden.plans.catalog import query, rounded, table
 from cardwarden.plans.inputs import LOG_SQL, prediction_log
+from cardwarden.session import work_path
+from cardwarden.streaming import jobs, lookups
+from cardwarden.streaming.store import PredictionStore
 
 
 
@@ -119,6 +122,30 @@ def delete_cascade(spark, sf):
     return side("transactions", kept).unionByName(side("predictions", children))
 
 
+@query("stored_delete_cascade", """
+SELECT 'transactions' AS side, count(*) AS n, sum(o_orderkey)::BIGINT AS key_sum FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT 'predictions', count(*), sum(o_orderkey)::BIGINT FROM orders
+WHERE o_orderstatus <> 'F' AND o_orderpriority <> '5-LOW'""")
+def stored_delete_cascade(spark, sf):
+    """Deleted from the stored tables: marked, then taken out of the files that hold them."""
+    store = PredictionStore(spark, work_path(spark, "store"))
+    orders = table(spark, sf, "orders").withColumns({
+        "TransactionID": F.col("o_orderkey"), "TransactionDT": F.lit(0), "TransactionAmt": F.col("o_totalprice"),
+        "ProductCD": F.col("o_orderstatus"), "fraud_probability": F.lit(0.5), "fraud_prediction": F.lit(False),
+        "decision": F.lit(fixed.LEGITIMATE), "threshold": F.lit(0.6), "prediction_latency_ms": F.lit(None).cast("double")})
+    absent = [sent for _, sent in predictions.SENT_AS if sent not in orders.columns]
+    full = orders.withColumns({c: F.lit(None).cast("string" if c in ("card4", "card6", "P_emaildomain", "R_emaildomain")
+                                                   else "double") for c in absent})
+    store.commit(predictions.transaction_rows(full),
+                 predictions.prediction_rows(full.where("o_orderpriority <> '5-LOW'"), "risk", "1"), "load", 0)
+    store.delete(orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("transaction_id")))
+    store.purge()
+
+    def side(name, df):
+        return df.agg(F.count("*").alias("n"), F.sum("transaction_id").alias("key_sum")).select(F.lit(name).alias("side"), "*")
+    return side("transactions", store.transactions()).unionByName(side("predictions", store.predictions()))
+
+
 # --- lifetimes ------------------------------------------------------------------------------------
 
 @query("live_entries", """
@@ -165,6 +192,24 @@ def lookup_counts(spark, sf):
         lifetimes.lookup_sources(requests, "user_id", "ts", "event_id", 3600), "source")
 
 
+@query("stream_lookup_sources", _replay_sql(12 * 3600 * 1000))
+def stream_lookup_sources(spark, sf):
+    """The same answers from keyed state in a stream, in four micro-batches by time."""
+    at = work_path(spark, "stream-lookups")
+    events = table(spark, sf, "events").select("event_id", "user_id", "ts")
+    span = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    quarter = (F.col("b") - F.col("a")) / 4
+    # One row.
+    cut = events.join(F.broadcast(span)).withColumn("part", sum(
+        (F.col("ts") > F.col("a") + quarter * i).cast("int") for i in (1, 2, 3))).drop("a", "b")
+    for part in range(4):
+        cut.where(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{at}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{at}/in")
+    rows = lookups.answered(stream, "user_id", "ts", "event_id", 12 * 3600).select("event_id", "source")
+    jobs.finish(jobs.to_files(rows, f"{at}/out", f"{at}/checkpoint", available_only=True))
+    return spark.read.parquet(f"{at}/out")
+
+
 # --- metrics --------------------------------------------------------------------------------------
 
 @query("decision_counts", f"WITH {LOG_SQL} SELECT decision, model_version, count(*) AS total FROM log GROUP BY 1, 2")
@@ -232,6 +277,50 @@ def total_rate_per_minute(spark, sf):
     return rounded(metrics.rate_per_second(prediction_log(spark, sf), "created_at"), per_second=6)
 
 
+# Event values as samples of counters that reset often; windows of two hours every hour.
+GRID_SQL = """s AS (SELECT event_type, epoch_us(ts) AS at, max(value) AS v FROM events GROUP BY 1, 2),
+p AS (SELECT *, lag(v) OVER (PARTITION BY event_type ORDER BY at) AS prior FROM s),
+e AS (SELECT epoch_us(date_trunc('hour', min(ts))) AS o, epoch_us(max(ts)) - epoch_us(date_trunc('hour', min(ts))) AS len FROM events),
+g AS (SELECT o + 3600000000 * unnest(range(0, len // 3600000000 + 1)) AS step FROM e),
+w AS (SELECT step, event_type, count(*) AS n, min(at) AS t0, max(at) AS t1, arg_min(v, at) AS v0, arg_max(v, at) AS v1,
+        sum(CASE WHEN v < prior THEN prior ELSE 0 END) - arg_min(CASE WHEN v < prior THEN prior ELSE 0 END, at) AS resets
+      FROM g JOIN p ON at > step - 7200000000 AND at <= step GROUP BY 1, 2 HAVING count(*) > 1),
+x AS (SELECT *, v1 - v0 + resets AS grown, (t1 - t0)::DOUBLE AS sampled, (t1 - t0)::DOUBLE / (n - 1) AS spacing,
+        (t0 - step + 7200000000)::DOUBLE AS head, (step - t1)::DOUBLE AS tail FROM w),
+y AS (SELECT *, CASE WHEN head >= 1.1::DOUBLE * spacing THEN spacing / 2 ELSE head END AS h,
+        CASE WHEN tail >= 1.1::DOUBLE * spacing THEN spacing / 2 ELSE tail END AS t FROM x),
+rates AS (SELECT make_timestamp(step) AS step, event_type, grown * (sampled + t + CASE WHEN grown > 0 AND v0 >= 0
+        AND sampled * v0 / grown < h THEN sampled * v0 / grown ELSE h END) / sampled AS increase FROM y)"""
+
+
+def _sampled_rates(spark, sf):
+    events = table(spark, sf, "events").select("event_type", "ts", "value")
+    ends = events.agg(F.date_trunc("hour", F.min("ts")).alias("a"), F.max("ts").alias("b")).first()
+    kind = events.schema["ts"].dataType
+    a, b = (F.lit(t).cast(kind) for t in (ends.a, ends.b))
+    return counters.counter_rates(events, "ts", "value", ["event_type"], a, b, 3600, 7200)
+
+
+@query("counter_rates", f"""WITH {GRID_SQL}
+SELECT step, event_type, round(increase, 4) AS increase, round(increase / 7200, 6) AS per_second FROM rates""")
+def counter_rates(spark, sf):
+    return rounded(_sampled_rates(spark, sf), increase=4, per_second=6)
+
+
+@query("counter_rate_ratio", f"""WITH {GRID_SQL}
+SELECT step, CASE WHEN sum(increase) > 0 THEN round(coalesce(sum(increase) FILTER (event_type = 'view'), 0) / sum(increase), 6)
+  ELSE 0.0::DOUBLE END AS ratio FROM rates GROUP BY 1""")
+def counter_rate_ratio(spark, sf):
+    """Share of one label in the summed rates."""
+    return rounded(counters.rate_ratio(_sampled_rates(spark, sf), F.col("event_type") == "view"), ratio=6)
+
+
+@query("counter_rates_summed", f"""WITH {GRID_SQL}
+SELECT step, round(sum(increase / 7200), 6) AS per_second FROM rates GROUP BY 1""")
+def counter_rates_summed(spark, sf):
+    return rounded(counters.summed_rates(_sampled_rates(spark, sf)), per_second=6)
+
+
 @query("hit_ratio", f"""WITH {LOG_SQL}
 SELECT date_trunc('minute', created_at) AS minute, count(*) FILTER (model_version = 'view') AS hits, count(*) AS lookups,
        round(count(*) FILTER (model_version = 'view') / count(*), 6) AS hit_ratio FROM log GROUP BY 1""")

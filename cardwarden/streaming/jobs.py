@@ -37,17 +37,21 @@ def query_identity(batch: DataFrame) -> str:
 
 
 def to_latest_windows(counts: DataFrame, path: str, checkpoint: str, available_only: bool = False) -> StreamingQuery:
-    """Windowed counts in update mode: every batch stores the windows it changed, open ones included."""
+    """Windowed counts in update mode: every batch stores the windows it changed, open ones included.
+
+    Batches are kept by query identity: a new checkpoint counts from 0 beside the old one's windows.
+    """
     def run(changed: DataFrame, batch_id: int) -> None:
-        changed.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        changed.write.mode("overwrite").parquet(f"{path}/query={query_identity(changed)}/batch_id={batch_id}")
 
     writer = counts.writeStream.outputMode("update").foreachBatch(run).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_only else writer).start()
 
 
 def latest_windows(stored: DataFrame, by: list[str], count: str = "events") -> DataFrame:
-    """Each window as its last batch left it."""
-    return stored.groupBy(*by).agg(F.max_by(count, "batch_id").alias(count))
+    """Each window as each query's last batch left it; queries read different rows, so theirs add up."""
+    last = stored.groupBy(*by, "query").agg(F.max_by(count, "batch_id").alias(count))
+    return last.groupBy(*by).agg(F.sum(count).alias(count))
 
 
 def finish(query: StreamingQuery) -> None:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cardwarden import fixed
-from cardwarden.operators.predictions import new_keys, prediction_rows, transaction_rows
+from cardwarden.operators.predictions import new_keys_in, prediction_rows, transaction_rows
 from cardwarden.operators.validation import accepted, rejected, with_reasons
 from cardwarden.schemas import TRANSACTION
 from cardwarden.streaming import jobs
@@ -27,6 +27,11 @@ def score_batch(store: PredictionStore, score: Callable[[DataFrame], DataFrame],
     Rejected requests are written to ``rejects_path``.  ``query`` names the writer; in a stream it is
     the identity that Spark keeps with the checkpoint, so only a replayed batch is skipped.
     """
+    def stored(ids: DataFrame) -> DataFrame:
+        """The store's ids among these; only their buckets are opened."""
+        return store.transactions(keys=ids.select(F.col(fixed.ID).alias("transaction_id"))).select(
+            F.col("transaction_id").alias(fixed.ID))
+
     def run(records: DataFrame, batch_id: int) -> None:
         name = query or jobs.query_identity(records)
         if store.is_committed(name, batch_id):
@@ -38,9 +43,7 @@ def score_batch(store: PredictionStore, score: Callable[[DataFrame], DataFrame],
             rejected(checked).select(
                 *TRANSACTION.names, "topic", "partition", "offset", "reasons").write.mode("overwrite").parquet(
                 f"{rejects_path}/query={name}/batch_id={batch_id}")
-            fresh = new_keys(
-                accepted(checked), store.transactions().withColumnRenamed("transaction_id", fixed.ID),
-                fixed.ID, earliest)
+            fresh = new_keys_in(accepted(checked), stored, fixed.ID, earliest)
             scored = score(fresh).persist()
             start = time.perf_counter()
             rows = scored.count()

@@ -3,61 +3,34 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cardwarden.schemas import STORED_PREDICTION, STORED_TRANSACTION
+from cardwarden.sinks.versions import FAN, ROWS_PER_BUCKET, Version, VersionedTables
 
-COMMIT = T.StructType([T.StructField("query", T.StringType()), T.StructField("batch_id", T.LongType())])
+KEY = "transaction_id"
 
 
-def _with_batch(schema: T.StructType) -> T.StructType:
-    return T.StructType([*[T.StructField(f.name, f.dataType) for f in schema], *COMMIT])
-
-
-class PredictionStore:
-    """Two Parquet tables, partitioned by query and micro-batch, that become visible together.
+class PredictionStore(VersionedTables):
+    """The transaction and the prediction table, one version of both at a time.
 
     Batch numbers start at 0 with every checkpoint, so a batch is known by its query's identity and
-    its number.  It overwrites its own partitions and is readable only after its commit row exists:
-    a replay after a crash repeats the writes without duplicating or half-showing anything, and
-    batches of another query, or of a new checkpoint, stand beside it.
+    its number; a replay after a crash adds nothing twice and shows nothing half-written.  Ids are
+    looked up in the buckets they fall into, whatever the store's age.  Deleting transactions takes
+    their predictions along.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
-        for name, schema in self._tables().items():
-            spark.createDataFrame([], schema).write.mode("ignore").parquet(f"{self.path}/{name}")
-
-    @staticmethod
-    def _tables() -> dict[str, T.StructType]:
-        return {"transactions": _with_batch(STORED_TRANSACTION),
-                "predictions": _with_batch(STORED_PREDICTION), "commits": COMMIT}
-
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(self._tables()[name]).option(
-            "recursiveFileLookup", "false").parquet(f"{self.path}/{name}")
-
-    def _committed(self, name: str) -> DataFrame:
-        # One narrow row per batch; Spark decides how to join it by its measured size.
-        return self._read(name).join(self._read("commits").distinct(), ["query", "batch_id"], "left_semi")
+    def __init__(self, spark: SparkSession, path: str, rows_per_bucket: int = ROWS_PER_BUCKET, fan: int = FAN):
+        super().__init__(spark, path, {"transactions": STORED_TRANSACTION, "predictions": STORED_PREDICTION}, KEY,
+                         rows_per_bucket, fan)
 
-    def transactions(self) -> DataFrame:
-        return self._committed("transactions").select(*STORED_TRANSACTION.names)
+    def transactions(self, version: Version | None = None, keys: DataFrame | None = None) -> DataFrame:
+        return self.read("transactions", version, keys)
 
-    def predictions(self) -> DataFrame:
-        return self._committed("predictions").select(*STORED_PREDICTION.names)
+    def predictions(self, version: Version | None = None, keys: DataFrame | None = None) -> DataFrame:
+        return self.read("predictions", version, keys)
 
     def is_committed(self, query: str, batch_id: int) -> bool:
-        return not self._read("commits").where(
-            (F.col("query") == query) & (F.col("batch_id") == batch_id)).isEmpty()
+        return self.written(query, batch_id)
 
     def commit(self, transactions: DataFrame, predictions: DataFrame, query: str, batch_id: int) -> None:
-        if self.is_committed(query, batch_id):
-            return
-        for name, rows, schema in (("transactions", transactions, STORED_TRANSACTION),
-                                   ("predictions", predictions, STORED_PREDICTION)):
-            rows.select(*schema.names).write.mode("overwrite").parquet(
-                f"{self.path}/{name}/query={query}/batch_id={batch_id}")
-        self.spark.createDataFrame([(query, batch_id)], COMMIT).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/commits")
+        self.change(lambda: self.append({"transactions": transactions, "predictions": predictions}, query, batch_id))
