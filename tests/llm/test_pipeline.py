@@ -2,7 +2,7 @@ import pytest
 
 import corpus_pipeline
 from cardwarden.llm import secrets
-from tests.llm import test_balance, test_host_rules, test_leaks, test_secrets, test_simhash
+from tests.llm import test_balance, test_host_rules, test_leaks, test_near, test_secrets
 
 SF = "/root/testdata/sf0.001"
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -31,8 +31,7 @@ def test_quality_rules(stages):
 
 def test_near_duplicates(stages):
     before, after = stages[1]
-    fps = [(r.doc_id, test_simhash.fingerprint(r.text)) for r in before]
-    want = {k for (k, _), c in zip(fps, test_simhash.brute_groups(fps)) if k == c}
+    want, _ = test_near.brute_kept([(r.doc_id, r.text) for r in before])
     assert {r.doc_id for r in after} == want and len(after) == len(want) and set(after) <= set(before)
 
 
