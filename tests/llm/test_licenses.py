@@ -67,3 +67,38 @@ def test_tags_and_notices():
     ("SPDX-License-Identifier: -- none", "", 0.5), ("SPDX-License-Identifier: MIT OR", "", 0.5), ("SPDX-License-Identifier: (MIT", "", 0.5)])
 def test_tags_in_comments_and_prose(line, labels, score):
     assert licenses.examine(line.encode(), licenses.finder())[5:] == (labels, score)
+
+
+@pytest.mark.parametrize("text, labels, score", [
+    ("GNU Lesser General Public License version 2.1", "gpl,lgpl-2.1-only", 0.6),
+    ("GNU General Public License version 2 or any later version", "gpl,gpl-2.0-or-later", 0.4),
+    ("under the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+     "option) any later version.", "gpl,gpl-2.0-or-later", 0.4),
+    ("version 3 of the GNU General Public License", "gpl,gpl-3.0-only", 0.4),
+    ("Eclipse Public License v1.0", "epl-1.0", 0.7), ("Eclipse Public License - v 2.0", "epl-2.0", 0.7),
+    ("the Eclipse Public License", "epl", 0.7), ("General Public License v3", "gpl,gpl-3.0-only", 0.4),
+    ("General Public License", "gpl", 0.4), ("GPLv3 or later", "gpl-3.0-or-later", 0.4), ("LGPLv2.1", "lgpl-2.1-only", 0.6),
+    ("the GPL is long", "", 0.5), ("GPL 2", "gpl-2.0-only", 0.4), ("GNU Affero General Public License, version 3", "agpl-3.0-only,gpl", 0.3),
+    ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software", "mit", 1.0),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted", "isc", 1.0),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted", "bsd-2-clause", 1.0),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided ... Neither the name of the "
+     "owner", "bsd-3-clause", 1.0),
+    ("This is free and unencumbered software released into the public domain.", "public-domain,unlicense", 1.0),
+    ("in the public domain in some countries. All rights reserved.", "public-domain,reserved", 0.0),
+    ("it is not in the public domain", "", 0.5), ("We placed this in the public domain", "public-domain", 0.5),
+    ("hereby dedicated to the public domain", "public-domain", 1.0),
+    ("the MIT License or the Apache License, Version 2.0", "apache-2.0,mit", 1.0),
+    ("the MIT License and the GNU GPL version 3", "gpl-3.0-only,mit", 0.4),
+    ("Creative Commons Attribution-ShareAlike 4.0 International", "cc-by-sa-4.0", 0.6), ("CC BY 4.0", "cc-by,cc-by-4.0", 0.9),
+    ("CC BY-NC-ND 3.0", "cc-by,cc-by-nc-nd-3.0", 0.2), ("CC BY", "cc-by", 0.9), ("Mozilla Public License, v. 2.0", "mpl-2.0", 0.7),
+    ("Apache Software License", "apache", 1.0), ("BSD 3-Clause License", "bsd-3-clause", 1.0)])
+def test_notices(text, labels, score):
+    assert licenses.examine(text.encode(), licenses.finder())[5:] == (labels, score)
+
+
+def test_long_texts_and_clashing_columns(spark):
+    long = ("GNU General Public License version 2 or later " * 30_000) + "word " * 200_000
+    df = spark.createDataFrame([(1, long, "a", 3)], "doc_id bigint, text string, labels string, k int")
+    row = licenses.scan(df).first()
+    assert (row.n_base, row.labels, row.n_words) == (30_000, "gpl,gpl-2.0-or-later", 30_000 * 8 + 200_000)
