@@ -1,7 +1,9 @@
 """Personal data: fixed shapes, and a character BiLSTM-CRF trained in numpy on labelled spans.
 
-The network reads windows that hold an at-sign or enough digits: all the kinds it knows need one of
-them, so no other window can hold a span.  Windows overlap by half; each is decoded by Viterbi, spans
+The network learns what the shapes do not cover: spans of the shapes are given back to their contexts
+in other writings (``at`` and ``dot``, brackets, other separators, local telephone numbers), beside the plain
+ones and beside numbers that are none.  It reads windows that hold an at-sign, a written-out one, or
+enough digits: all the kinds it knows need one of them, so no other window can hold a span.  Windows overlap by half; each is decoded by Viterbi, spans
 cut off by a window's edge are left to its neighbour, and the spans of all windows of a text are
 reconciled at once, as the non-overlapping set of the largest total confidence.
 """
@@ -10,8 +12,9 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import random
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -75,33 +78,38 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 # --- windows --------------------------------------------------------------------------------------
 
-WINDOW, STRIDE = 64, 32
+WINDOW, STRIDE = 96, 48
 LEAST_DIGITS = 4
+# An at-sign written out, as far as a dot written out or a plain one follows soon.
+WRITTEN = re.compile(r"(?i)[\s\[({<]at[\s\])}>]{1,3}[a-z0-9-]{1,40}[\s\[({<.]{1,2}(?:dot[\s\])}>]|[a-z]{2})")
 TAGS = 1 + 2 * len(KINDS)      # 0: outside; 1 + 2k: begins kind k; 2 + 2k: inside kind k
 SYMBOLS = 98                   # blank, 95 printable ASCII, other white space, everything else
 
 
 def codes(text: str) -> np.ndarray:
     """Character classes of a text."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
-    return np.where((points >= 32) & (points < 127), points - 31, np.where(points < 32, 96, 97))
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    return np.where((points >= 32) & (points < 127), points - 31, np.where(points < 32, 96, 97)).astype(np.uint8)
 
 
-def windows(code: np.ndarray) -> np.ndarray:
-    """Starts of the windows that may hold personal data."""
+def windows(code: np.ndarray, text: str = "") -> np.ndarray:
+    """Starts of the windows that may hold personal data; of ``text`` written-out at-signs count too."""
     n = len(code)
     if not n:
         return np.zeros(0, dtype=np.int64)
     starts = np.arange(0, max(1, n - STRIDE), STRIDE)
     ends = np.minimum(starts + WINDOW, n)
     digits = np.concatenate(([0], np.cumsum((code >= 17) & (code <= 26))))
-    signs = np.concatenate(([0], np.cumsum(code == 33)))
+    sign = code == 33
+    for m in WRITTEN.finditer(text) if "at" in text or "AT" in text or "At" in text else ():
+        sign[m.start()] = True
+    signs = np.concatenate(([0], np.cumsum(sign)))
     return starts[(digits[ends] - digits[starts] >= LEAST_DIGITS) | (signs[ends] > signs[starts])]
 
 
 def cut(code: np.ndarray, start: int) -> np.ndarray:
     piece = code[start:start + WINDOW]
-    return np.concatenate((piece, np.zeros(WINDOW - len(piece), dtype=np.int64)))
+    return np.concatenate((piece, np.zeros(WINDOW - len(piece), dtype=np.uint8)))
 
 
 def tags_of(spans: list[tuple[str, int, int]], start: int) -> np.ndarray:
@@ -249,10 +257,11 @@ class Tagger:
 
 SAMPLE_ROWS = 400      # rows with spans the network is fitted on, at most
 PLAIN_ROWS = 100       # rows without spans beside them, at most
-CUT = 8 * WINDOW       # characters taken of a row
-SAMPLE_WINDOWS = 2_000
-STEPS = 400
-SURE = 0.95            # mean posterior of an added span's characters
+CUT = 512              # characters taken of a row
+SAMPLE_WINDOWS = 6_000
+COPIES = 4             # times a text with spans is learned from in other writings
+STEPS = 800
+SURE = 0.88            # mean posterior of an added span's characters
 DECODED = 512          # windows decoded together
 
 
@@ -308,12 +317,93 @@ def labelled_sample(docs: DataFrame, key: str, text: str) -> list[tuple[str, lis
     return [(r.t, [(k, int(s), int(e)) for k, s, e in (x.split(":") for x in r.spans.split(",") if x)]) for r in mixed]
 
 
+def _digits(rng: random.Random, n: int) -> str:
+    return "".join(rng.choices("0123456789", k=n))
+
+
+def _card(rng: random.Random) -> str:
+    body = rng.choice("3456") + _digits(rng, 14)
+    return body + next(c for c in "0123456789" if luhn(body + c))
+
+
+def rewritten(kind: str, span: str, rng: random.Random) -> str:
+    """A span of a kind in a writing that no fixed shape covers; numbers are drawn anew."""
+    if kind == "email":
+        local, domain = span.rsplit("@", 1)
+        at, dot = rng.choice([(" at ", " dot "), ("(at)", "."), (" (at) ", " (dot) "), ("[at]", "[dot]"), (" [at] ", " [dot] "),
+                              (" @ ", "."), (" AT ", " DOT "), (" at ", "."), ("{at}", "{dot}")])
+        return local + at + domain.replace(".", dot)
+    if kind == "ip":
+        dot = rng.choice(["[.]", "(.)", " . ", " dot ", "[dot]"])
+        return dot.join(str(rng.randrange(256)) for _ in range(4))
+    if kind == "card":
+        number, gap = _card(rng), rng.choice([".", "/", "  ", "_", " - "])
+        return gap.join(number[i:i + 4] for i in range(0, 16, 4))
+    a, b, c = _digits(rng, 3), _digits(rng, 3), _digits(rng, 4)
+    return rng.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"0{a} {b} {c}", f"0{a}/{b}{c}", f"({a}) {b} {c}",
+                       f"+{rng.randint(1, 99)}/{a}/{b}{c}", f"0{a}-{b}{c}", f"1 {a} {b} {c}"])
+
+
+def harmless(rng: random.Random) -> str:
+    """Numbers and words that look a little like personal data and are none."""
+    n = rng.randint
+    return rng.choice([
+        lambda: f"{n(1900, 2099)}-{n(1, 12):02d}-{n(1, 28):02d}", lambda: f"{n(1, 28)}.{n(1, 12)}.{n(1900, 2099)}",
+        lambda: f"{n(0, 23):02d}:{n(0, 59):02d}:{n(0, 59):02d}", lambda: f"{n(1, 999)},{n(0, 999):03d},{n(0, 999):03d}.{n(0, 99):02d}",
+        lambda: f"v{n(0, 20)}.{n(0, 20)}.{n(0, 20)}", lambda: _digits(rng, n(4, 12)), lambda: f"{n(1900, 2099)}-{n(1900, 2099)}",
+        lambda: f"{n(0, 99)}.{_digits(rng, 6)}", lambda: f"{n(1, 99)} at {n(1, 99)} per cent", lambda: f"section {n(1, 20)}.{n(1, 20)}.{n(1, 20)}",
+        lambda: f"{n(1000, 9999)} x {n(1000, 9999)}", lambda: f"look at the dot {n(100, 9999)}", lambda: f"${n(1, 9999)}.{n(0, 99):02d}",
+        lambda: f"{_digits(rng, 4)} {_digits(rng, 4)} {_digits(rng, 4)} {n(1, 9)}{_digits(rng, 2)}", lambda: f"ISBN 978-{n(0, 9)}-{_digits(rng, 4)}-{_digits(rng, 4)}"])()
+
+
+def rewritten_text(text: str, spans: list[tuple[str, int, int]], rng: random.Random) -> tuple[str, list[tuple[str, int, int]]]:
+    """The text with its spans in other writings, with harmless numbers strewn in, and where the spans are."""
+    out, found, at, size = [], [], 0, 0
+
+    def add(piece: str) -> None:
+        nonlocal size
+        out.append(piece)
+        size += len(piece)
+
+    for kind, s, e in sorted(spans, key=lambda x: x[1]):
+        if s < at:
+            continue
+        add(text[at:s])
+        if rng.random() < 0.3:
+            add(harmless(rng) + " ")
+        other = rewritten(kind, text[s:e], rng) if rng.random() < 0.85 else text[s:e]
+        found.append((kind, size, size + len(other)))
+        add(other)
+        if rng.random() < 0.3:
+            add(" " + harmless(rng))
+        at = e
+    add(text[at:])
+    return "".join(out), found
+
+
+def with_writings(labelled: list[tuple[str, list[tuple[str, int, int]]]], copies: int = COPIES, seed: int = 11) -> list:
+    """Every text plain and, ``copies`` times, in other writings; texts without spans get harmless numbers."""
+    rng, out = random.Random(seed), []
+    for text, spans in labelled:
+        out.append((text, spans))
+        for _ in range(copies if spans else 1):
+            if spans:
+                out.append(rewritten_text(text, spans, rng))
+            else:
+                words = text.split(" ")
+                for _ in range(3):
+                    words.insert(rng.randrange(len(words) + 1), harmless(rng))
+                out.append((" ".join(words), []))
+    rng.shuffle(out)
+    return out
+
+
 def train(labelled: list[tuple[str, list[tuple[str, int, int]]]], steps: int = STEPS) -> Tagger | None:
-    """A tagger fitted on labelled texts; None without any window to learn from."""
+    """A tagger fitted on labelled texts and their other writings; None without any window to learn from."""
     x, y = [], []
-    for text, spans in labelled:
+    for text, spans in with_writings(labelled):
         code = codes(text)
-        for start in windows(code)[:SAMPLE_WINDOWS - len(x)]:
+        for start in windows(code, text)[:SAMPLE_WINDOWS - len(x)]:
             x.append(cut(code, start))
             y.append(tags_of(spans, start))
     if not any(t.any() for t in y):
@@ -362,40 +452,63 @@ def reconciled(spans: list[tuple[float, str, int, int]]) -> list[tuple[float, st
     return out[::-1]
 
 
+AT_WORD = re.compile(r"(?i)\s*[\[({<]\s*at\s*[\])}>]\s*|\s+at\s+|\s*@\s*")
+DOT_WORD = re.compile(r"(?i)\s*[\[({<]\s*(?:dot|\.)\s*[\])}>]\s*|\s+dot\s+|\s*\.\s*")
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+
+
+def plain(text: str) -> str:
+    """Written-out signs as signs."""
+    return DOT_WORD.sub(".", AT_WORD.sub("@", text))
+
+
 def plausible(text: str, kind: str) -> bool:
-    """What a span must have whatever the network says."""
+    """What a span must have whatever the network says, read with written-out signs as signs."""
     digits = re.sub("[^0-9]", "", text)
     if kind == "email":
-        return "@" in text[1:-1] and " " not in text
-    if re.search(r"[A-Za-z]", text):
+        return EMAIL.fullmatch(plain(text)) is not None
+    if kind == "ip":
+        parts = plain(text).split(".")
+        return len(parts) == 4 and all(p.isascii() and p.isdigit() and len(p) <= 3 and int(p) <= 255 for p in parts)
+    if re.search(r"[^0-9\s().+/_-]", text) or text == digits:
         return False
     if kind == "card":
         return 13 <= len(digits) <= 19 and luhn(digits)
-    if kind == "phone":
-        return 9 <= len(digits) <= 15
-    parts = re.findall("[0-9]+", text)
-    return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    return 9 <= len(digits) <= 15
 
 
 def learned_spans(texts: list[str | None], base: list[list[tuple[str, int, int]]], tagger: Tagger) -> list[list[tuple[str, int, int]]]:
-    """Per text, spans the network adds beside the base spans."""
-    jobs, cells, lengths = [], [], []
-    for n, text in enumerate(texts):
-        code = codes(text or "")
-        lengths.append(len(code))
-        for start in windows(code):
-            jobs.append((n, int(start)))
-            cells.append(cut(code, start))
+    """Per text, spans the network adds beside the base spans; no more than ``DECODED`` windows are held."""
     raw: list[list] = [[] for _ in texts]
-    for at in range(0, len(jobs), DECODED):
-        tags, sure = tagger.decode(np.stack(cells[at:at + DECODED]))
-        for (n, start), t, s in zip(jobs[at:at + DECODED], tags, sure):
+    held: list[tuple[int, int, int, np.ndarray]] = []
+
+    def decode() -> None:
+        tags, sure = tagger.decode(np.stack([c for *_, c in held]))
+        for (n, start, length, _), t, p in zip(held, tags, sure):
             if t.any():
-                raw[n] += window_spans(t, s, start, lengths[n])
+                raw[n].extend(x for x in window_spans(t, p, start, length) if x[0] >= SURE)
+        held.clear()
+
+    for n, text in enumerate(texts):
+        code = codes(text or "")
+        for start in windows(code, text or ""):
+            held.append((n, int(start), len(code), cut(code, start)))
+            if len(held) == DECODED:
+                decode()
+    if held:
+        decode()
     out = []
     for n, spans in enumerate(raw):
-        keep = [x for x in spans if x[0] >= SURE and plausible(texts[n][x[2]:x[3]], x[1])
-                and not any(s < x[3] and x[2] < e for _, s, e in base[n])]
+        taken = sorted((s, e) for _, s, e in base[n])
+        starts, reach, far = [s for s, _ in taken], [], 0
+        for _, e in taken:
+            far = max(far, e)
+            reach.append(far)
+        keep = []
+        for x in spans:
+            before = bisect_left(starts, x[3])  # base spans that begin before this one ends
+            if plausible(texts[n][x[2]:x[3]], x[1]) and not (before and reach[before - 1] > x[2]):
+                keep.append(x)
         out.append([(f"model_{k}", s, e) for _, k, s, e in reconciled(keep)])
     return out
 
@@ -409,8 +522,9 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", tagger: Tagge
 
     Spans are kind:start:end in code points, end exclusive, by kind as listed and start; the network's
     kinds begin with ``model_``.  Without a tagger one is fitted on a bounded sample of ``docs``; a table
-    in which no row holds a span of the fixed shapes gets none.  Null and empty texts have no spans.  Repeated rows are scanned
-    each; other columns are not read.
+    in which no row holds a span of the fixed shapes gets none.  Null and empty texts have no spans, texts of any
+    length are read whole.  Repeated rows are scanned each; other columns, whatever their names, are not read; an
+    empty table gives no rows.
     """
     tagger = tagger or train(labelled_sample(docs, key, text))
     kind = docs.schema[key].dataType.simpleString()

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -71,7 +72,7 @@ def test_held_out_accuracy(spark, tagger):
     for r in docs:
         base, code = brute(r.text), personal.codes(r.text)
         raw = []
-        starts = personal.windows(code)
+        starts = personal.windows(code, r.text)
         if len(starts):
             tags, sure = tagger.decode(np.stack([personal.cut(code, s) for s in starts]))
             for s, t, p in zip(starts, tags, sure):
@@ -124,3 +125,63 @@ def test_a_cut_holds_its_span_whole():
     for n in range(0, 900, 7):
         has, piece, spans = personal.stretch("x " * (n // 2) + " " * (n % 2) + "+49 (30) 1234567 and 4111 1111 1111 1111 " * 30)
         assert has and spans and all(piece[s] in "+4" and piece[e - 1].isdigit() for _, s, e in spans) and spans == personal.base_spans(piece)
+
+
+def found(texts, tagger):
+    return personal.learned_spans(texts, [personal.base_spans(t) for t in texts], tagger)
+
+
+def test_the_network_finds_what_the_shapes_do_not(spark, tagger):
+    """Spans of rows it was not fitted on, in writings of a seed of their own, where no fixed shape finds them."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 2 = 1 and text rlike '[0-9]{3}|@'").orderBy("doc_id")
+    rng, texts, want = random.Random(99), [], []
+    for r in docs.collect():
+        _, piece, spans = personal.stretch(r.text)
+        if spans:
+            text, moved = personal.rewritten_text(piece, spans, rng)
+            base = personal.base_spans(text)
+            texts.append(text)
+            want.append({(k, s, e) for k, s, e in moved if not any(a < e and s < b for _, a, b in base)})
+    hits = {k: [0, 0] for k in personal.KINDS}
+    for spans, got in zip(want, found(texts, tagger)):
+        got = {(k.removeprefix("model_"), s, e) for k, s, e in got}
+        for x in spans:
+            hits[x[0]][0] += x in got
+            hits[x[0]][1] += 1
+    total = sum(n for _, n in hits.values())
+    print(hits)
+    assert total > 150 and sum(h for h, _ in hits.values()) >= 0.8 * total, hits
+
+
+def test_clean_texts_are_left_alone(spark, tagger):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 2 = 1")
+    out = personal.scan(docs, tagger=tagger)
+    clean = out.where("n_email + n_ip + n_card + n_phone = 0")
+    assert clean.where("n_model > 0").count() <= clean.count() / 1000
+    rng = random.Random(5)
+    numbers = [" ".join(f"the {personal.harmless(rng)} of it" for _ in range(10)) for _ in range(300)]
+    assert sum(map(bool, found(numbers, tagger))) <= 9
+
+
+@pytest.mark.parametrize("text, kind, ok", [
+    ("jane.doe at mail dot example dot org", "email", True), ("jane (at) example.org", "email", True), ("look at the dot", "email", False),
+    ("10[.]0[.]0[.]255", "ip", True), ("10 . 0 . 0 . 256", "ip", False), ("10.0.0", "ip", False), ("4111.1111.1111.1111", "card", True),
+    ("4111.1111.1111.1112", "card", False), ("(555) 123-4567", "phone", True), ("5551234567", "phone", False), ("555-1234", "phone", False)])
+def test_plausible(text, kind, ok):
+    assert personal.plausible(text, kind) is ok
+
+
+def test_windows_are_decoded_in_a_stream(tagger, monkeypatch):
+    sizes = []
+    decode = personal.Tagger.decode
+    monkeypatch.setattr(personal.Tagger, "decode", lambda self, x: sizes.append(len(x)) or decode(self, x))
+    text = "call 5551 " * 20_000
+    personal.learned_spans([text, text], [[], []], tagger)
+    assert max(sizes) == personal.DECODED and sum(sizes) > 10_000
+
+
+def test_many_base_spans_in_one_text_take_linear_time(tagger):
+    text = "a@b.cc " * 20_000
+    start = time.perf_counter()
+    assert found([text], tagger) == [[]]
+    assert time.perf_counter() - start < 60
