@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwarden.functions.decision import direction
@@ -166,6 +166,26 @@ def long_attributions(values: DataFrame, names: list[str], key: str) -> DataFram
                        direction(F.col("value")).alias("direction"))
 
 
+def save_attributions(values: DataFrame, names: list[str], path: str) -> None:
+    """Attributions, feature names and base as one artifact below ``path``; the names come last and complete it.
+
+    Rows keep their array, so the artifact is as narrow as its keys and numbers.
+    """
+    values.write.mode("overwrite").parquet(f"{path}/values")
+    values.sparkSession.createDataFrame(list(enumerate(names)), "position int, feature string").coalesce(1).write.mode(
+        "overwrite").parquet(f"{path}/names")
+
+
+def load_attributions(spark: SparkSession, path: str) -> tuple[DataFrame, list[str]]:
+    """(key, values, base) and the names of a saved artifact; a number of names that does not fit raises."""
+    names = [r.feature for r in spark.read.parquet(f"{path}/names").orderBy("position").collect()]
+    values = spark.read.parquet(f"{path}/values")
+    wrong = values.where(F.size("values") != len(names)).limit(1).count()
+    if wrong:
+        raise ValueError("attributions and feature names differ in number")
+    return values, names
+
+
 def global_ranking(long: DataFrame, n: int | None = 20) -> DataFrame:
     """Mean |attribution| of every feature, largest first."""
     ranked = long.groupBy("feature").agg(F.avg(F.abs("value")).alias("mean_abs"))

@@ -19,7 +19,7 @@ from cardwarden import fixed
 from cardwarden.functions.decision import decision, flagged
 from cardwarden.operators import boosting
 from cardwarden.operators.evaluate import average_precision_by, class_weights
-from cardwarden.operators.features import feature_inputs, feature_names, fit_features, label_weight
+from cardwarden.operators.features import CodeLookup, feature_inputs, feature_names, fit_features, label_weight
 from cardwarden.schemas import conform
 from cardwarden.session import fill_cores, materialise, use_checkpoints
 
@@ -85,8 +85,14 @@ class RiskModel:
             F.lit(None).cast("double").alias("prediction_latency_ms"))
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
         spark = SparkSession.active()
+        stages = []
+        for i, stage in enumerate(self.pipeline.stages):
+            if isinstance(stage, CodeLookup):  # the table goes where the model goes
+                stage.codes(spark).write.mode("overwrite").parquet(f"{path}/codes/{i}")
+                stage = stage.copy({stage.path: f"{path}/codes/{i}"})
+            stages.append(stage)
+        PipelineModel(stages).write().overwrite().save(f"{path}/pipeline")
         shape = None
         if self.forest is not None:
             self.forest.save(spark, f"{path}/trees")
@@ -98,7 +104,11 @@ class RiskModel:
     def load(cls, spark: SparkSession, path: str) -> RiskModel:
         about = spark.read.parquet(f"{path}/inputs").first()
         forest = boosting.Forest.load(spark, f"{path}/trees", **json.loads(about.forest)) if about.forest else None
-        model = cls(PipelineModel.load(f"{path}/pipeline"), T.StructType.fromJson(json.loads(about.inputs)), forest)
+        pipeline = PipelineModel.load(f"{path}/pipeline")
+        for i, stage in enumerate(pipeline.stages):
+            if isinstance(stage, CodeLookup):  # also where the model was moved
+                stage.set(stage.path, f"{path}/codes/{i}")
+        model = cls(pipeline, T.StructType.fromJson(json.loads(about.inputs)), forest)
         model.check()
         return model
 

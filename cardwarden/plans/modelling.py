@@ -6,13 +6,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from cardwarden import fixed
-from cardwarden.operators import evaluate, explain, features, models, topk
+from cardwarden.operators import evaluate, explain, features, joins, models, split, topk
 from cardwarden.plans import risk
 from cardwarden.plans.catalog import query, rounded, table
 from cardwarden.plans.inputs import CARD_SQL, GAPPY_SQL, card_transactions, gappy_lines
 from cardwarden.plans.streams import bus_records, event_stream
 from cardwarden.schemas import DOUBLE, schema_of
 from cardwarden.session import materialise, work_path
+from cardwarden.sinks.tables import write_bucketed
 from cardwarden.streaming import jobs
 from cardwarden.streaming.score_once import score_batch
 from cardwarden.streaming.store import PredictionStore
@@ -94,6 +95,8 @@ def column_transformer(spark, sf):
     return rounded(out, **dict.fromkeys(CARD_NUMERIC, 6))
 
 
+ROWS_PER_FILE = 1_000_000
+
 # --- models ---------------------------------------------------------------------------------------
 
 _kept: dict[tuple, object] = {}
@@ -121,6 +124,28 @@ def prepared(spark, sf):
     return _keep(spark, sf, "prepared", make)
 
 
+JOINED_SQL = f"""WITH {CARD_SQL}
+SELECT TransactionID, CASE WHEN rn < trunc(n * 0.70::DOUBLE) THEN 'train' WHEN rn < trunc(n * 0.85::DOUBLE) THEN 'valid' ELSE 'test' END AS split,
+       CASE WHEN card6 <> 'BUILDING' THEN card6 END AS card6, round(TransactionAmt, 4) AS TransactionAmt
+FROM (SELECT *, row_number() OVER (ORDER BY TransactionDT, TransactionID) - 1 AS rn, count(*) OVER () AS n FROM card)"""
+
+
+@query("bucketed_join_and_split", JOINED_SQL)
+def bucketed_join_and_split(spark, sf):
+    """Guard, one-to-one join and split of two tables bucketed by the id: no row changes its place."""
+    card = card_table(spark, sf)
+    buckets = max(8, card.count() // ROWS_PER_FILE)
+    at = work_path(spark, "bucketed")
+    sides = {"transactions": card.drop("card6", "addr1"),
+             "identity": card.where("card6 <> 'BUILDING'").select("TransactionID", "card6", "addr1")}
+    names = {side: f"{side}_{at.rsplit('-', 1)[1]}" for side in sides}
+    for side, rows in sides.items():
+        write_bucketed(rows, names[side], fixed.ID, buckets, f"{at}/{side}")
+    merged = joins.join_one_to_one(spark.table(names["transactions"]), spark.table(names["identity"]), fixed.ID)
+    return rounded(split.temporal_split(merged, fixed.TIME, fixed.ID).select(
+        fixed.ID, "split", "card6", "TransactionAmt"), TransactionAmt=4)
+
+
 def fit_linear(spark, sf):
     return models.fit_linear(risk.part(prepared(spark, sf), "train"), CARD_NUMERIC, CARD_TEXT)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cardwarden import fixed
 from cardwarden.functions import numeric, text
 from cardwarden.operators import joins, missingness, ordering, quality
+from cardwarden.operators.running import RunningProfile
 from cardwarden.plans.catalog import query, rounded, table
 from cardwarden.plans.inputs import (
     GAPPY_COLUMNS, GAPPY_SQL, LABELLED_SQL, LOG_SQL, gappy_lines, labelled_documents, prediction_log)
@@ -345,3 +346,22 @@ def exact_order_statistics(spark, sf):
     li = table(spark, sf, "lineitem")
     mid, high = ordering.exact_quantiles(li, ["l_extendedprice"], [0.5, 0.999])["l_extendedprice"]
     return li.limit(1).select(F.round(F.lit(mid), 6).alias("median_price"), F.round(F.lit(high), 6).alias("p999_price"))
+
+
+@query("running_profile", """
+SELECT count(*) AS total_rows, count(*) FILTER (l_orderkey IS NULL) AS missing_keys, count(DISTINCT l_orderkey) AS distinct_keys,
+       count(l_orderkey) - count(DISTINCT l_orderkey) AS duplicates, min(l_orderkey) AS min_key, max(l_orderkey) AS max_key,
+       min(l_linenumber)::BIGINT AS min_time, max(l_linenumber)::BIGINT AS max_time, min(l_extendedprice) AS minimum, max(l_extendedprice) AS maximum,
+       round(avg(l_extendedprice), 4) AS mean, count(l_extendedprice) AS amounts, count(*) FILTER (l_extendedprice <= 0) AS zero_or_negative,
+       count(*) FILTER (l_returnflag = 'R') AS positives, count(*) FILTER (l_returnflag <> 'R') AS negatives FROM lineitem""")
+def running_profile(spark, sf):
+    """A profile taken over files as they arrive: three runs, each of which reads the new files alone."""
+    at = work_path(spark, "running")
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", (F.col("l_returnflag") == "R").cast("int").alias("returned"))
+    profile = RunningProfile(spark, f"{at}/profile", "l_orderkey", "l_linenumber", "l_extendedprice", "returned")
+    for run in range(3):
+        lines.where(F.pmod(F.xxhash64(*lines.columns), F.lit(3)) == run).write.mode("append").parquet(f"{at}/lines")
+        source = spark.read.schema(lines.schema).parquet(f"{at}/lines")
+        profile.update(source.inputFiles(), lambda files: spark.read.schema(lines.schema).parquet(*files))
+    return rounded(profile.report(), mean=4)

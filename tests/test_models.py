@@ -68,6 +68,41 @@ def test_category_limit(spark):
     assert got == {**{s: i for i, s in enumerate(sorted(map(str, range(50))))}, "?": -1}
 
 
+def wide_table(spark, n):
+    rows = spark.range(n).select("id", F.concat(F.lit("c"), "id").alias("wide"), F.when(F.col("id") % 3 > 0, F.concat(
+        F.lit("k"), (F.col("id") % 3).cast("string"))).alias("thin"), (F.col("id") % 2).cast("int").alias("isFraud"))
+    path = work_path(spark, "wide-test")
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("encoding", ["ordinal", "onehot"])
+def test_wide_categories_get_the_same_codes_from_a_stored_table(spark, encoding):
+    df = wide_table(spark, 60).union(spark.createDataFrame([(60, None, None, 0)], "id bigint, wide string, thin string, isFraud int"))
+    inside = features.fit_features(df, [], ["wide", "thin"], encoding=encoding)
+    stored = features.fit_features(df, [], ["wide", "thin"], encoding=encoding, limit=20)
+    assert [type(s).__name__ for s in stored.stages].count("CodeLookup") == 1
+    new = df.union(spark.createDataFrame([(99, "unseen", "k1", 0)], df.schema))
+    assert vectors(stored, new, "id") == vectors(inside, new, "id")
+    assert features.feature_inputs(stored) == ["wide", "thin"] and len(features.feature_names(stored)) == len(features.feature_names(inside))
+
+
+def test_a_model_with_a_million_categories_is_saved_with_its_table(spark):
+    df = wide_table(spark, 1_000_000)
+    inputs = models._inputs([], ["wide", "thin"])
+    transforms = features.fit_features(df, [], ["wide", "thin"])
+    lookup = next(s for s in transforms.stages if isinstance(s, features.CodeLookup))
+    assert lookup.getOrDefault("size") == 1_000_000
+    forest = boosting.Forest.empty(1, 1, 2)
+    forest.cover[0, :], forest.feature[0, 0], forest.cut[0, 0], forest.value[0, 1:] = 1.0, 0, 500_000.0, (-1.0, 1.0)
+    model, path = models.RiskModel(transforms, inputs, forest), work_path(spark, "wide-model")
+    model.save(path)
+    again = models.RiskModel.load(spark, path)
+    scored = again.score(df, ["id"]).agg(F.count_if("fraud_prediction").alias("high"), F.count("*").alias("n")).first()
+    assert (scored.high, scored.n) == (500_000, 1_000_000)
+    assert next(s for s in again.pipeline.stages if isinstance(s, features.CodeLookup)).getOrDefault("path").startswith(path)
+
+
 def test_linear_fit_scores_and_attributions(spark, card):
     model = models.fit_linear(card, NUM, CAT, iterations=50)
     scored = model.score(card, [fixed.ID, fixed.TARGET])
@@ -115,6 +150,9 @@ def test_boosted_trees_learn_the_missing_signal_and_explain_it(spark, card):
     worst = values.withColumn("p", 1 / (1 + F.exp(-margin))).join(scored, fixed.ID).agg(
         F.max(F.abs(F.col("p") - F.col("fraud_probability")))).first()[0]
     assert worst < 1e-9
+    explain.save_attributions(values, model.names, work := work_path(spark, "attributions-test"))
+    again, names = explain.load_attributions(spark, work)
+    assert names == model.names and again.exceptAll(values.select(*again.columns)).count() == 0
     long = explain.long_attributions(values, model.names, fixed.ID)
     assert long.count() == card.count() * len(model.names)
     assert explain.global_ranking(long, 3).count() == 3

@@ -236,3 +236,14 @@ def test_clock_ignores_the_session_time_zone(spark):
             epoch_micros(F.col("t"), T.LongType())
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_bucketed_guard_join_and_split_move_nothing(spark):
+    from cardwarden.plans import registry
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as for sides of any size
+    try:
+        df = registry.QUERIES["bucketed_join_and_split"](spark, "/root/testdata/sf0.001")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Window" in plan and "Exchange" not in plan
