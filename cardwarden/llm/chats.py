@@ -36,24 +36,27 @@ def _placed(turns: DataFrame) -> DataFrame:
         "conv", "role", "text", (F.col("before") + F.col("nth")).alias("place"))
 
 
+SUMS = ["a", "b", "c", "d"]
+
+
 def _prefixes(placed: DataFrame) -> DataFrame:
-    """conv, place and (lo, hi): the sums of the digests of all turns up to the place.
+    """conv, place and four sums (``SUMS``) of the digests of all turns up to the place.
 
-    A digest covers the place, role and text, so equal sums mean equal turns in equal order; halves of
-    digests are added, which cannot overflow.
+    Two digests of 64 bits cover the place, role and text, so equal sums mean equal turns in equal order;
+    halves of digests are added, which cannot overflow, and make 128 bits together.
     """
-    mark = F.xxhash64("place", F.coalesce("role", F.lit("")), F.col("role").isNull(), F.coalesce("text", F.lit("")),
-                      F.col("text").isNull())
+    said = ["place", F.coalesce("role", F.lit("")), F.col("role").isNull(), F.coalesce("text", F.lit("")), F.col("text").isNull()]
+    marks = [F.xxhash64(*said), F.xxhash64(F.lit("again"), *said)]
+    halves = [half for m in marks for half in (m.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(m, 32))]
     rows = placed.select("conv", "place", (F.col("place") / BLOCK).cast("bigint").alias("block"),
-                         mark.bitwiseAND(0xFFFFFFFF).alias("l"), F.shiftrightunsigned(mark, 32).alias("h"))
+                         *[h.alias(c) for h, c in zip(halves, SUMS)])
     inside = Window.partitionBy("conv", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
     running = Window.partitionBy("conv").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sums = rows.groupBy("conv", "block").agg(F.sum("l").alias("sl"), F.sum("h").alias("sh"))
-    before = sums.select("conv", "block", F.coalesce(F.sum("sl").over(running), F.lit(0)).alias("bl"),
-                         F.coalesce(F.sum("sh").over(running), F.lit(0)).alias("bh"))
-    return rows.select("conv", "block", "place", F.sum("l").over(inside).alias("il"), F.sum("h").over(inside).alias("ih")).join(
+    sums = rows.groupBy("conv", "block").agg(*[F.sum(c).alias(c) for c in SUMS])
+    before = sums.select("conv", "block", *[F.coalesce(F.sum(c).over(running), F.lit(0)).alias(f"before_{c}") for c in SUMS])
+    return rows.select("conv", "block", "place", *[F.sum(c).over(inside).alias(f"in_{c}") for c in SUMS]).join(
         before, ["conv", "block"]).select(
-        "conv", "place", (F.col("il") + F.col("bl")).alias("lo"), (F.col("ih") + F.col("bh")).alias("hi"))
+        "conv", "place", *[(F.col(f"in_{c}") + F.col(f"before_{c}")).alias(c) for c in SUMS])
 
 
 def rendered(role: Column, text: Column) -> Column:
@@ -77,12 +80,12 @@ def maximal(conversations: DataFrame, conv: str = "conv_id", turn: str = "turn",
     prefixes = materialise(_prefixes(placed), "prefixes")
     sizes = placed.groupBy("conv").agg(F.max("place").alias("last"))
     ends = materialise(prefixes.join(sizes, "conv").where(F.col("place") == F.col("last")).select(
-        "conv", "last", "lo", "hi"), "ends")
+        "conv", "last", *SUMS), "ends")
     # One row per conversation: copies keep their smallest id, map-side.
-    single = ends.groupBy("last", "lo", "hi").agg(F.min("conv").alias("conv"), F.count("*").alias("n_snapshots"))
+    single = ends.groupBy("last", *SUMS).agg(F.min("conv").alias("conv"), F.count("*").alias("n_snapshots"))
     inner = prefixes.join(sizes, "conv").where(F.col("place") < F.col("last")).select(
-        F.col("place").alias("last"), "lo", "hi").distinct()
-    kept = materialise(single.join(inner, ["last", "lo", "hi"], "left_anti"), "maximal")
+        F.col("place").alias("last"), *SUMS).distinct()
+    kept = materialise(single.join(inner, ["last", *SUMS], "left_anti"), "maximal")
     rows = placed.join(kept.select("conv", "last", "n_snapshots"), "conv").withColumn(
         "part", F.floor(F.col("place") / BLOCK))
     piece = F.struct("place", rendered(F.col("role"), F.col("text")).alias("line"))

@@ -114,8 +114,10 @@ def rounds_needed(n: int, seed: int) -> int:
     while True:
         met = walk_keys(items, rounds, seed) == walk_keys(changed, rounds, seed)
         reached = np.flatnonzero(np.logical_or.accumulate(met, axis=0).mean(1) >= RECALL)
-        if len(reached) or rounds >= MAX_ROUNDS:
-            return int(reached[0]) + 1 if len(reached) else rounds
+        if len(reached):
+            return int(reached[0]) + 1
+        if rounds >= MAX_ROUNDS:
+            raise RuntimeError(f"windows of {n} words miss a recall of {RECALL} after {rounds} rounds")
         rounds *= 2
 
 

@@ -42,36 +42,44 @@ class Counter:
             if piece:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
+        self.longest = max((len(piece) for piece, _ in vocabulary), default=1) or 1
         self.unknown = min(score for _, score in vocabulary) - UNKNOWN_PENALTY
         self.byte_pieces = byte_pieces
         self.kept: dict[str, int] = {}
 
     def word(self, word: str) -> int:
-        """Pieces of the best segmentation of one word."""
-        size = len(word)
-        best, count = [0.0] * (size + 1), [0] * (size + 1)
-        loose = [False] * (size + 1)  # the best path's last piece is an unknown character
-        by_end: list[list] = [[] for _ in range(size)]
-        for end, piece in self.automaton.iter(word):
-            by_end[end].append(piece)
-        for end, found in enumerate(by_end):
+        """Pieces of the best segmentation of one word.
+
+        A place needs the best scores of the last places only, as many as the longest piece has
+        characters, so those are held in a ring however long the word.
+        """
+        ring = self.longest + 1
+        best, count = [0.0] * ring, [0] * ring
+        loose = [False] * ring  # the best path's last piece is an unknown character
+        matches = self.automaton.iter(word)
+        ahead = next(matches, None)
+        for end, character in enumerate(word):
             score = None
             single = False
-            for length, weight in found:
-                start = end + 1 - length
+            at = end % ring
+            while ahead is not None and ahead[0] == end:
+                length, weight = ahead[1]
+                start = (end + 1 - length) % ring
                 total = weight + best[start]
                 if score is None or total > score:
                     score, pieces = total, count[start] + 1
                     unknown = False
                 single = single or length == 1
+                ahead = next(matches, None)
             if not single:
-                total = self.unknown + best[end]
+                total = self.unknown + best[at]
                 if score is None or total > score:
                     score, unknown = total, True
-                    more = len(word[end].encode("utf-8", "replace")) if self.byte_pieces else 0 if loose[end] else 1
-                    pieces = count[end] + more
-            best[end + 1], count[end + 1], loose[end + 1] = score, pieces, unknown
-        return count[size]
+                    more = len(character.encode("utf-8", "replace")) if self.byte_pieces else 0 if loose[at] else 1
+                    pieces = count[at] + more
+            place = (end + 1) % ring
+            best[place], count[place], loose[place] = score, pieces, unknown
+        return count[len(word) % ring]
 
     def text(self, text: str | None) -> int:
         if not text:
@@ -97,7 +105,8 @@ def token_counts(docs: DataFrame, vocabulary: str = DEFAULT_VOCABULARY, key: str
                  byte_pieces: bool = True) -> DataFrame:
     """(key, n_tokens, n_chars) of every row's whole text under the unigram vocabulary.
 
-    Null and empty texts have no tokens.  Repeated rows are counted each; other columns are not read.
+    Null and empty texts have no tokens; texts and words of any length are counted whole in bounded memory.
+    Repeated rows are counted each; other columns, whatever their names, are not read; an empty table gives no rows.
     """
     pieces = read_vocabulary(vocabulary)
     kind = docs.schema[key].dataType.simpleString()

@@ -56,3 +56,20 @@ def test_edges(spark):
     got = sorted((r.doc_id or 0, r.n_tokens, r.n_chars) for r in pieces.token_counts(df).collect())
     assert got[1:3] == [(1, 0, 0), (2, 0, 0)] and got[3] == got[4] and len(got) == 5
     assert pieces.token_counts(df.limit(0)).count() == 0
+
+
+def test_long_words_take_little_memory(vocabulary):
+    import tracemalloc
+    counter = pieces.Counter(vocabulary)
+    word = "abcdefgé" * 125_000
+    tracemalloc.start()
+    n = counter.word(pieces.BLANK + word)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 30_000_000 and n == count(reference(vocabulary), word)
+
+
+def test_clashing_columns_and_an_empty_table(spark):
+    df = spark.createDataFrame([(1, "one two", 5, "k")], "doc_id bigint, text string, n_tokens int, t string")
+    assert pieces.token_counts(df).columns == ["doc_id", "n_tokens", "n_chars"] and pieces.token_counts(df).first().n_chars == 7
+    assert pieces.token_counts(df.where("false")).count() == 0
