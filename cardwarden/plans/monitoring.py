@@ -278,19 +278,19 @@ def total_rate_per_minute(spark, sf):
 
 
 # Event values as samples of counters that reset often; windows of two hours every hour.
-GRID_SQL = """s AS (SELECT event_type, epoch_us(ts) AS at, max(value) AS v FROM events GROUP BY 1, 2),
-p AS (SELECT *, lag(v) OVER (PARTITION BY event_type ORDER BY at) AS prior FROM s),
+GRID_SQL = """s AS (SELECT event_type, epoch_us(ts) AS us, max(value) AS v FROM events GROUP BY 1, 2),
+p AS (SELECT *, lag(v) OVER (PARTITION BY event_type ORDER BY us) AS prior FROM s),
 e AS (SELECT epoch_us(date_trunc('hour', min(ts))) AS o, epoch_us(max(ts)) - epoch_us(date_trunc('hour', min(ts))) AS len FROM events),
 g AS (SELECT o + 3600000000 * unnest(range(0, len // 3600000000 + 1)) AS step FROM e),
-w AS (SELECT step, event_type, count(*) AS n, min(at) AS t0, max(at) AS t1, arg_min(v, at) AS v0, arg_max(v, at) AS v1,
-        sum(CASE WHEN v < prior THEN prior ELSE 0 END) - arg_min(CASE WHEN v < prior THEN prior ELSE 0 END, at) AS resets
-      FROM g JOIN p ON at > step - 7200000000 AND at <= step GROUP BY 1, 2 HAVING count(*) > 1),
+w AS (SELECT step, event_type, count(*) AS n, min(us) AS t0, max(us) AS t1, arg_min(v, us) AS v0, arg_max(v, us) AS v1,
+        sum(CASE WHEN v < prior THEN prior ELSE 0 END) - arg_min(CASE WHEN v < prior THEN prior ELSE 0 END, us) AS resets
+      FROM g JOIN p ON us > step - 7200000000 AND us <= step GROUP BY 1, 2 HAVING count(*) > 1),
 x AS (SELECT *, v1 - v0 + resets AS grown, (t1 - t0)::DOUBLE AS sampled, (t1 - t0)::DOUBLE / (n - 1) AS spacing,
         (t0 - step + 7200000000)::DOUBLE AS head, (step - t1)::DOUBLE AS tail FROM w),
 y AS (SELECT *, CASE WHEN head >= 1.1::DOUBLE * spacing THEN spacing / 2 ELSE head END AS h,
         CASE WHEN tail >= 1.1::DOUBLE * spacing THEN spacing / 2 ELSE tail END AS t FROM x),
-rates AS (SELECT make_timestamp(step) AS step, event_type, grown * (sampled + t + CASE WHEN grown > 0 AND v0 >= 0
-        AND sampled * v0 / grown < h THEN sampled * v0 / grown ELSE h END) / sampled AS increase FROM y)"""
+rates AS (SELECT make_timestamp(step) AS step, event_type, grown * ((sampled + CASE WHEN grown > 0 AND v0 >= 0
+        AND sampled * (v0 / grown) < h THEN sampled * (v0 / grown) ELSE h END + t) / sampled) AS increase FROM y)"""
 
 
 def _sampled_rates(spark, sf):
@@ -302,23 +302,23 @@ def _sampled_rates(spark, sf):
 
 
 @query("counter_rates", f"""WITH {GRID_SQL}
-SELECT step, event_type, round(increase, 4) AS increase, round(increase / 7200, 6) AS per_second FROM rates""")
+SELECT step, event_type, round(increase, 8) AS increase, round(increase / 7200, 11) AS per_second FROM rates""")
 def counter_rates(spark, sf):
-    return rounded(_sampled_rates(spark, sf), increase=4, per_second=6)
+    return rounded(_sampled_rates(spark, sf), increase=8, per_second=11)
 
 
 @query("counter_rate_ratio", f"""WITH {GRID_SQL}
-SELECT step, CASE WHEN sum(increase) > 0 THEN round(coalesce(sum(increase) FILTER (event_type = 'view'), 0) / sum(increase), 6)
+SELECT step, CASE WHEN sum(increase) > 0 THEN round(coalesce(sum(increase) FILTER (event_type = 'view'), 0) / sum(increase), 11)
   ELSE 0.0::DOUBLE END AS ratio FROM rates GROUP BY 1""")
 def counter_rate_ratio(spark, sf):
     """Share of one label in the summed rates."""
-    return rounded(counters.rate_ratio(_sampled_rates(spark, sf), F.col("event_type") == "view"), ratio=6)
+    return rounded(counters.rate_ratio(_sampled_rates(spark, sf), F.col("event_type") == "view"), ratio=11)
 
 
 @query("counter_rates_summed", f"""WITH {GRID_SQL}
-SELECT step, round(sum(increase / 7200), 6) AS per_second FROM rates GROUP BY 1""")
+SELECT step, round(sum(increase / 7200), 11) AS per_second FROM rates GROUP BY 1""")
 def counter_rates_summed(spark, sf):
-    return rounded(counters.summed_rates(_sampled_rates(spark, sf)), per_second=6)
+    return rounded(counters.summed_rates(_sampled_rates(spark, sf)), per_second=11)
 
 
 @query("hit_ratio", f"""WITH {LOG_SQL}
