@@ -473,12 +473,13 @@ def fit(rows: DataFrame, s: Settings, rows_per_block: int = ROWS_PER_BLOCK) -> F
     """Trees for the logistic loss on (row bigint, x array<double>, label 0/1, weight).
 
     ``rows`` should be a stored table, numbered by ``row``; NaN in ``x`` is a missing value and takes
-    the side that gains more.  Margins start at 0, the best constant under balanced weights.  An
-    empty table raises.
+    the side that gains more.  Margins start at 0, the best constant under balanced weights.  Rows
+    without a label or weight are left out; without any row it raises.
     """
     spark = rows.sparkSession
     use_checkpoints(spark)
-    rows = rows.select("row", "x", F.col("label").cast("double").alias("label"), F.col("weight").cast("double").alias("weight"))
+    rows = rows.select("row", "x", F.col("label").cast("double").alias("label"), F.col("weight").cast("double").alias("weight")).where(
+        "label is not null and weight is not null")
     size = rows.agg(F.count("*").alias("n"), F.sum("weight").alias("w")).first()
     if not size.n:
         raise ValueError("no rows to learn from")

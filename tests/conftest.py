@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from cardwarden.session import build_session  # noqa: E402
+from cardwarden.session import build_session, clean_up  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,4 +14,5 @@ def spark():
                             spark__driver__memory="12g", spark__ui__showConsoleProgress="false")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clean_up(session)
     session.stop()

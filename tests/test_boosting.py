@@ -109,6 +109,8 @@ def test_constant_tables_make_a_bare_root(spark):
     assert (forest.feature < 0).all() and forest.margins(np.zeros((1, 2)))[0] == 0 and forest.importance().sum() == 0
     with pytest.raises(ValueError, match="no rows"):
         boosting.fit(rows.where("row < 0"), Settings(trees=1))
+    with pytest.raises(ValueError, match="no rows"):
+        boosting.fit(rows.selectExpr("row", "x", "cast(null as double) as label", "weight"), Settings(trees=1))
     with pytest.raises(ValueError, match="out of range"):
         Settings(trees=1, depth=40)
 
