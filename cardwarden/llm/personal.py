@@ -132,6 +132,11 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return (top + np.log(np.exp(x - top).sum(axis=axis, keepdims=True))).squeeze(axis)
 
 
+def _summed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Outer products added over times and windows, in one thread: a thin product gains nothing by more."""
+    return np.einsum("tbi,tbj->ij", x, y)
+
+
 class Tagger:
     """Embedding, one LSTM per direction, a linear layer and CRF transitions, all in numpy."""
 
@@ -145,35 +150,47 @@ class Tagger:
             self.p[f"w{d}"] = rng.normal(0, 0.25, (embedded + size, 4 * size))
             self.p[f"c{d}"] = np.concatenate((np.ones(size), np.zeros(3 * size)))  # forget gate open at first
 
-    def _lstm(self, x: np.ndarray, d: str) -> tuple[np.ndarray, list]:
+    def _lstm(self, x: np.ndarray, d: str) -> tuple[np.ndarray, tuple]:
         """x: (time, batch, embedded) in the direction of reading; (outputs, what backward needs)."""
-        h = c = np.zeros((x.shape[1], self.size))
-        outs, kept, n = [], [], self.size
-        for t in range(len(x)):
-            joined = np.concatenate((x[t], h), axis=1)
-            z = joined @ self.p[f"w{d}"] + self.p[f"c{d}"]
-            f, i, o, g = _sigmoid(z[:, :n]), _sigmoid(z[:, n:2 * n]), _sigmoid(z[:, 2 * n:3 * n]), np.tanh(z[:, 3 * n:])
-            before, c = c, f * c + i * g
-            h = o * np.tanh(c)
-            outs.append(h)
-            kept.append((joined, f, i, o, g, before, c))
-        return np.stack(outs), kept
-
-    def _lstm_back(self, down: np.ndarray, kept: list, d: str, grads: dict) -> np.ndarray:
-        w, embedded = self.p[f"w{d}"], self.p["embed"].shape[1]
+        n, embedded = self.size, x.shape[2]
+        w = self.p[f"w{d}"]
+        drive = x @ w[:embedded] + self.p[f"c{d}"]  # forget, input and output gates, candidate
+        carry = w[embedded:]
+        time, batch = x.shape[:2]
+        hs, cs = np.zeros((time + 1, batch, n)), np.zeros((time + 1, batch, n))
+        gates, inner = np.empty((time, batch, 3 * n)), np.empty((time, batch, 2 * n))  # candidate and tanh of the cell
+        for t in range(time):
+            z = drive[t] + hs[t] @ carry
+            gate = gates[t] = 0.5 * np.tanh(0.5 * z[:, :3 * n]) + 0.5
+            g = inner[t, :, :n] = np.tanh(z[:, 3 * n:])
+            cs[t + 1] = gate[:, :n] * cs[t] + gate[:, n:2 * n] * g
+            th = inner[t, :, n:] = np.tanh(cs[t + 1])
+            hs[t + 1] = gate[:, 2 * n:] * th
+        return hs[1:], (x, hs, cs, gates, inner)
+
+    def _lstm_back(self, down: np.ndarray, kept: tuple, d: str, grads: dict) -> np.ndarray:
+        x, hs, cs, gates, inner = kept
+        n, embedded = self.size, x.shape[2]
+        w = self.p[f"w{d}"]
+        back = w[embedded:].T
+        f, i, o = (gates[:, :, k * n:(k + 1) * n] for k in range(3))
+        g, th = inner[:, :, :n], inner[:, :, n:]
+        # What a step's cell and output gradients are multiplied with, for all times at once.
+        by_cell = np.concatenate((cs[:-1] * f * (1 - f), g * i * (1 - i), i * (1 - g * g)), axis=2)
+        by_out, into_cell = th * o * (1 - o), o * (1 - th * th)
+        dz = np.empty((len(x), x.shape[1], 4 * n))
         dh = dc = np.zeros(down.shape[1:])
-        dx = np.zeros((len(kept), down.shape[1], embedded))
-        for t in range(len(kept) - 1, -1, -1):
-            joined, f, i, o, g, before, c = kept[t]
+        for t in range(len(x) - 1, -1, -1):
             dh = dh + down[t]
-            th = np.tanh(c)
-            dc = dc + dh * o * (1 - th * th)
-            dz = np.concatenate((dc * before * f * (1 - f), dc * g * i * (1 - i), dh * th * o * (1 - o), dc * i * (1 - g * g)), axis=1)
-            grads[f"w{d}"] += joined.T @ dz
-            grads[f"c{d}"] += dz.sum(0)
-            dj = dz @ w.T
-            dx[t], dh, dc = dj[:, :embedded], dj[:, embedded:], dc * f
-        return dx
+            dc = dc + dh * into_cell[t]
+            now = dz[t]
+            now[:, :n], now[:, n:2 * n], now[:, 3 * n:] = (dc * by_cell[t, :, k * n:(k + 1) * n] for k in range(3))
+            now[:, 2 * n:3 * n] = dh * by_out[t]
+            dh, dc = now @ back, dc * f[t]
+        grads[f"w{d}"][:embedded] += _summed(x, dz)
+        grads[f"w{d}"][embedded:] += _summed(hs[:-1], dz)
+        grads[f"c{d}"] += dz.sum((0, 1))
+        return dz @ w[:embedded].T
 
     def _scores(self, x: np.ndarray) -> tuple[np.ndarray, tuple]:
         e = self.p["embed"][x.T]
@@ -199,19 +216,21 @@ class Tagger:
         a, b, z = self._forward_backward(s)
         time, batch = len(s), len(x)
         rows, yt = np.arange(batch), y.T
-        gold = self.p["first"][yt[0]] + s[0, rows, yt[0]]
+        times = np.arange(time)[:, None]
+        gold = self.p["first"][yt[0]] + s[times, rows, yt].sum(0) + self.p["move"][yt[:-1], yt[1:]].sum(0)
         grads = {k: np.zeros_like(v) for k, v in self.p.items()}
         ds = np.exp(a + b - z[:, None])
         grads["first"] += ds[0].sum(0)
         np.add.at(grads["first"], yt[0], -1)
-        for t in range(time):
-            ds[t, rows, yt[t]] -= 1
-            if t:
-                gold += self.p["move"][yt[t - 1], yt[t]] + s[t, rows, yt[t]]
-                pair = a[t - 1][:, :, None] + self.p["move"] + (s[t] + b[t])[:, None, :] - z[:, None, None]
-                grads["move"] += np.exp(pair).sum(0)
-                np.add.at(grads["move"], (yt[t - 1], yt[t]), -1)
-        grads["out"] = np.tensordot(h, ds, ([0, 1], [0, 1]))
+        ds[times, rows, yt] -= 1
+        # Sums over places and windows of p(tag, next tag), as products of what leads to and from them.
+        low = a[:-1].max(axis=2, keepdims=True)
+        high = (s[1:] + b[1:]).max(axis=2, keepdims=True)
+        left = np.exp(a[:-1] - low) * np.exp(low + high - z[:, None])
+        right = np.exp(s[1:] + b[1:] - high)
+        grads["move"] += np.exp(self.p["move"]) * _summed(left, right)
+        np.add.at(grads["move"], (yt[:-1], yt[1:]), -1)
+        grads["out"] = _summed(h, ds)
         grads["bias"] = ds.sum((0, 1))
         dh = ds @ self.p["out"].T
         dx = self._lstm_back(dh[:, :, :self.size], kf, "f", grads)
