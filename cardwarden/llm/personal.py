@@ -140,7 +140,7 @@ def _summed(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 class Tagger:
     """Embedding, one LSTM per direction, a linear layer and CRF transitions, all in numpy."""
 
-    def __init__(self, size: int = 16, embedded: int = 12, seed: int = 3):
+    def __init__(self, size: int = 16, embedded: int = 12, seed: int = 3, kind: type = np.float32):
         rng = np.random.default_rng(seed)
         self.size = size
         self.p = {"embed": rng.normal(0, 0.3, (SYMBOLS, embedded)),
@@ -149,6 +149,8 @@ class Tagger:
         for d in ("f", "b"):
             self.p[f"w{d}"] = rng.normal(0, 0.25, (embedded + size, 4 * size))
             self.p[f"c{d}"] = np.concatenate((np.ones(size), np.zeros(3 * size)))  # forget gate open at first
+        self.kind = kind
+        self.p = {k: v.astype(kind) for k, v in self.p.items()}
 
     def _lstm(self, x: np.ndarray, d: str) -> tuple[np.ndarray, tuple]:
         """x: (time, batch, embedded) in the direction of reading; (outputs, what backward needs)."""
@@ -157,8 +159,8 @@ class Tagger:
         drive = x @ w[:embedded] + self.p[f"c{d}"]  # forget, input and output gates, candidate
         carry = w[embedded:]
         time, batch = x.shape[:2]
-        hs, cs = np.zeros((time + 1, batch, n)), np.zeros((time + 1, batch, n))
-        gates, inner = np.empty((time, batch, 3 * n)), np.empty((time, batch, 2 * n))  # candidate and tanh of the cell
+        hs, cs = (np.zeros((time + 1, batch, n), self.kind) for _ in range(2))
+        gates, inner = (np.empty((time, batch, k * n), self.kind) for k in (3, 2))  # candidate and tanh of the cell
         for t in range(time):
             z = drive[t] + hs[t] @ carry
             gate = gates[t] = 0.5 * np.tanh(0.5 * z[:, :3 * n]) + 0.5
@@ -178,8 +180,8 @@ class Tagger:
         # What a step's cell and output gradients are multiplied with, for all times at once.
         by_cell = np.concatenate((cs[:-1] * f * (1 - f), g * i * (1 - i), i * (1 - g * g)), axis=2)
         by_out, into_cell = th * o * (1 - o), o * (1 - th * th)
-        dz = np.empty((len(x), x.shape[1], 4 * n))
-        dh = dc = np.zeros(down.shape[1:])
+        dz = np.empty((len(x), x.shape[1], 4 * n), self.kind)
+        dh = dc = np.zeros(down.shape[1:], self.kind)
         for t in range(len(x) - 1, -1, -1):
             dh = dh + down[t]
             dc = dc + dh * into_cell[t]

@@ -51,7 +51,7 @@ def tagger(spark):
 
 def test_gradients_match_differences():
     rng = np.random.default_rng(0)
-    t = personal.Tagger(size=3, embedded=2)
+    t = personal.Tagger(size=3, embedded=2, kind=np.float64)
     x, y = rng.integers(0, 98, (2, 6)), rng.integers(0, personal.TAGS, (2, 6))
     _, grads = t.loss_and_grads(x, y)
     for name, g in grads.items():
