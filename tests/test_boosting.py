@@ -138,3 +138,40 @@ def test_cuts_over_many_tasks(spark):
     rows = stored_rows(spark, x, np.zeros(3000), np.ones(3000)).repartition(150)
     cuts = boosting.feature_cuts(rows, 256)
     assert cuts[0].tolist() == [1, 2, 3, 4, 5, 6] and cuts[1].tolist() == []
+
+
+def test_sums_too_large_for_the_driver_meet_in_reducers(spark, monkeypatch):
+    x, y, w = data(300, seed=11)
+    rows, s = stored_rows(spark, x, y, w), Settings(trees=2, depth=3, row_share=0.7, column_share=0.6)
+    one = boosting.fit(rows, s, rows_per_block=40)
+    monkeypatch.setattr(boosting, "BYTES_TO_DRIVER", 0)
+    other = boosting.fit(rows, s, rows_per_block=40)
+    for c in boosting.Forest.COLUMNS:
+        assert np.array_equal(getattr(one, c), getattr(other, c), equal_nan=True), c
+
+
+def test_columns_of_few_cells_are_counted_together():
+    """One count per bundle, and the same sums as a count per column."""
+    rng = np.random.default_rng(3)
+    widths = np.array([3, 250, 4, 2, 9, 30, 3, 3, 3])
+    bins = np.stack([rng.integers(0, w, 5000) for w in widths]).astype(np.uint8)
+    bundles = boosting.bundled(bins, widths)
+    assert sorted(f for b in bundles for f in b[2]) == list(range(9)) and len(bundles) <= 5
+    g, h = rng.integers(-1000, 1000, 5000).astype(float), rng.integers(0, 1000, 5000).astype(float)
+    rows, columns = np.flatnonzero(rng.random(5000) < 0.3), np.array([0, 1, 4, 5, 8])
+    found = boosting.node_sums(bundles, rows, g, h, columns, widths)
+    want = [np.concatenate([np.bincount(bins[f, rows], v[rows], widths[f]) for f in columns]) for v in (g, h)]
+    assert np.array_equal(found, want)
+
+
+def test_a_tree_over_several_blocks_takes_a_job_per_level(spark):
+    """And none for its margins, which come with the next tree; 1,000 trees are 6,000 jobs or so."""
+    x, y, w = data(300, seed=9)
+    rows = stored_rows(spark, x, y, w)
+
+    def jobs(trees):
+        spark.sparkContext.setJobGroup(f"fit {trees}", "")
+        boosting.fit(rows, Settings(trees=trees, depth=3, child_weight=0.1), rows_per_block=40)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"fit {trees}"))
+    assert jobs(7) - jobs(2) <= 5 * 3
