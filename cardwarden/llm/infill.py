@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import as_bytes
+from cardwarden.llm.common import each_bytes, few_rows
 
 UNIT = 65_536
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
@@ -75,7 +75,7 @@ FACTS = "n bigint, form string, prefix_chars bigint, middle_chars bigint"
 class _Rows:
     """Output rows, handed on in batches of bounded size."""
 
-    def __init__(self, schema: pa.Schema, most: int = 1 << 22):
+    def __init__(self, schema: pa.Schema, most: int = 1 << 20):
         self.schema, self.most = schema, most
         self.rows: list[tuple] = []
         self.size = 0
@@ -112,7 +112,7 @@ def _send(batches, unit: int):
     """Pieces of every text by output position, after a row of facts."""
     out = _Rows(SENT)
     for batch in batches:
-        for uid, key, data in zip(batch.column("uid").to_pylist(), batch.column("doc_key").to_pylist(), as_bytes(batch, "text")):
+        for uid, key, data in zip(batch.column("uid").to_pylist(), batch.column("doc_key").to_pylist(), each_bytes(batch, "text")):
             text = (data or b"").decode("utf-8", "surrogateescape")
             cut = cut_of(key or "", text)
             plain = cut.form == "plain"
@@ -133,7 +133,8 @@ def _send(batches, unit: int):
 def _documents(batches) -> Iterator[tuple]:
     """Sorted rows, one at a time, as Python values."""
     for batch in batches:
-        yield from zip(*[c.to_pylist() for c in batch.columns])
+        for part in few_rows(batch):
+            yield from zip(*[c.to_pylist() for c in part.columns])
 
 
 def _join(batches):

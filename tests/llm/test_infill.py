@@ -1,5 +1,7 @@
 import hashlib
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
 from cardwarden.llm import infill
@@ -64,3 +66,14 @@ def test_long_text_text_keys_extra_columns_and_empty_table(spark):
 def test_bytes_that_are_no_text_come_back(spark):
     df = spark.sql("select 3L as doc_id, cast(unhex('41FF42C3') as string) as text")
     assert infill.transformed(df).first().restored_sha256 == hashlib.sha256(bytes.fromhex("41FF42C3")).hexdigest()
+
+
+def test_a_batch_of_pieces_is_not_held_as_values():
+    """2,000 pieces of 10 KB are 20 MB."""
+    batch = pa.RecordBatch.from_pydict({"uid": list(range(2000)), "data": [bytes(10_000)] * 2000})
+    tracemalloc.start()
+    try:
+        assert sum(len(data) for _, data in infill._documents([batch])) == 20_000_000
+        assert tracemalloc.get_traced_memory()[1] < 4e6
+    finally:
+        tracemalloc.stop()
