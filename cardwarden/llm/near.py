@@ -6,7 +6,8 @@ eight.  The index has posting lists for combinations of two byte positions and t
 beyond ``2 ** 24`` texts), as many combinations as make the wanted recall.  Inside a list shared
 positional bytes are tallied per pair, pairs below the minimum are dropped, and bits are counted.  A
 list hands on a spanning forest of its closest links, never its pairs; links are verified by the exact
-similarity of the shingle sets before they join classes.
+similarity of the shingle sets before they join classes.  Pairs that a forest or a long list left out are
+then verified too where their texts are still in different classes, so the index alone sets the recall.
 
 Texts are compared by their words, A-Z in lower case; those with fewer words than a shingle are one
 shingle, those without words are equal to each other and to nothing else.
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import as_bytes, hashable, lower_words, map_batches
+from cardwarden.llm.common import each_bytes, hashable, lower_words, map_batches
 from cardwarden.llm.components import components
 from cardwarden.session import materialise
 
@@ -39,7 +40,7 @@ WIDE_TEXTS = 1 << 24  # more texts than this are indexed by three bytes
 # deviations of a pair's own spread away.
 LEAST_SHARED = 3
 MAX_BITS = 62
-# Longer posting lists are taken in pieces, whose first members make a list of their own.
+# Longer posting lists are taken in pieces, whose first members make a list of their own; the pairs that leaves out follow in ``left_out``.
 LIST_ROWS = 2048
 SLICE = 1 << 15
 WEIGHTS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
@@ -103,14 +104,14 @@ def index_positions(texts: int, similarity: float = SIMILARITY, recall: float =
 FP = [f"f{i}" for i in range(LANES)]
 
 
-def _postings(nodes: DataFrame, positions: list[tuple[int, ...]]) -> DataFrame:
+def _postings(nodes: DataFrame, positions: list[tuple[int, ...]], *more: str) -> DataFrame:
     def value(at: tuple[int, ...], number: int) -> Column:
         key = F.lit(number).cast("bigint")
         for p in at:
             key = key * 256 + F.shiftrightunsigned(F.col(FP[p // 8]), 8 * (p % 8)).bitwiseAND(255)
         return key
     keys = F.array(*[value(at, i) for i, at in enumerate(positions)])
-    return nodes.select(F.explode(keys).alias("key"), "nid", *FP)
+    return nodes.select(F.explode(keys).alias("key"), "nid", *more, *FP)
 
 
 def _close(fp: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -154,13 +155,22 @@ def spanning(n: int, a: np.ndarray, b: np.ndarray, weight: np.ndarray) -> np.nda
 
 
 def _block_links(key: np.ndarray, nid: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-    """Forest edges over the lists of a sorted block; every two members of a list, or piece, are compared."""
+    """Forest edges over the lists of a sorted block; every two members of a list, or piece, are compared.
+
+    A row with a key names a list of which a pair was left out: long, or with closer ways round.
+    """
     n = len(key)
     edges = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     begin = np.repeat(edges, np.diff(np.append(edges, n)))
     piece = (np.arange(n) - begin) // LIST_ROWS
     group = np.cumsum(np.concatenate(([0], (key[1:] != key[:-1]) | (piece[1:] != piece[:-1]))))
-    left, right, weight = [], [], []
+    left, right, weight, short = [], [], [], [key[piece > 0]]
+
+    def forest() -> tuple[np.ndarray, ...]:
+        a, b, w = (np.concatenate(v) for v in (left, right, weight))
+        kept = spanning(n, a, b, w)
+        short.append(np.unique(key[np.delete(a, kept)]))
+        return a[kept], b[kept], w[kept]
 
     def compare(members: np.ndarray, group: np.ndarray) -> None:
         for step in range(1, len(members)):
@@ -173,9 +183,7 @@ def _block_links(key: np.ndarray, nid: np.ndarray, fp: np.ndarray) -> pa.RecordB
             right.append(b[ok])
             weight.append(bits[ok])
             if sum(map(len, left)) > 8 * n + 100_000:  # keep a forest instead of the pairs seen so far
-                a, b, w = (np.concatenate(v) for v in (left, right, weight))
-                kept = spanning(n, a, b, w)
-                left[:], right[:], weight[:] = [a[kept]], [b[kept]], [w[kept]]
+                left[:], right[:], weight[:] = ([v] for v in forest())
 
     compare(np.arange(n), group)
     if piece.any():
@@ -183,10 +191,11 @@ def _block_links(key: np.ndarray, nid: np.ndarray, fp: np.ndarray) -> pa.RecordB
         compare(firsts, key[firsts])
     if not left:
         left = right = weight = [np.zeros(0, np.int64)]
-    a, b, w = (np.concatenate(v) for v in (left, right, weight))
-    kept = spanning(n, a, b, w)
-    ends = np.sort(np.stack([nid[a[kept]], nid[b[kept]]]), axis=0)
-    return pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], ["a", "b"])
+    a, b, _ = forest()
+    ends, lists = np.sort(np.stack([nid[a], nid[b]]), axis=0), np.unique(np.concatenate(short))
+    none = [pa.nulls(len(x), pa.int64()) for x in (lists, a)]
+    return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in (
+        [pa.array(ends[0]), none[0]], [pa.array(ends[1]), none[0]], [none[1], pa.array(lists)])], ["a", "b", "key"])
 
 
 BLOCK_ROWS = 1 << 16
@@ -218,11 +227,75 @@ def _links_of_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield from flush(True)
 
 
-def candidates(nodes: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
-    """Distinct links (a, b) between nodes (nid, fingerprint), to be verified."""
-    positions = index_positions(nodes.count(), similarity, recall)
+def candidates(nodes: DataFrame, positions: list[tuple[int, ...]]) -> tuple[DataFrame, DataFrame]:
+    """Distinct links (a, b) between nodes (nid, fingerprint), to be verified, and the lists (key) of which
+    a pair was left out."""
     lists = _postings(nodes, positions).repartition("key").sortWithinPartitions("key", *FP, "nid")
-    return lists.mapInArrow(_links_of_sorted, "a bigint, b bigint").distinct()
+    found = materialise(lists.mapInArrow(_links_of_sorted, "a bigint, b bigint, key bigint"), "links")
+    return found.where("key is null").select("a", "b").distinct(), found.where("key is not null").select("key").distinct()
+
+
+CELL = ["key", "p", "q"]
+
+
+def _links_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All close pairs of different roots in cells of at most two pieces, sorted by cell; of two pieces, only
+    the pairs across."""
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def pairs(cell, other, root, nid, fp) -> Iterator[pa.RecordBatch]:
+        group = np.cumsum(np.concatenate(([0], (cell[1:] != cell[:-1]).any(axis=1))))
+        whole = cell[:, 1] == cell[:, 2]
+        for step in range(1, len(group)):
+            same = group[step:] == group[:-step]
+            if not same.any():
+                return
+            a = np.flatnonzero(same & (root[step:] != root[:-step]) & (whole[step:] | (other[step:] != other[:-step])))
+            if not len(a):
+                continue
+            b = a + step
+            ok, _ = _close(fp, a, b)
+            if ok.any():
+                ends = np.sort(np.stack([nid[a[ok]], nid[b[ok]]]), axis=0)
+                yield pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], ["a", "b"])
+
+    def flush(last: bool) -> Iterator[pa.RecordBatch]:
+        columns = [np.concatenate(x) for x in zip(*held)]
+        new = np.flatnonzero((columns[0][1:] != columns[0][:-1]).any(axis=1)) + 1
+        cut = len(columns[0]) if last else int(new[-1]) if len(new) else 0
+        yield from pairs(*[c[:cut] for c in columns])
+        held[:] = [tuple(c[cut:] for c in columns)]
+
+    for batch in batches:
+        if batch.num_rows:
+            of = [np.column_stack([batch.column(c).to_numpy() for c in names]) for names in (CELL, FP)]
+            held.append((of[0], *[batch.column(c).to_numpy() for c in ("other", "root", "nid")], np.ascontiguousarray(of[1])))
+            if sum(len(h[0]) for h in held) >= BLOCK_ROWS:
+                yield from flush(False)
+    if held:
+        yield from flush(True)
+
+
+def left_out(nodes: DataFrame, roots: DataFrame, lists: DataFrame, positions: list[tuple[int, ...]]) -> DataFrame:
+    """Every link (a, b) of the given lists whose ends are not in one class yet.
+
+    Members are sorted by class and taken in pieces; every two pieces of a list meet in a cell of their
+    own, unless both belong to one class.  So a class of any size is compared with the others' members,
+    never with itself, and no cell is longer than two pieces.
+    """
+    rows = nodes.join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+    keyed = _postings(rows, positions, "root").join(lists, "key")
+    nth = F.row_number().over(Window.partitionBy("key").orderBy("root", "nid"))
+    numbered = materialise(keyed.withColumn("piece", F.floor((nth - 1) / LIST_ROWS)), "pieces")
+    pieces = numbered.groupBy("key", "piece").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    left, right = (pieces.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("piece", "lo", "hi")]) for side in "pq")
+    cells = left.join(right, "key").where(
+        "piece_p <= piece_q and not (lo_p = hi_p and lo_q = hi_q and lo_p = lo_q)").select(
+        "key", F.col("piece_p").alias("p"), F.col("piece_q").alias("q"))
+    one, two = (numbered.join(cells.withColumn("piece", F.col(at)), ["key", "piece"]) for at in "pq")
+    both = one.withColumn("other", F.lit(0)).unionByName(two.where("p < q").withColumn("other", F.lit(1)))
+    sorted_cells = both.select(*CELL, "other", "root", "nid", *FP).repartition(*CELL).sortWithinPartitions(*CELL, "other", "nid")
+    return sorted_cells.mapInArrow(_links_across, "a bigint, b bigint").distinct()
 
 
 # --- texts ----------------------------------------------------------------------------------------
@@ -237,6 +310,18 @@ def _mark(text: str) -> Column:
     return F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")))
 
 
+def _sketches(batch: pa.RecordBatch, size: int) -> pa.RecordBatch:
+    """(place, digest of the words, fingerprint); the words of one text are held at a time."""
+    fps, marks = np.empty((batch.num_rows, LANES), np.int64), []
+    for i, t in enumerate(each_bytes(batch, "text")):
+        words = lower_words(t)
+        fps[i] = fingerprint(shingles(words, size))
+        marks.append(hashlib.md5(b" ".join(words)).digest())
+    return pa.RecordBatch.from_arrays(
+        [batch.column("place"), pa.array(marks, pa.binary()), *[pa.array(fps[:, i]) for i in range(LANES)]],
+        ["place", "node", *FP])
+
+
 def distinct_texts(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """One row per distinct sequence of words: (nid, node, place, fingerprint) as a stored table.
 
@@ -247,14 +332,7 @@ def distinct_texts(docs: DataFrame, key: str, text: str, size: int) -> DataFrame
                  _mark(text).alias("mark")).alias("place"), F.col(f"`{text}`").alias("text"))
     kind = rows.schema["place"].dataType.simpleString()
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = [lower_words(t) for t in as_bytes(batch, "text")]
-        fps = np.array([fingerprint(shingles(w, size)) for w in words], np.int64).reshape(-1, LANES)
-        return pa.RecordBatch.from_arrays(
-            [batch.column("place"), pa.array([hashlib.md5(b" ".join(w)).digest() for w in words], pa.binary()),
-             *[pa.array(fps[:, i]) for i in range(LANES)]], ["place", "node", *FP])
-
-    made = map_batches(rows, run, f"place {kind}, node binary, {', '.join(f'{c} bigint' for c in FP)}")
+    made = map_batches(rows, lambda batch: _sketches(batch, size), f"place {kind}, node binary, {', '.join(f'{c} bigint' for c in FP)}")
     one = made.groupBy("node").agg(F.min("place").alias("place"), *[F.min(c).alias(c) for c in FP])
     return materialise(one.withColumn("nid", F.monotonically_increasing_id()), "texts")
 
@@ -267,7 +345,7 @@ def verified(links: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text
         mine, ["id", "mark"]).dropDuplicates(["nid"])
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [shingles(lower_words(t), size).view(np.int64) for t in as_bytes(batch, "text")]
+        found = [shingles(lower_words(t), size).view(np.int64) for t in each_bytes(batch, "text")]
         return pa.RecordBatch.from_arrays([batch.column("nid"), pa.array(found, pa.list_(pa.int64()))], ["nid", "found"])
 
     sets = materialise(map_batches(texts.select("nid", "text"), run, "nid bigint, found array<bigint>"), "shingles")
@@ -287,8 +365,19 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     Null texts have no words.  Rows and columns are handed on as they are, whatever the columns' names.
     """
     nodes = distinct_texts(docs, key, text, size)
-    links = materialise(candidates(nodes.where(F.col("node") != F.lit(hashlib.md5(b"").digest())), similarity, recall), "links")
-    found = components(verified(links, nodes, docs, key, text, size, similarity))
+    told = nodes.where(F.col("node") != F.lit(hashlib.md5(b"").digest()))
+    positions = index_positions(told.count(), similarity, recall)
+    links, lists = candidates(told, positions)
+    links = materialise(links, "candidates")
+    edges = materialise(verified(links, nodes, docs, key, text, size, similarity), "verified")
+    found = components(edges)
+    # What the forests left out, between texts that did not come together without it.
+    more = materialise(left_out(told, found.select(F.col("node").alias("nid"), "root"), lists, positions).join(
+        links, ["a", "b"], "left_anti"), "candidates")
+    if not more.isEmpty():
+        others = materialise(verified(more, nodes, docs, key, text, size, similarity), "verified")
+        if not others.isEmpty():
+            found = components(edges.unionByName(others))
     placed = nodes.select("nid", "place").join(found.withColumnRenamed("node", "nid"), "nid", "left")
     least = placed.groupBy(F.coalesce("root", "nid").alias("root")).agg(F.min("place").alias("place"))
     winners = least.select(F.col("place.id").alias("__id"), F.col("place.mark").alias("__mark"))

@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from decimal import Decimal
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,3 +142,49 @@ def test_index_positions():
     assert {len(p) for p in few} == {2} and {len(p) for p in many} == {3} and len(few) < len(many)
     assert len(set(few)) == len(few) and max(sum(p in c for c in few) for p in range(32)) <= 2 + 2 * len(few) // 32
     assert near.expected_bits(1.0) == 0 and 0.15 < near.expected_bits(0.8) < 0.16
+
+
+def test_a_batch_of_texts_is_not_held_as_words():
+    """2,000 texts of 4 KB are 8 MB, and 60 MB as lists of words."""
+    texts = [" ".join(random.Random(i).choices(WORDS, k=800)) for i in range(2000)]
+    batch = pa.RecordBatch.from_pydict({"place": list(range(2000)), "text": texts})
+    tracemalloc.start()
+    try:
+        near._sketches(batch, 5)
+        assert tracemalloc.get_traced_memory()[1] < 8e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_lists_of_which_a_pair_was_left_out_are_named(monkeypatch):
+    monkeypatch.setattr(near, "LIST_ROWS", 4)
+    rng = np.random.default_rng(5)
+    key = np.repeat([10, 20, 30, 40], [3, 2, 6, 2])
+    fp = np.repeat(rng.integers(-2 ** 62, 2 ** 62, (4, 4)), [3, 2, 6, 2], axis=0)
+    found = near._block_links(key, np.arange(len(key)), fp).to_pylist()
+    # Three alike make a triangle; six are more than a piece; two have one pair.
+    assert sorted(r["key"] for r in found if r["key"] is not None) == [10, 30]
+    assert len([r for r in found if r["key"] is None]) == 2 + 1 + 5 + 1
+
+
+def test_what_forests_leave_out_follows(spark, frame, monkeypatch):
+    """Without any class yet, every close pair of every list, by cells of two pieces; none inside a class."""
+    monkeypatch.setattr(near, "LIST_ROWS", 2)
+    docs = frame(corpus(12, texts=60))
+    nodes = near.distinct_texts(docs, "doc_id", "text", 5)
+    positions = near.index_positions(nodes.count())
+    rows = nodes.collect()
+    fps = np.array([[r[c] for c in near.FP] for r in rows])
+    a, b = np.triu_indices(len(rows), 1)
+    ok, _ = near._close(fps, a, b)
+    octets = fps.view(np.uint8).reshape(len(rows), -1)
+    meet = np.any([np.all([octets[a, p] == octets[b, p] for p in at], axis=0) for at in positions], axis=0)
+    nids = [r.nid for r in rows]
+    want = {tuple(sorted((nids[i], nids[j]))) for i, j in zip(a[ok & meet], b[ok & meet])}
+    lists = near._postings(nodes, positions).select("key").distinct()
+    nobody = spark.createDataFrame([], "nid bigint, root bigint")
+    got = near.left_out(nodes, nobody, lists, positions)
+    assert {tuple(r) for r in got.collect()} == want and len(want) > 20
+    some = sorted(want)[0]
+    together = spark.createDataFrame([(some[0], some[0]), (some[1], some[0])], "nid bigint, root bigint")
+    assert {tuple(r) for r in near.left_out(nodes, together, lists, positions).collect()} == want - {some}
