@@ -118,6 +118,56 @@ def _tree_values(x: np.ndarray, forest: boosting.Forest, t: int, walk: _Walk) ->
     return values
 
 
+def _path_tables(forest: boosting.Forest, t: int) -> tuple[list[tuple], list[tuple]]:
+    """A tree's splits downwards, and per leaf its values by which of its path's features the row follows.
+
+    A split is (node, feature, bit of the feature on the path, whether it is the path's first on it); a leaf's
+    table has a row per combination of bits, the values as in ``_tree_values``.
+    """
+    points, weights = _quadrature(forest.depth)
+    splits, leaves, open_nodes = [], [], [(0, (), ())]
+    while open_nodes:
+        node, features, shares = open_nodes.pop()
+        f = int(forest.feature[t, node])
+        if f < 0:
+            leaves.append((node, features, shares))
+            continue
+        first = f not in features
+        bit = len(features) if first else features.index(f)
+        splits.append((node, f, bit, first))
+        for child in (2 * node + 1, 2 * node + 2):
+            part = forest.cover[t, child] / forest.cover[t, node]
+            open_nodes.append((child, (*features, f), (*shares, part)) if first else (
+                child, features, (*shares[:bit], shares[bit] * part, *shares[bit + 1:])))
+    tables = []
+    for k in {len(features) for _, features, _ in leaves} - {0}:
+        some = [leaf for leaf in leaves if len(leaf[1]) == k]
+        share = np.array([shares for _, _, shares in some])[:, None]
+        moved = (np.arange(2 ** k)[:, None] >> np.arange(k) & 1) - share
+        factor = share + points[:, None, None, None] * moved
+        others = np.tensordot(weights, factor.prod(axis=3, keepdims=True) / factor, 1)
+        values = moved * others * forest.value[t, [node for node, _, _ in some]][:, None, None]
+        for (node, features, _), own in zip(some, values):
+            table = np.zeros((2 ** k, forest.width))
+            table[:, list(features)] = own
+            tables.append((node, table))
+    return splits, tables
+
+
+def _looked_up(x: np.ndarray, forest: boosting.Forest, t: int, splits: list[tuple], tables: list[tuple]) -> np.ndarray:
+    """Shapley values of one tree for a batch: every row's bits, walked down, pick a row of each leaf's table."""
+    values, codes = np.zeros(x.shape), {0: np.zeros(len(x), np.uint8)}
+    for node, f, bit, first in splits:
+        v, code = x[:, f], codes.pop(node)
+        left = np.where(np.isnan(v), forest.missing_left[t, node], v < forest.cut[t, node])
+        for child, inside in ((2 * node + 1, left), (2 * node + 2, ~left)):
+            mark = inside.astype(np.uint8) << np.uint8(bit)
+            codes[child] = code | mark if first else code & (mark | np.uint8(255 - (1 << bit)))
+    for node, table in tables:
+        values += table.take(codes[node], axis=0)
+    return values
+
+
 def expected_margin(forest: boosting.Forest) -> float:
     """The mean margin over the training weight: leaf values by their share of the cover."""
     whole = forest.cover[:, :1]
@@ -126,13 +176,15 @@ def expected_margin(forest: boosting.Forest) -> float:
 
 
 ROWS_AT_ONCE = 256
+# Trees this deep at most have their leaves' values looked up: 64 leaves with 64 rows each.
+LOOKED_UP_DEPTH = 6
 
 
 def tree_attributions(model: RiskModel, df: DataFrame, key: str) -> DataFrame:
     """(key, values, base) of boosted trees, in the margin's unit; values + base add up to it.
 
     Exact Shapley values of the path-dependent kind.  Rows stay where they are; the forest, bounded
-    by trees × nodes, is broadcast, and each tree costs nodes × depth per row.
+    by trees × nodes, is broadcast.  A tree costs a look-up per leaf and row, a deep one nodes × depth.
     """
     spark = df.sparkSession
     base = expected_margin(model.forest)
@@ -142,6 +194,16 @@ def tree_attributions(model: RiskModel, df: DataFrame, key: str) -> DataFrame:
 
     def run(batches):
         forest = boosting.Forest(**shared.value)
+        if forest.depth <= LOOKED_UP_DEPTH:
+            for pdf in batches:
+                x = np.asfortranarray(np.stack(pdf["x"].to_numpy())) if len(pdf) else np.zeros((0, forest.width))
+                values = np.zeros(x.shape)
+                for t in range(len(forest)):
+                    splits, tables = _path_tables(forest, t)
+                    for i in range(0, len(x), 8 * ROWS_AT_ONCE):
+                        values[i:i + 8 * ROWS_AT_ONCE] += _looked_up(x[i:i + 8 * ROWS_AT_ONCE], forest, t, splits, tables)
+                yield pd.DataFrame({key: pdf[key], "values": list(values), "base": base})
+            return
         walks = [_walk_of(f, c) for f, c in zip(forest.feature, forest.cover)]
         for pdf in batches:
             for i in range(0, len(pdf), ROWS_AT_ONCE):

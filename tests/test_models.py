@@ -240,3 +240,24 @@ def test_boosted_fits_take_the_full_number_of_trees():
     import inspect
     assert inspect.signature(models.fit_boosted).parameters["trees"].default == fixed.TREES == 1000
     assert "trees" not in fixed.BOOSTED and "trees" not in fixed.REGULARISED
+
+
+@pytest.mark.parametrize("depth", [1, 3, 6])
+def test_looked_up_values_equal_the_walk(depth):
+    """With features that return on a path, missing values and bare roots."""
+    rng = np.random.default_rng(depth)
+    forest = boosting.Forest.empty(4, depth, 5)
+    forest.cover[:, 0] = 100.0
+    for t in range(3):
+        for node in range(2 ** depth - 1):
+            if forest.cover[t, node] and (node == 0 or rng.random() < 0.85):
+                part = rng.uniform(0.1, 0.9)
+                forest.feature[t, node], forest.cut[t, node] = rng.integers(5), rng.normal()
+                forest.missing_left[t, node] = rng.random() < 0.5
+                forest.cover[t, 2 * node + 1:2 * node + 3] = forest.cover[t, node] * np.array([part, 1 - part])
+    forest.value[:] = np.where((forest.cover > 0) & (forest.feature < 0), rng.normal(size=forest.value.shape), 0.0)
+    x = rng.normal(size=(300, 5))
+    x[rng.random(x.shape) < 0.2] = np.nan
+    for t in range(4):
+        want = explain._tree_values(x, forest, t, explain._walk_of(forest.feature[t], forest.cover[t]))
+        assert explain._looked_up(x, forest, t, *explain._path_tables(forest, t)) == pytest.approx(want, abs=1e-12)
