@@ -8,6 +8,8 @@ positional bytes are tallied per pair, pairs below the minimum are dropped, and
 list hands on a spanning forest of its closest links, never its pairs; links are verified by the exact
 similarity of the shingle sets before they join classes.  Pairs that a forest or a long list left out are
 then verified too where their texts are still in different classes, so the index alone sets the recall.
+They are never rows: texts that closeness holds together meet in cells with their shingle sets, and a cell
+hands on at most one link for every two classes it joins.
 
 Texts are compared by their words, A-Z in lower case; those with fewer words than a shingle are one
 shingle, those without words are equal to each other and to nothing else.
@@ -26,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import each_bytes, hashable, lower_words, map_batches
+from cardwarden.llm.common import attach, each_bytes, hashable, lower_words, map_batches
 from cardwarden.llm.components import components
 from cardwarden.session import materialise
 
@@ -42,6 +44,9 @@ LEAST_SHARED = 3
 MAX_BITS = 62
 # Longer posting lists are taken in pieces, whose first members make a list of their own; the pairs that leaves out follow in ``left_out``.
 LIST_ROWS = 2048
+# Texts held together by closeness are verified in this many pieces, every two of which meet in a cell of their own; pieces have
+# about ``PIECE_ROWS`` rows at least and ``LIST_ROWS`` at most, where a row counts as its shingles, ``ROW_SHINGLES`` at least.
+PIECES, PIECE_ROWS, ROW_SHINGLES = 32, 32, 1024
 SLICE = 1 << 15
 WEIGHTS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
@@ -238,26 +243,44 @@ def candidates(nodes: DataFrame, positions: list[tuple[int, ...]]) -> tuple[Data
 CELL = ["key", "p", "q"]
 
 
-def _links_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All close pairs of different roots in cells of at most two pieces, sorted by cell; of two pieces, only
-    the pairs across."""
+def _links_across(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
+    """Close pairs of different roots in cells of at most two pieces, sorted by cell; of two pieces, only the
+    pairs across.  All of them with ``whole``, else a forest that holds together what they do."""
     held: list[tuple[np.ndarray, ...]] = []
 
     def pairs(cell, other, root, nid, fp) -> Iterator[pa.RecordBatch]:
         group = np.cumsum(np.concatenate(([0], (cell[1:] != cell[:-1]).any(axis=1))))
-        whole = cell[:, 1] == cell[:, 2]
+        inside = cell[:, 1] == cell[:, 2]
+        left, right, weight = [], [], []
+
+        def given(kept: np.ndarray | slice) -> pa.RecordBatch:
+            a, b = (np.concatenate(v)[kept] for v in (left, right))
+            ends = np.sort(np.stack([nid[a], nid[b]]), axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], ["a", "b"])
+
+        def forest() -> np.ndarray:
+            return spanning(len(nid), *[np.concatenate(v) for v in (left, right, weight)])
+
         for step in range(1, len(group)):
             same = group[step:] == group[:-step]
             if not same.any():
-                return
-            a = np.flatnonzero(same & (root[step:] != root[:-step]) & (whole[step:] | (other[step:] != other[:-step])))
+                break
+            a = np.flatnonzero(same & (root[step:] != root[:-step]) & (inside[step:] | (other[step:] != other[:-step])))
             if not len(a):
                 continue
-            b = a + step
-            ok, _ = _close(fp, a, b)
+            ok, bits = _close(fp, a, a + step)
             if ok.any():
-                ends = np.sort(np.stack([nid[a[ok]], nid[b[ok]]]), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], ["a", "b"])
+                for v, found in ((left, a[ok]), (right, a[ok] + step), (weight, bits[ok])):
+                    v.append(found)
+            if sum(map(len, left)) > 8 * len(nid) + 100_000:
+                if whole:
+                    yield given(slice(None))
+                    left, right, weight = [], [], []
+                else:
+                    kept = forest()
+                    left, right, weight = ([np.concatenate(v)[kept]] for v in (left, right, weight))
+        if left:
+            yield given(slice(None) if whole else forest())
 
     def flush(last: bool) -> Iterator[pa.RecordBatch]:
         columns = [np.concatenate(x) for x in zip(*held)]
@@ -276,8 +299,23 @@ def _links_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield from flush(True)
 
 
-def left_out(nodes: DataFrame, roots: DataFrame, lists: DataFrame, positions: list[tuple[int, ...]]) -> DataFrame:
-    """Every link (a, b) of the given lists whose ends are not in one class yet.
+def _in_cells(numbered: DataFrame) -> DataFrame:
+    """Rows of (key, piece, root) by cells of two pieces of a key, unless all of both is one class."""
+    pieces = numbered.groupBy("key", "piece").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    left, right = (pieces.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("piece", "lo", "hi")]) for side in "pq")
+    cells = left.join(right, "key").where(
+        "piece_p <= piece_q and not (lo_p = hi_p and lo_q = hi_q and lo_p = lo_q)").select(
+        "key", F.col("piece_p").alias("p"), F.col("piece_q").alias("q"))
+    one, two = (numbered.join(cells.withColumn("piece", F.col(at)), ["key", "piece"]) for at in "pq")
+    return one.withColumn("other", F.lit(0)).unionByName(two.where("p < q").withColumn("other", F.lit(1)))
+
+
+def _sorted_cells(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*CELL).sortWithinPartitions(*CELL, "other", "nid")
+
+
+def left_out(nodes: DataFrame, roots: DataFrame, lists: DataFrame, positions: list[tuple[int, ...]], whole: bool = True) -> DataFrame:
+    """Every link (a, b) of the given lists whose ends are not in one class yet, or a forest of each cell's.
 
     Members are sorted by class and taken in pieces; every two pieces of a list meet in a cell of their
     own, unless both belong to one class.  So a class of any size is compared with the others' members,
@@ -287,15 +325,85 @@ def left_out(nodes: DataFrame, roots: DataFrame, lists: DataFrame, positions: li
     keyed = _postings(rows, positions, "root").join(lists, "key")
     nth = F.row_number().over(Window.partitionBy("key").orderBy("root", "nid"))
     numbered = materialise(keyed.withColumn("piece", F.floor((nth - 1) / LIST_ROWS)), "pieces")
-    pieces = numbered.groupBy("key", "piece").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
-    left, right = (pieces.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("piece", "lo", "hi")]) for side in "pq")
-    cells = left.join(right, "key").where(
-        "piece_p <= piece_q and not (lo_p = hi_p and lo_q = hi_q and lo_p = lo_q)").select(
-        "key", F.col("piece_p").alias("p"), F.col("piece_q").alias("q"))
-    one, two = (numbered.join(cells.withColumn("piece", F.col(at)), ["key", "piece"]) for at in "pq")
-    both = one.withColumn("other", F.lit(0)).unionByName(two.where("p < q").withColumn("other", F.lit(1)))
-    sorted_cells = both.select(*CELL, "other", "root", "nid", *FP).repartition(*CELL).sortWithinPartitions(*CELL, "other", "nid")
-    return sorted_cells.mapInArrow(_links_across, "a bigint, b bigint").distinct()
+    cells = _sorted_cells(_in_cells(numbered).select(*CELL, "other", "root", "nid", *FP))
+    return cells.mapInArrow(lambda batches: _links_across(batches, whole), "a bigint, b bigint").distinct()
+
+
+def _alike_in_cell(other: np.ndarray, root: np.ndarray, nid: np.ndarray, fp: np.ndarray, size: np.ndarray,
+                   found: np.ndarray, inside: bool, similarity: float) -> list[tuple[int, int]]:
+    """Links of similar texts that join a cell's classes, one for every two that meet."""
+    starts = np.concatenate(([0], np.cumsum(size)))
+    class_of, number, links = np.unique(root, return_inverse=True)[1], None, []
+    for i in range(len(nid) - 1):
+        j = np.arange(i + 1, len(nid))
+        j = j[(class_of[j] != class_of[i]) & (inside | (other[j] != other[i]))
+              & (np.minimum(size[j], size[i]) >= similarity * np.maximum(size[j], size[i]) * (1 - 1e-9))]
+        if len(j):
+            j = j[_close(fp, np.full(len(j), i), j)[0]]
+        if not len(j):
+            continue
+        if number is None:
+            number = np.unique(found, return_inverse=True)[1]
+            mine = np.zeros(number.max() + 1, bool)
+        own = number[starts[i]:starts[i + 1]]
+        mine[own] = True
+        firsts = np.concatenate(([0], np.cumsum(size[j])[:-1]))
+        both = np.add.reduceat(mine[np.concatenate([number[starts[k]:starts[k + 1]] for k in j])], firsts, dtype=np.int64)
+        mine[own] = False
+        for k in j[both / (size[i] + size[j] - both) >= similarity]:
+            if class_of[k] != class_of[i]:
+                links.append((min(nid[i], nid[k]), max(nid[i], nid[k])))
+                class_of[class_of == class_of[k]] = class_of[i]
+    return links
+
+
+def _alike_across(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """The links of rows with their shingles, sorted by cell; two pieces are held at a time."""
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def flush(last: bool) -> Iterator[pa.RecordBatch]:
+        *columns, found = [np.concatenate(x) for x in zip(*held)]
+        edges = np.flatnonzero(np.concatenate(([True], (columns[0][1:] != columns[0][:-1]).any(axis=1), [last])))
+        at = np.concatenate(([0], np.cumsum(columns[-1])))
+        links = []
+        for lo, hi in zip(edges, edges[1:]):
+            cell, *rest = [c[lo:hi] for c in columns]
+            links += _alike_in_cell(*rest, found[at[lo]:at[hi]], cell[0, 1] == cell[0, 2], similarity)
+        held[:] = [(*[c[edges[-1]:] for c in columns], found[at[edges[-1]]:])] if edges[-1] < len(columns[0]) else []
+        if links:
+            a, b = zip(*links)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    for batch in batches:
+        if batch.num_rows:
+            of = [np.column_stack([batch.column(c).to_numpy() for c in names]) for names in (CELL, FP)]
+            found = batch.column("found")
+            held.append((of[0], *[batch.column(c).to_numpy() for c in ("other", "root", "nid")], np.ascontiguousarray(of[1]),
+                         found.value_lengths().to_numpy().astype(np.int64), found.flatten().to_numpy()))
+            if sum(len(h[-1]) for h in held) >= LIST_ROWS * ROW_SHINGLES:
+                yield from flush(False)
+    if held:
+        yield from flush(True)
+
+
+def alike(loose: DataFrame, nodes: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Verified links (a, b) between classes among the texts that the given close pairs hold together.
+
+    All close pairs of such a group are verified inside cells of two of its pieces, which texts are dealt to by
+    digest.  A group has ``PIECES`` pieces at most, so its texts' shingles move that many times and its work is
+    spread; more only beyond ``LIST_ROWS`` rows a piece.
+    """
+    groups = components(loose).select(F.col("node").alias("nid"), F.col("root").alias("key"))
+    rows = nodes.select("nid", *FP).join(groups, "nid").join(roots, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
+    weight = F.greatest(F.size("found"), F.lit(ROW_SHINGLES)).cast("bigint").alias("weight")
+    weighed = materialise(rows.join(sets.select("nid", weight), "nid"), "groups")
+    total = F.sum("weight")
+    most = F.least(F.lit(LIST_ROWS * ROW_SHINGLES), F.greatest(F.lit(PIECE_ROWS * ROW_SHINGLES), total / PIECES))
+    facts = materialise(weighed.groupBy("key").agg(F.count("*").alias("n"), F.ceil(total / most).alias("pieces")), "facts")
+    numbered = attach(weighed.drop("weight"), facts, "key", "n", weighed.count())
+    numbered = materialise(numbered.withColumn("piece", F.pmod(F.xxhash64("nid"), "pieces")).drop("pieces"), "pieces")
+    cells = _sorted_cells(_in_cells(numbered).join(sets, "nid").select(*CELL, "other", "root", "nid", *FP, "found"))
+    return cells.mapInArrow(lambda batches: _alike_across(batches, similarity), "a bigint, b bigint").distinct()
 
 
 # --- texts ----------------------------------------------------------------------------------------
@@ -337,8 +445,8 @@ def distinct_texts(docs: DataFrame, key: str, text: str, size: int) -> DataFrame
     return materialise(one.withColumn("nid", F.monotonically_increasing_id()), "texts")
 
 
-def verified(links: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, size: int, similarity: float) -> DataFrame:
-    """The links whose texts are similar enough, by their whole shingle sets."""
+def shingle_sets(links: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """(nid, found): the whole shingle sets of the texts at the links' ends, as a stored table."""
     ends = links.select(F.col("a").alias("nid")).union(links.select("b")).distinct()
     mine = materialise(nodes.join(ends, "nid").select("nid", "node", F.col("place.id").alias("id"), F.col("place.mark").alias("mark")), "linked")
     texts = docs.select(_identity(key, text).alias("id"), _mark(text).alias("mark"), F.col(f"`{text}`").alias("text")).join(
@@ -348,7 +456,11 @@ def verified(links: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text
         found = [shingles(lower_words(t), size).view(np.int64) for t in each_bytes(batch, "text")]
         return pa.RecordBatch.from_arrays([batch.column("nid"), pa.array(found, pa.list_(pa.int64()))], ["nid", "found"])
 
-    sets = materialise(map_batches(texts.select("nid", "text"), run, "nid bigint, found array<bigint>"), "shingles")
+    return materialise(map_batches(texts.select("nid", "text"), run, "nid bigint, found array<bigint>"), "shingles")
+
+
+def verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The links whose texts are similar enough, by their whole shingle sets."""
     left, right = (sets.select(F.col("nid").alias(c), F.col("found").alias(f"of_{c}")) for c in "ab")
     both = F.size(F.array_intersect("of_a", "of_b"))
     alike = both / (F.size("of_a") + F.size("of_b") - both) >= similarity
@@ -369,13 +481,14 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     positions = index_positions(told.count(), similarity, recall)
     links, lists = candidates(told, positions)
     links = materialise(links, "candidates")
-    edges = materialise(verified(links, nodes, docs, key, text, size, similarity), "verified")
+    edges = materialise(verified(links, shingle_sets(links, nodes, docs, key, text, size), similarity), "verified")
     found = components(edges)
     # What the forests left out, between texts that did not come together without it.
-    more = materialise(left_out(told, found.select(F.col("node").alias("nid"), "root"), lists, positions).join(
-        links, ["a", "b"], "left_anti"), "candidates")
-    if not more.isEmpty():
-        others = materialise(verified(more, nodes, docs, key, text, size, similarity), "verified")
+    roots = found.select(F.col("node").alias("nid"), "root")
+    loose = materialise(left_out(told, roots, lists, positions, whole=False), "loose")
+    if not loose.isEmpty():
+        sets = shingle_sets(loose, nodes, docs, key, text, size)
+        others = materialise(alike(loose, told, roots, sets, similarity), "verified")
         if not others.isEmpty():
             found = components(edges.unionByName(others))
     placed = nodes.select("nid", "place").join(found.withColumnRenamed("node", "nid"), "nid", "left")

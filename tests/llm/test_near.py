@@ -188,3 +188,37 @@ def test_what_forests_leave_out_follows(spark, frame, monkeypatch):
     some = sorted(want)[0]
     together = spark.createDataFrame([(some[0], some[0]), (some[1], some[0])], "nid bigint, root bigint")
     assert {tuple(r) for r in near.left_out(nodes, together, lists, positions).collect()} == want - {some}
+
+
+def test_close_texts_that_are_not_alike_make_no_rows_of_pairs(spark, frame, monkeypatch):
+    """A group of loose copies: its close pairs grow with its square, what is handed on does not."""
+    rng = random.Random(4)
+    base = rng.choices(WORDS, k=200)
+    rows = [(i, " ".join(changed(rng, base, rng.randint(1, 5)))) for i in range(200)]
+    docs = frame(rows)
+    nodes = near.distinct_texts(docs, "doc_id", "text", 5)
+    positions = near.index_positions(nodes.count())
+    lists = near._postings(nodes, positions).select("key").distinct()
+    nobody = spark.createDataFrame([], "nid bigint, root bigint")
+    every = near.left_out(nodes, nobody, lists, positions).count()
+    loose = near.left_out(nodes, nobody, lists, positions, whole=False)
+    held = near.components(loose).groupBy("root").count().orderBy("count").collect()
+    assert every > 5000 and loose.count() < every / 4 and held[-1]["count"] > 190
+    sets_of = near.shingle_sets(loose, nodes, docs, "doc_id", "text", 5)
+    for pieces in (1, 8):
+        monkeypatch.setattr(near, "PIECES", pieces)
+        monkeypatch.setattr(near, "PIECE_ROWS", 4)
+        found = near.alike(loose, nodes, nobody, sets_of, 0.8)
+        keys = {r.nid: r.place.key for r in nodes.collect()}
+        got = {frozenset((keys[r.a], keys[r.b])) for r in found.collect()}
+        _, links = brute_kept(rows)
+        fps = {r.place.key: np.array([[r[c] for c in near.FP]]) for r in nodes.collect()}
+        close = {frozenset((i, j)) for i, j in links if near._close(np.concatenate([fps[i], fps[j]]), np.array([0]), np.array([1]))[0][0]}
+        assert got <= close and len(got) < 200 * pieces and len(close) > 10
+
+        def classes(pairs):
+            label = {k: k for k, _ in rows}
+            for i, j in map(tuple, pairs):
+                label = {k: label[i] if v == label[j] else v for k, v in label.items()}
+            return len(set(label.values()))
+        assert classes(got) == classes(close)
