@@ -30,6 +30,8 @@ TREES_PER_JOB = 100
 CHECKPOINT_TREES = 10
 BYTES_TO_DRIVER = 1 << 25
 BUNDLE_CODES = 1024
+# Few enough for a core's cache: rows whose gradients are worked out together, trees that a chunk of rows goes down together.
+ROWS_AT_ONCE, TREES_AT_ONCE = 1 << 14, 16
 LEAST_GAIN = 1e-6
 SUMMARY, FAN_IN = 2048, 64
 
@@ -85,17 +87,25 @@ class Forest:
     def leaves(self, x: np.ndarray) -> np.ndarray:
         """What every tree adds to the margin of every row: (rows, trees)."""
         trees, nodes = self.feature.shape
-        start = np.arange(trees, dtype=np.int64) * nodes
-        feature, cut, missing_left = self.feature.ravel(), self.cut.ravel(), self.missing_left.ravel()
-        rows = np.arange(len(x))[:, None]
-        at = np.zeros((len(x), trees), dtype=np.int64)
-        for _ in range(self.depth):
-            here = at + start
-            f = feature[here]
-            v = x[rows, f]
-            left = np.where(np.isnan(v), missing_left[here], v < cut[here])
-            at = np.where(f < 0, at, 2 * at + 2 - left)
-        return self.value.ravel()[at + start]
+        out, gaps = np.empty((len(x), trees)), np.isnan(x).any()
+        # A leaf leads to itself: no value is below its cut.
+        leaf = self.feature < 0
+        feature, cut = np.where(leaf, 0, self.feature).ravel(), np.where(leaf, -np.inf, self.cut).ravel()
+        place = np.arange(trees * nodes).reshape(trees, nodes)
+        right = np.where(leaf, place, place + np.arange(nodes) + 2).ravel()
+        missing_left, value = (self.missing_left & ~leaf).ravel(), self.value.ravel()
+        flat, rows = x.ravel(), np.arange(len(x))[:, None] * x.shape[1]
+        for first in range(0, trees, TREES_AT_ONCE):
+            start = np.arange(first, min(first + TREES_AT_ONCE, trees), dtype=np.int64) * nodes
+            at = np.broadcast_to(start, (len(x), len(start)))
+            for _ in range(self.depth):
+                v = flat.take(feature.take(at, mode="clip") + rows, mode="clip")
+                left = v < cut.take(at, mode="clip")
+                if gaps:
+                    left |= np.isnan(v) & missing_left.take(at, mode="clip")
+                at = right.take(at, mode="clip") - left
+            out[:, first:first + len(start)] = value.take(at, mode="clip")
+        return out
 
     def margins(self, x: np.ndarray, chunk: int = 2048) -> np.ndarray:
         out = np.zeros(len(x))
@@ -249,11 +259,15 @@ def whole_scale(total_weight: float) -> float:
 
 
 def gradients(block, margin: np.ndarray, s: Settings, tree: int, scale: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Whole-number gradients and Hessians, and which rows the tree draws."""
-    _, row, label, weight, _ = block
-    p = 1.0 / (1.0 + np.exp(-margin))
-    g, h = np.rint(weight * (p - label) * scale), np.rint(weight * p * (1.0 - p) * scale)
-    return g, h, mix(row, (s.seed + 1) * 1_000_003 + tree * 7919) < s.row_share
+    """Whole-number gradients and Hessians, and which rows the tree draws; some rows at a time."""
+    g, h, drawn = np.empty(len(margin)), np.empty(len(margin)), np.empty(len(margin), bool)
+    for i in range(0, len(margin), ROWS_AT_ONCE):
+        some = slice(i, i + ROWS_AT_ONCE)
+        row, label, weight = (a[some] for a in block[1:4])
+        p = 1.0 / (1.0 + np.exp(-margin[some]))
+        g[some], h[some] = np.rint(weight * (p - label) * scale), np.rint(weight * p * (1.0 - p) * scale)
+        drawn[some] = mix(row, (s.seed + 1) * 1_000_003 + tree * 7919) < s.row_share
+    return g, h, drawn
 
 
 def leaf_weight(g, h, s: Settings):
@@ -372,16 +386,21 @@ def bundled(bins: np.ndarray, widths: np.ndarray) -> list[tuple]:
 
 
 def node_sums(bundles: list[tuple], rows: np.ndarray, g: np.ndarray, h: np.ndarray, columns: np.ndarray, widths: np.ndarray) -> np.ndarray:
-    """(2, cells of all columns): sums over a node's rows, a column after the other."""
+    """(2, cells of all columns): sums over a node's rows, a column after the other.
+
+    Gradients and Hessians are added in one pass, as the two parts of complex numbers.
+    """
     ends = np.cumsum(widths[columns])
     place = {f: slice(end - widths[f], end) for f, end in zip(columns, ends)}
     out = np.zeros((2, ends[-1]))
-    g, h = g[rows], h[rows]
+    gh = np.empty(len(rows), complex)
+    gh.real, gh.imag = g.take(rows), h.take(rows)
     for code, codes, members, parts in bundles:
         if not any(f in place for f in members):
             continue
-        at = code[rows].astype(np.intp)
-        both = [np.bincount(at, v, minlength=codes) for v in (g, h)]
+        both = np.zeros(codes, complex)
+        np.add.at(both, code.take(rows, mode="clip").astype(np.intp), gh)
+        both = both.real, both.imag
         for f, part in zip(members, parts):
             if f in place:
                 for i in (0, 1):
@@ -389,13 +408,18 @@ def node_sums(bundles: list[tuple], rows: np.ndarray, g: np.ndarray, h: np.ndarr
     return out
 
 
-def parted(bins: np.ndarray, widths: np.ndarray, rows: np.ndarray, feature: int, cell: int, missing_left: bool) -> tuple[np.ndarray, np.ndarray]:
-    """A split node's rows, left and right."""
-    v = bins[feature][rows]
+def goes_left(bins: np.ndarray, widths: np.ndarray, rows: np.ndarray, feature: int, cell: int, missing_left: bool) -> np.ndarray:
+    v = bins[feature].take(rows, mode="clip")  # row numbers are in range; the other mode copies to be sure
     left = v <= cell
     if missing_left:
         left |= v == widths[feature] - 1
-    return rows[left], rows[~left]
+    return left
+
+
+def parted(bins: np.ndarray, widths: np.ndarray, rows: np.ndarray, feature: int, cell: int, missing_left: bool) -> tuple[np.ndarray, np.ndarray]:
+    """A split node's rows, left and right."""
+    left = goes_left(bins, widths, rows, feature, cell, missing_left)
+    return rows.compress(left), rows.compress(~left)
 
 
 def split_by_sums(count: Callable[[list[int]], np.ndarray], columns: np.ndarray, widths: np.ndarray, s: Settings, scale: float):
@@ -441,6 +465,9 @@ def add_values(margin: np.ndarray, bins: np.ndarray, widths: np.ndarray, tree, v
         node, rows = open_nodes.pop()
         if tree[0][node] < 0:
             margin[rows] += value[node]
+        elif len(rows) and tree[0][2 * node + 1] < 0 and tree[0][2 * node + 2] < 0:
+            left = goes_left(bins, widths, rows, *[a[node] for a in tree])
+            margin[rows] += np.where(left, value[2 * node + 1], value[2 * node + 2])
         elif len(rows):
             open_nodes += zip((2 * node + 1, 2 * node + 2), parted(bins, widths, rows, *[a[node] for a in tree]))
 

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -175,3 +176,52 @@ def test_a_tree_over_several_blocks_takes_a_job_per_level(spark):
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
         return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"fit {trees}"))
     assert jobs(7) - jobs(2) <= 5 * 3
+
+
+def test_leaves_are_those_of_a_walk_in_little_memory():
+    """Trees with leaves at every depth and rows with gaps, a few trees at a time."""
+    rng = np.random.default_rng(8)
+    trees, depth, width, rows = 400, 6, 5, 500
+    forest = boosting.Forest.empty(trees, depth, width)
+    inner = 2 ** depth - 1
+    forest.feature[:, :inner] = np.where(rng.random((trees, inner)) < 0.8, rng.integers(0, width, (trees, inner)), -1)
+    for n in range(1, inner):
+        forest.feature[forest.feature[:, (n - 1) // 2] < 0, n] = -1
+    forest.cut[:] = rng.normal(size=forest.cut.shape)
+    forest.missing_left[:] = rng.random(forest.cut.shape) < 0.5
+    forest.value[:] = rng.normal(size=forest.cut.shape)
+    x = np.where(rng.random((rows, width)) < 0.2, np.nan, rng.normal(size=(rows, width)))
+
+    def walked(t, row):
+        at = 0
+        while forest.feature[t, at] >= 0:
+            v = row[forest.feature[t, at]]
+            at = 2 * at + (1 if (forest.missing_left[t, at] if np.isnan(v) else v < forest.cut[t, at]) else 2)
+        return forest.value[t, at]
+    tracemalloc.start()
+    try:
+        got = forest.leaves(x)
+        assert tracemalloc.get_traced_memory()[1] < 3 * got.nbytes
+    finally:
+        tracemalloc.stop()
+    assert (got[:40] == [[walked(t, row) for t in range(trees)] for row in x[:40]]).all()
+    whole = np.nan_to_num(x)
+    assert (forest.leaves(whole)[:40] == [[walked(t, row) for t in range(trees)] for row in whole[:40]]).all()
+    assert forest.leaves(x[:0]).shape == (0, trees)
+
+
+def test_gradients_in_little_memory():
+    """The same numbers as over all rows at once; what is worked out on the way is held for some rows."""
+    rng = np.random.default_rng(9)
+    n, s = 200_000, Settings(trees=1, row_share=0.8)
+    margin, label, weight = rng.normal(size=n), rng.integers(0, 2, n) * 1.0, rng.random(n)
+    block = (None, np.arange(n), label, weight, None)
+    tracemalloc.start()
+    try:
+        g, h, drawn = boosting.gradients(block, margin, s, 0, 2.0 ** 20)
+        assert tracemalloc.get_traced_memory()[1] < 3 * margin.nbytes
+    finally:
+        tracemalloc.stop()
+    p = 1 / (1 + np.exp(-margin))
+    assert (g == np.rint(weight * (p - label) * 2.0 ** 20)).all() and (h == np.rint(weight * p * (1 - p) * 2.0 ** 20)).all()
+    assert 0.79 < drawn.mean() < 0.81
