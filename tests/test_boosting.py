@@ -225,3 +225,29 @@ def test_gradients_in_little_memory():
     p = 1 / (1 + np.exp(-margin))
     assert (g == np.rint(weight * (p - label) * 2.0 ** 20)).all() and (h == np.rint(weight * p * (1 - p) * 2.0 ** 20)).all()
     assert 0.79 < drawn.mean() < 0.81
+
+
+def test_precision_by_tree_ships_arrays_and_cells_add_up(spark, monkeypatch):
+    """A row per batch, tree and cell, not per margin; any number of cells gives the same, ties and empty parts included."""
+    x, y, w = data(1500)
+    forest = boosting.fit(stored_rows(spark, x, y, w), Settings(trees=12, depth=3, rate=0.3, child_weight=0.5))
+    rows = materialise(spark.createDataFrame(pd.DataFrame(
+        {"part": np.where(np.arange(1500) % 3 == 0, "a", "b"), "x": list(x), "label": y.astype(int)})).unionByName(
+        spark.createDataFrame([("none", [0.0] * 5, 0)] * 3, "part string, x array<double>, label bigint")).repartition(4), "parts")
+    margins = np.cumsum(forest.leaves(x), axis=1)
+
+    def wanted(keep, t):
+        s, hit = margins[keep, t], y[keep] == 1
+        return sum(((hit & (s >= v)).sum() / (s >= v).sum()) for v in s[hit]) / hit.sum()
+    for most in (1 << 20, 100):
+        monkeypatch.setattr(boosting, "CELL_MARGINS", most)
+        cuts = boosting.margin_cuts(rows, forest, 1503)
+        assert len(cuts) == (0 if most > 1503 else 15)
+        shipped = boosting.staged_margins(rows, forest, "part", "label", cuts)
+        assert shipped.count() <= 4 * 3 * 12 * (len(cuts) + 1) and shipped.groupBy().sum("p", "q").first()[0] == 12 * y.sum()
+        got = {(r.part, r.iteration): r.average_precision
+               for r in boosting.average_precision_by_tree(rows, forest, "part", "label").collect()}
+        assert len(got) == 36 and got["none", 3] == 0
+        for part, keep in (("a", np.arange(1500) % 3 == 0), ("b", np.arange(1500) % 3 > 0)):
+            for t in (0, 4, 11):
+                assert got[part, t + 1] == pytest.approx(wanted(keep, t), abs=1e-12)
