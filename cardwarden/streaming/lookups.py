@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,17 +68,23 @@ def answered(requests: DataFrame, key: str, time: str, request_id: str, ttl_seco
         if state.hasTimedOut:
             state.update((GONE, logged))
             return
-        asked = pd.concat(list(batches)).sort_values(["at", "rid"], kind="stable")
-        out = []
-        for rid, at, what in zip(asked["rid"], asked["at"], asked["op"]):
+        parts = list(batches)
+        asked = parts[0] if len(parts) == 1 else pd.concat(parts)
+        if len(asked) > 1:
+            asked = asked.sort_values(["at", "rid"], kind="stable")
+        # Groups are many and small: columns are made once, with their kinds.
+        rids, whats, sources, founds, lefts = asked["rid"].to_numpy(), asked["op"].tolist(), [], [], []
+        for at, what in zip(asked["at"].tolist(), whats):
             source, found, left, expires, logged = answer(what, int(at), expires, logged, lifetime)
-            out.append((group[0], rid, what, source, found, None if left is None else left / ticks_per_second))
+            sources.append(source)
+            founds.append(found)
+            lefts.append(np.nan if left is None else left / ticks_per_second)
         state.update((expires, logged))
         if late_by is not None and expires != GONE:
             # Not before the watermark, which a timer may not precede.
             state.setTimeoutTimestamp(max(expires * 1000 // ticks_per_second, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["key", "rid", "op", "source", "found", "remaining_seconds"]).astype(
-            {"source": object, "remaining_seconds": float})
+        yield pd.DataFrame({"key": [group[0]] * len(rids), "rid": rids, "op": whats, "source": np.array(sources, object),
+                            "found": founds, "remaining_seconds": np.array(lefts)})
 
     made = rows.groupBy("key").applyInPandasWithState(
         run, f"key {kinds[0]}, rid {kinds[1]}, op string, source string, found boolean, remaining_seconds double",

@@ -63,3 +63,25 @@ def test_unknown_requests_and_lifetimes_raise(spark):
         lookups.answer("peek", 0, 0, False, 1)
     with pytest.raises(ValueError, match="lifetime"):
         lookups.answered(frame(spark, []), "id", "ts", "rid", 0)
+
+
+def test_many_small_groups_share_a_batch_and_one_is_longer(spark):
+    """Blocks of many ids are cut out of sorted batches; one id's block goes over several."""
+    rng = np.random.default_rng(11)
+    ids = [f"u{int(i)}" for i in np.where(rng.random(900) < 0.3, 0, rng.integers(1, 120, 900))]
+    at = np.sort(rng.integers(0, 3_000_000, 900)).tolist()
+    requests = spark.createDataFrame([(i, k, t) for i, (k, t) in enumerate(zip(ids, at))], "rid bigint, id string, at bigint").select(
+        "rid", "id", F.timestamp_micros(F.col("at") * 1000).alias("ts"))
+    expires, want = {}, {}
+    for i, (k, t) in enumerate(zip(ids, at)):
+        want[i] = "cache" if t < expires.get(k, -1) else "database" if k in expires else "model"
+        if want[i] != "cache":
+            expires[k] = t + 20_000
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+    try:
+        found = lifetimes.lookup_sources(requests, "id", "ts", "rid", 20)
+        plan = found._jdf.queryExecution().toString()
+        assert "MapInPandas" in plan and "FlatMapGroupsInPandas" not in plan
+        assert {r.rid: r.source for r in found.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
