@@ -261,3 +261,20 @@ def test_looked_up_values_equal_the_walk(depth):
     for t in range(4):
         want = explain._tree_values(x, forest, t, explain._walk_of(forest.feature[t], forest.cover[t]))
         assert explain._looked_up(x, forest, t, *explain._path_tables(forest, t)) == pytest.approx(want, abs=1e-12)
+
+
+def test_preparing_joins_once(spark, monkeypatch):
+    """The passes that find the cuts read the transactions, not the join; rows and parts are those of the joined table."""
+    rows = [(i, (i * 37) % 50, float(i), i % 2) for i in range(200)]
+    transactions = spark.createDataFrame(rows, f"{fixed.ID} bigint, {fixed.TIME} bigint, TransactionAmt double, {fixed.TARGET} int")
+    identity = spark.createDataFrame([(i, f"d{i}") for i in range(0, 200, 3)], f"{fixed.ID} bigint, DeviceInfo string")
+    seen, real = [], risk.split.temporal_split
+    monkeypatch.setattr(risk.split, "temporal_split", lambda df, *more: (seen.append(df), real(df, *more))[1])
+    got = risk.prepare(spark, transactions, identity, work_path(spark, "prepared-test"))
+    assert len(seen) == 1 and "Join" not in seen[0]._jdf.queryExecution().toString()
+    monkeypatch.undo()
+    want = real(risk.joins.join_one_to_one(transactions, identity, fixed.ID), fixed.TIME, fixed.ID)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == 200
+    with pytest.raises(Exception):
+        risk.prepare(spark, transactions, identity.unionAll(identity), work_path(spark, "prepared-test"))
