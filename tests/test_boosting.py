@@ -165,6 +165,30 @@ def test_columns_of_few_cells_are_counted_together():
     assert np.array_equal(found, want)
 
 
+def test_two_bundles_are_added_in_one_pass():
+    """Nodes of many rows take joint codes, small ones the bundles' own; the sums are the same."""
+    rng = np.random.default_rng(4)
+    widths = np.array([60, 70, 256, 250, 200])
+    bins = np.stack([rng.integers(0, w, 80_000) for w in widths]).astype(np.uint8)
+    bundles = boosting.bundled(bins, widths)
+    pairs = boosting.paired(bundles)
+    assert sorted(i for _, members in pairs for i in members) == list(range(len(bundles)))
+    assert sum(joint is not None for joint, _ in pairs) == 2
+    gh = rng.integers(-1000, 1000, 80_000) + 1j * rng.integers(0, 1000, 80_000)
+    for rows in (np.arange(80_000), np.arange(0, 80_000, 5), np.arange(0, 80_000, 1000)):
+        for columns in (np.arange(5), np.array([0, 2, 4])):
+            found = boosting.joint_sums(bundles, pairs, rows, gh, columns, widths)
+            want = [np.concatenate([np.bincount(bins[f, rows], v[rows], widths[f]) for f in columns]) for v in (gh.real, gh.imag)]
+            assert np.array_equal(found, want)
+
+
+def test_rows_are_drawn_by_whole_numbers():
+    """The same rows as by comparing the uniform numbers, shares of one and next to it included."""
+    rows = np.arange(50_000)
+    for share in (1.0, 1 - 2.0 ** -53, 0.8, 1 / 3, 2.0 ** -53):
+        assert np.array_equal(boosting.below_share(rows, 12345, share), boosting.mix(rows, 12345) < share)
+
+
 def test_a_tree_over_several_blocks_takes_a_job_per_level(spark):
     """And none for its margins, which come with the next tree; 1,000 trees are 6,000 jobs or so."""
     x, y, w = data(300, seed=9)
