@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import math
 import string
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwarden.llm.common import LOWER, as_bytes, map_batches
+from cardwarden.llm.common import LOWER, each_bytes, map_batches
 
 MIN_WORDS = 5
 EDITS_PER_WORD = 5          # one edit is allowed for so many words of an item
@@ -30,7 +30,7 @@ SAMPLED = 2                 # positions of the walk that make one key
 RECALL = 0.99
 TRIALS, FIRST_ROUNDS, MAX_ROUNDS = 300, 16, 256
 BLOCK_ITEMS, BLOCK_CHARS = 5_000, 8_000_000
-WORD_CACHE = 500_000
+WORD_CACHE = 1 << 16
 ODD = np.uint64(0x9E3779B97F4A7C15)
 PUNCTUATION = string.punctuation.encode()
 
@@ -254,10 +254,10 @@ def blocks(items: DataFrame, key: str, text: str) -> Iterator[Block]:
         yield Block(held)
 
 
-PIECE = 500_000  # words looked at together
+PIECE = 1 << 17  # words looked at together
 
 
-def _batch_matches(block: Block, digests: Digests, texts: list[bytes | None]) -> dict[tuple[int, int], int]:
+def _batch_matches(block: Block, digests: Digests, texts: Iterable[bytes | None]) -> dict[tuple[int, int], int]:
     found, words, docs = {}, [], []
 
     def flush():
@@ -300,7 +300,7 @@ def leaked(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "
         digests = Digests()
 
         def run(batch: pa.RecordBatch, block=block, digests=digests) -> pa.RecordBatch:
-            found = sorted(_batch_matches(block, digests, as_bytes(batch, "t")).items())
+            found = sorted(_batch_matches(block, digests, each_bytes(batch, "t")).items())
             at = pa.array([row for (row, _), _ in found], pa.int64())
             return pa.RecordBatch.from_arrays(
                 [batch.column("k").take(at), pa.array([block.ids[i] for (_, i), _ in found], arrow_item),
@@ -321,7 +321,7 @@ def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_ke
         digests = Digests()
 
         def run(batch: pa.RecordBatch, block=block, digests=digests) -> pa.RecordBatch:
-            gone = {row for row, _ in _batch_matches(block, digests, as_bytes(batch, text))}
+            gone = {row for row, _ in _batch_matches(block, digests, each_bytes(batch, text))}
             return batch.filter(pa.array([i not in gone for i in range(batch.num_rows)]))
 
         docs = map_batches(docs, run, docs.schema)
