@@ -6,8 +6,11 @@ of a feature meet in one reducer, and only the best split of each node and featu
 driver; few bytes of sums are added up there.  Rows never move; a block keeps its margins, checkpointed
 in the shared folder.  Sums are taken in whole numbers, so blocks, retries and orders cannot change a tree.
 
-A table of one block (``ROWS_PER_BLOCK`` rows at most) has nothing to exchange, so its sums are
-complete inside the task and a job grows ``TREES_PER_JOB`` trees by the same steps.
+Rows equal in all cells, label and weight have one margin and one gradient for good, so a block holds
+them as one entry with the numbers of its rows; what a tree draws of an entry is a count.  A table of
+``ROWS_PER_BLOCK`` entries at most has nothing to exchange: sums are complete inside one task, which
+grows up to ``TREES_PER_JOB`` trees a job by the same steps.  The rows stay where they are, spread over
+all tasks, which count the draws of these trees.
 """
 
 from __future__ import annotations
@@ -27,6 +30,8 @@ from cardwarden.session import materialise, use_checkpoints
 
 ROWS_PER_BLOCK = 1 << 20
 TREES_PER_JOB = 100
+# Rows from which another task counts draws, bytes of counts that a job of many trees takes at most.
+DRAW_ROWS, DRAWN_BYTES = 1 << 16, 1 << 25
 CHECKPOINT_TREES = 10
 BYTES_TO_DRIVER = 1 << 25
 BUNDLE_CODES = 1024
@@ -275,28 +280,48 @@ def whole_scale(total_weight: float) -> float:
 
 
 def gradients(block, margin: np.ndarray, s: Settings, tree: int, scale: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Whole-number gradients and Hessians, and which rows the tree draws."""
-    gh, drawn = joint_gradients(block, margin, s, tree, scale)
-    return gh.real, gh.imag, drawn
+    """Whole-number gradients and Hessians of rows, and which of them the tree draws."""
+    gh = joint_gradients(*block[2:4], margin, scale)
+    return gh.real, gh.imag, drawn_rows(block[1], s, tree)
 
 
-def joint_gradients(block, margin: np.ndarray, s: Settings, tree: int, scale: float) -> tuple[np.ndarray, np.ndarray]:
-    """Gradients and Hessians as the two parts of complex numbers, and the draw; some rows at a time."""
-    gh, drawn = np.empty(len(margin), complex), np.empty(len(margin), bool)
+def joint_gradients(label: np.ndarray, weight: np.ndarray, margin: np.ndarray, scale: float) -> np.ndarray:
+    """Gradients and Hessians as the two parts of complex numbers; some rows at a time."""
+    gh = np.empty(len(margin), complex)
     for i in range(0, len(margin), ROWS_AT_ONCE):
         some = slice(i, i + ROWS_AT_ONCE)
-        row, label, weight = (a[some] for a in block[1:4])
         p = np.negative(margin[some])
         np.exp(p, out=p)
         p += 1.0
         np.divide(1.0, p, out=p)
-        scaled = weight * scale  # a power of two, so the place of this factor changes no bit
-        np.rint(scaled * (p - label), out=gh.real[some])
+        scaled = weight[some] * scale  # a power of two, so the place of this factor changes no bit
+        np.rint(scaled * (p - label[some]), out=gh.real[some])
         scaled *= p
         scaled *= np.subtract(1.0, p, out=p)
         np.rint(scaled, out=gh.imag[some])
-        drawn[some] = below_share(row, (s.seed + 1) * 1_000_003 + tree * 7919, s.row_share)
-    return gh, drawn
+    return gh
+
+
+def drawn_rows(row: np.ndarray, s: Settings, tree: int) -> np.ndarray:
+    drawn = np.empty(len(row), bool)
+    for i in range(0, len(row), ROWS_AT_ONCE):
+        some = slice(i, i + ROWS_AT_ONCE)
+        drawn[some] = below_share(row[some], (s.seed + 1) * 1_000_003 + tree * 7919, s.row_share)
+    return drawn
+
+
+def drawn_counts(row: np.ndarray, starts: np.ndarray, s: Settings, tree: int) -> np.ndarray:
+    """How many rows of each entry the tree draws; an entry's rows begin at its start."""
+    through = np.cumsum(drawn_rows(row, s, tree), dtype=np.int64)
+    counts = np.diff(through[np.append(starts[1:], len(row)) - 1], prepend=0)
+    return counts.astype(np.uint8 if np.diff(starts, append=len(row)).max() < 256 else np.int64)
+
+
+def weighed(gh: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Entries' gradients times their drawn rows, whole as before."""
+    gh.real *= counts
+    gh.imag *= counts
+    return gh
 
 
 def leaf_weight(g, h, s: Settings):
@@ -530,17 +555,17 @@ def add_values(margin: np.ndarray, bins: np.ndarray, widths: np.ndarray, tree, v
     margin += added
 
 
-def grow_here(block, margin: np.ndarray, first: int, count: int, cuts, s: Settings, scale: float) -> tuple[Forest, np.ndarray]:
-    """``count`` trees from one block's own sums, and its new margin."""
-    bins, bundles, pairs, widths = block[0], block[4], block[5], widths_of(cuts)
-    forest = Forest.empty(count, s.depth, len(bins))
+def grow_here(block, margin: np.ndarray, drawn: np.ndarray, first: int, cuts, s: Settings, scale: float) -> tuple[Forest, np.ndarray]:
+    """A tree for each row of ``drawn``, the entries' counts, from one block's own sums; and its new margin."""
+    bins, label, weight, bundles, pairs = block
+    widths, forest = widths_of(cuts), Forest.empty(len(drawn), s.depth, len(bins))
     margin = margin.copy()
-    for t in range(count):
+    for t, counts in enumerate(drawn):
         columns = drawn_columns(s, first + t, len(bins))
-        gh, drawn = joint_gradients(block, margin, s, first + t, scale)
+        gh = weighed(joint_gradients(label, weight, margin, scale), counts)
         cell = np.zeros(forest.feature.shape[1], np.int64)
         tree = (forest.feature[t], cell, forest.missing_left[t])
-        members = {0: np.flatnonzero(drawn)}
+        members = {0: np.flatnonzero(counts)}
 
         def counted(small, tree=tree, columns=columns, gh=gh, members=members):
             for p in [(n - 1) // 2 for n in small if n]:
@@ -548,8 +573,8 @@ def grow_here(block, margin: np.ndarray, first: int, count: int, cuts, s: Settin
             return np.stack([joint_sums(bundles, pairs, members[n], gh, columns, widths) for n in small], axis=1)
 
         grow_tree(split_by_sums(counted, columns, widths, s, scale), forest, t, cell, cuts, s)
-        # The last level's splits and the rows that were not drawn are still to be walked.
-        add_values(margin, bins, widths, tree, forest.value[t], [*members.items(), (0, np.flatnonzero(~drawn))])
+        # The last level's splits and the entries without a drawn row are still to be walked.
+        add_values(margin, bins, widths, tree, forest.value[t], [*members.items(), (0, np.flatnonzero(counts == 0))])
     return forest, margin
 
 
@@ -564,10 +589,11 @@ def grow_apart(state: RDD, forest: Forest, t: int, cuts, s: Settings, scale: flo
     spread = max(1, min(reducers, len(columns)))
 
     def local(pair, tree, nodes):
-        block, margin = pair
-        gh, drawn = joint_gradients(block, margin, s, t, scale)
-        members = rows_of(block[0], widths, np.flatnonzero(drawn), tree, nodes)
-        return np.stack([joint_sums(block[4], block[5], members[n], gh, columns, widths) for n in nodes], axis=1)
+        (bins, label, weight, bundles, pairs, row, starts), margin = pair
+        counts = drawn_counts(row, starts, s, t)
+        gh = weighed(joint_gradients(label, weight, margin, scale), counts)
+        members = rows_of(bins, widths, np.flatnonzero(counts), tree, nodes)
+        return np.stack([joint_sums(bundles, pairs, members[n], gh, columns, widths) for n in nodes], axis=1)
 
     def shape():
         return forest.feature[t].copy(), cell.copy(), forest.missing_left[t].copy()
@@ -591,27 +617,53 @@ def grow_apart(state: RDD, forest: Forest, t: int, cuts, s: Settings, scale: flo
 
 
 def packed(rows: DataFrame, cuts: list[np.ndarray], parts: int) -> RDD:
-    """One block (cells, row number, label, weight, bundles, pairs) per partition, in the order of row numbers."""
+    """One block (cells, label, weight by entry; row numbers, each entry's first one) per partition.
+
+    Rows are dealt in ranges of all that makes an entry and the row number, so an entry of very many
+    rows spreads over several blocks, where it is an entry of each.
+    """
+    names = ["bins", "label", "weight", "row"]
+
+    def put(batches):
+        for b in batches:
+            if b.num_rows:
+                bins = np.ascontiguousarray(cells(matrix(b.column("x")), cuts).T)
+                bins = pa.FixedSizeBinaryArray.from_buffers(pa.binary(len(cuts)), len(bins), [None, pa.py_buffer(bins)])
+                yield pa.RecordBatch.from_arrays([bins.cast(pa.binary()), *[b.column(c) for c in names[1:]]], names)
+
     def pack(batches):
-        got = [(cells(matrix(b.column("x")), cuts), *[b.column(c).to_numpy() for c in ("row", "label", "weight")])
-               for b in batches if b.num_rows]
+        got = [(np.frombuffer(b"".join(b.column("bins").to_pylist()), np.uint8).reshape(b.num_rows, -1),
+                *[b.column(c).to_numpy() for c in names[1:]]) for b in batches if b.num_rows]
         if got:
-            bins, row, label, weight = (np.concatenate(a, axis=-1) for a in zip(*got))
-            order = np.argsort(row, kind="stable")
-            yield pa.RecordBatch.from_pydict({
-                "bins": pa.array([np.ascontiguousarray(bins[:, order]).tobytes()], pa.binary()),
-                **{c: pa.array([v[order].tobytes()], pa.binary())
-                   for c, v in (("row", row.astype(np.int64)), ("label", label), ("weight", weight))}})
+            bins, label, weight, row = (np.concatenate(a) for a in zip(*got))
+            other = (label[1:] != label[:-1]) | (weight[1:] != weight[:-1])
+            for f in range(bins.shape[1]):
+                other |= bins[1:, f] != bins[:-1, f]
+            starts = np.flatnonzero(np.append(True, other))
+            made = {"bins": np.ascontiguousarray(bins[starts].T), "label": label[starts], "weight": weight[starts],
+                    "row": row.astype(np.int64), "starts": starts}
+            yield pa.RecordBatch.from_pydict({c: pa.array([v.tobytes()], pa.binary()) for c, v in made.items()})
 
-    widths = widths_of(cuts)
-    made = rows.repartition(parts, "row").mapInArrow(pack, "bins binary, row binary, label binary, weight binary")
+    made = rows.select("x", *names[1:]).mapInArrow(put, "bins binary, label double, weight double, row bigint").repartitionByRange(
+        parts, *names).sortWithinPartitions(*names).mapInArrow(
+        pack, "bins binary, label binary, weight binary, row binary, starts binary")
+    return made.rdd.map(lambda r: (
+        np.frombuffer(bytes(r.bins), np.uint8).reshape(len(cuts), -1), np.frombuffer(bytes(r.label)), np.frombuffer(bytes(r.weight)),
+        np.frombuffer(bytes(r.row), np.int64), np.frombuffer(bytes(r.starts), np.int64)))
 
-    def block(r):
-        bins = np.frombuffer(bytes(r.bins), np.uint8).reshape(len(widths), -1)
-        bundles = bundled(bins, widths)
-        return (bins, np.frombuffer(bytes(r.row), np.int64), np.frombuffer(bytes(r.label)), np.frombuffer(bytes(r.weight)),
-                bundles, paired(bundles))
-    return made.rdd.map(block)
+
+def counted_together(bins: np.ndarray, label: np.ndarray, weight: np.ndarray, widths: np.ndarray) -> tuple:
+    """A block's entries, ready to be added up: (cells, label, weight, bundles, pairs)."""
+    bundles = bundled(bins, widths)
+    return bins, label, weight, bundles, paired(bundles)
+
+
+def in_one_task(blocks: RDD, some: Callable[[tuple], tuple]) -> RDD:
+    """Arrays of every block, joined along their last axis in the blocks' order, as one element."""
+    def joined(parts):
+        parts = [arrays for _, arrays in sorted(parts, key=lambda part: part[0])]
+        return [tuple(np.concatenate(a, axis=-1) for a in zip(*parts))]
+    return blocks.mapPartitionsWithIndex(lambda i, found: [(i, some(block)) for block in found]).repartition(1).mapPartitions(joined)
 
 
 def stored(rdd: RDD) -> RDD:
@@ -637,29 +689,45 @@ def fit(rows: DataFrame, s: Settings, rows_per_block: int = ROWS_PER_BLOCK) -> F
         raise ValueError("no rows to learn from")
     cuts = feature_cuts(rows, s.bins)
     scale = whole_scale(size.w)
-    parts, reducers = math.ceil(size.n / rows_per_block), spark.sparkContext.defaultParallelism
-    if parts > 1:  # as many blocks as the cores can take in equal turns
-        parts = math.ceil(parts / reducers) * reducers
-    return _grown(packed(rows, cuts, parts), cuts, s, scale, parts, reducers)
+    reducers = spark.sparkContext.defaultParallelism
+    if size.n <= rows_per_block:
+        parts = min(reducers, math.ceil(size.n / DRAW_ROWS))
+    else:  # as many blocks as the cores can take in equal turns
+        parts = math.ceil(math.ceil(size.n / rows_per_block) / reducers) * reducers
+    blocks = stored(packed(rows, cuts, parts))
+    entries = blocks.map(lambda block: len(block[1])).sum()
+    if entries <= rows_per_block:
+        forest = _grown_together(blocks, entries, cuts, s, scale)
+    else:
+        forest = _grown_apart(blocks, cuts, s, scale, reducers)
+    blocks.unpersist()
+    return forest
 
 
-def _grown(blocks: RDD, cuts, s: Settings, scale: float, parts: int, reducers: int) -> Forest:
+def _grown_together(blocks: RDD, entries: int, cuts, s: Settings, scale: float) -> Forest:
+    """All entries in one task, many trees a job; the blocks count what the trees draw."""
     forest, widths = Forest.empty(s.trees, s.depth, len(cuts)), widths_of(cuts)
-    state = stored(blocks.map(lambda block: (block, np.zeros(len(block[1])))))
-    if parts == 1:
-        blocks, state = state, state.map(lambda pair: (None, pair[1]))
-        for first in range(0, s.trees, TREES_PER_JOB):
-            count = min(TREES_PER_JOB, s.trees - first)
-            before = state
-            state = stored(blocks.zip(before).map(
-                lambda pair, first=first, count=count: grow_here(pair[0][0], pair[1][1], first, count, cuts, s, scale)))
-            before.unpersist()
-            grown = state.map(lambda pair: pair[0]).first()
-            for c in Forest.COLUMNS:
-                getattr(forest, c)[first:first + count] = getattr(grown, c)
-        state.unpersist()
-        blocks.unpersist()
-        return forest
+    whole = stored(in_one_task(blocks, lambda block: block[:3]).map(lambda arrays: counted_together(*arrays, widths)))
+    state = whole.map(lambda block: (None, np.zeros(len(block[1]))))
+    most = max(1, min(TREES_PER_JOB, DRAWN_BYTES // entries))
+    for first in range(0, s.trees, most):
+        trees, before = range(first, min(first + most, s.trees)), state
+        drawn = in_one_task(blocks, lambda block, trees=trees: (np.stack([drawn_counts(*block[3:], s, t) for t in trees]),))
+        state = stored(whole.zip(drawn).zip(before).map(lambda found, first=first: grow_here(
+            found[0][0], found[1][1], found[0][1][0], first, cuts, s, scale)))
+        before.unpersist()
+        grown = state.map(lambda pair: pair[0]).first()
+        for c in Forest.COLUMNS:
+            getattr(forest, c)[trees.start:trees.stop] = getattr(grown, c)
+    state.unpersist()
+    whole.unpersist()
+    return forest
+
+
+def _grown_apart(blocks: RDD, cuts, s: Settings, scale: float, reducers: int) -> Forest:
+    """A job per level over all blocks."""
+    forest, widths = Forest.empty(s.trees, s.depth, len(cuts)), widths_of(cuts)
+    state = stored(blocks.map(lambda block: ((*counted_together(*block[:3], widths), *block[3:]), np.zeros(len(block[1])))))
 
     def moved(pair, tree, value):
         block, margin = pair[0], pair[1].copy()

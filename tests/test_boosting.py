@@ -93,6 +93,38 @@ def test_blocks_do_not_change_the_forest(spark):
             assert np.array_equal(getattr(one, c), getattr(other, c), equal_nan=True), c
 
 
+def test_equal_rows_are_one_entry(spark, monkeypatch):
+    """Copies count as one entry, also across blocks; few entries need no job per level, however many their rows."""
+    x, y, w = data(150, seed=6)
+    copies = np.r_[np.repeat(np.arange(150), 20), np.full(900, 7)]
+    x, y, w = x[copies], y[copies], w[copies]
+    rows, s = stored_rows(spark, x, y, w), Settings(trees=3, depth=3, rate=0.3, row_share=0.6, column_share=0.8)
+    monkeypatch.setattr(boosting, "DRAWN_BYTES", 500)
+    one = boosting.fit(rows, s, rows_per_block=1000)
+    assert one.margins(x) == pytest.approx(by_hand(x, y, w, s)[0], abs=1e-7)
+    for parts in (1 << 20, 100):
+        other = boosting.fit(rows, s, rows_per_block=parts)
+        for c in boosting.Forest.COLUMNS:
+            assert np.array_equal(getattr(one, c), getattr(other, c), equal_nan=True), c
+    monkeypatch.undo()
+
+    def jobs(trees):
+        spark.sparkContext.setJobGroup(f"copies {trees}", "")
+        boosting.fit(rows, Settings(trees=trees, depth=3), rows_per_block=1000)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"copies {trees}"))
+    assert jobs(12) == jobs(2)
+
+
+def test_draws_are_counted_by_entry():
+    starts, row, s = np.array([0, 1, 4, 400]), np.random.default_rng(2).permutation(500), Settings(trees=1, row_share=0.7, seed=3)
+    drawn = boosting.drawn_rows(row, s, 5)
+    assert np.array_equal(drawn, boosting.mix(row, 4 * 1_000_003 + 5 * 7919) < 0.7)
+    counts = boosting.drawn_counts(row, starts, s, 5)
+    assert counts.tolist() == [int(part.sum()) for part in np.split(drawn, starts[1:])] and counts[2] > 255
+    assert boosting.drawn_counts(row, np.arange(500), s, 5).dtype == np.uint8
+
+
 def test_missing_values_take_the_side_that_gains(spark):
     v = np.array([0.0, 1, 2, 3, np.nan, np.nan] * 10)
     y = np.array([0.0, 0, 1, 1, 1, 1] * 10)
