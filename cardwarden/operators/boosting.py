@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from cardwarden.session import materialise, use_checkpoints
 
 ROWS_PER_BLOCK = 1 << 20
-TREES_PER_JOB = 100
+TREES_PER_JOB = 500
 # Rows from which another task counts draws, bytes of counts that a job of many trees takes at most.
 DRAW_ROWS, DRAWN_BYTES = 1 << 16, 1 << 25
 CHECKPOINT_TREES = 10
@@ -716,7 +716,7 @@ def _grown_together(blocks: RDD, entries: int, cuts, s: Settings, scale: float)
         state = stored(whole.zip(drawn).zip(before).map(lambda found, first=first: grow_here(
             found[0][0], found[1][1], found[0][1][0], first, cuts, s, scale)))
         before.unpersist()
-        grown = state.map(lambda pair: pair[0]).first()
+        grown = state.map(lambda pair: pair[0]).collect()[0]
         for c in Forest.COLUMNS:
             getattr(forest, c)[trees.start:trees.stop] = getattr(grown, c)
     state.unpersist()
