@@ -114,3 +114,16 @@ def test_whole_ranks_over_the_full_range(spark):
     found = split.whole_at_ranks(spark.createDataFrame([(v,) for v in values], "v bigint"), "v", list(range(9)))
     assert {r: v for r, (v, _) in found.items()} == dict(enumerate(values))
     assert all(below == sum(x < v for x in values) for v, below in found.values())
+
+
+def test_a_column_per_feature_narrows_as_rows_do(spark, monkeypatch):
+    """Few columns are narrowed in one expression a row, with the values of the unpivoted table."""
+    rng = np.random.default_rng(5)
+    columns = {"a": rng.lognormal(size=4000), "b": np.round(rng.normal(size=4000)), "c d": np.full(4000, 7.0), "none": np.full(4000, np.nan)}
+    columns["a"][rng.random(4000) < 0.2] = np.nan
+    df = spark.createDataFrame(pd.DataFrame(columns)).repartition(3)
+    wide = ordering.exact_quantiles(df, list(columns), [0.1, 0.5, 0.9])
+    monkeypatch.setattr(ordering, "_narrow_wide", None)
+    monkeypatch.setattr(ordering, "WIDE_INTERVALS", 0)
+    assert wide == ordering.exact_quantiles(df, list(columns), [0.1, 0.5, 0.9])
+    assert wide["a"] == pytest.approx(np.nanquantile(columns["a"], [0.1, 0.5, 0.9])) and wide["none"] == [None] * 3
