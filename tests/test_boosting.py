@@ -307,3 +307,47 @@ def test_precision_by_tree_ships_arrays_and_cells_add_up(spark, monkeypatch):
         for part, keep in (("a", np.arange(1500) % 3 == 0), ("b", np.arange(1500) % 3 > 0)):
             for t in (0, 4, 11):
                 assert got[part, t + 1] == pytest.approx(wanted(keep, t), abs=1e-12)
+
+
+def test_tasks_side_by_side_grow_the_same_forest(spark, monkeypatch):
+    """A few jobs for any number of trees, and the trees of one task and of a job per level to the last bit."""
+    x, y, w = data(400, seed=12)
+    copies = np.r_[np.arange(400), np.full(90, 3), np.arange(60)]
+    x, y, w = x[copies], y[copies], w[copies]
+    rows, s = stored_rows(spark, x, y, w), Settings(trees=4, depth=4, row_share=0.7, column_share=0.6, l2=2.0, seed=5)
+    one, apart = boosting.fit(rows, s), boosting.fit(rows, s, rows_per_block=80)
+    monkeypatch.setattr(boosting, "ENTRIES_A_TASK", 50)
+    made = []
+    monkeypatch.setattr(boosting, "_grown_side_by_side", lambda *a, grown=boosting._grown_side_by_side: made.append(a) or grown(*a))
+    for parts in (1 << 20, 80):
+        beside = boosting.fit(rows, s, rows_per_block=parts)
+        for other in (one, apart):
+            for c in boosting.Forest.COLUMNS:
+                assert np.array_equal(getattr(beside, c), getattr(other, c), equal_nan=True), c
+    assert len(made) == 2 and made[0][1] > 1
+
+    def jobs(trees):
+        spark.sparkContext.setJobGroup(f"beside {trees}", "")
+        boosting.fit(rows, Settings(trees=trees, depth=3, child_weight=0.1), rows_per_block=80)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"beside {trees}"))
+    assert jobs(9) == jobs(2)
+    # A level's sums that are many bytes, or a folder that only Spark reads: as before.
+    monkeypatch.setattr(boosting, "mounted", lambda spark, path: None)
+    assert boosting._side_by_side(spark, 1000, [np.arange(3)], s) == (0, None)
+    monkeypatch.undo()
+    monkeypatch.setattr(boosting, "BYTES_TO_DRIVER", 100)
+    assert boosting._side_by_side(spark, 1 << 20, [np.arange(3)], s) == (0, None)
+
+
+def test_entries_are_dealt_out_with_their_rows():
+    rng = np.random.default_rng(4)
+    starts, row = np.array([0, 1, 4, 9, 10, 12, 20]), rng.permutation(31)
+    block = (rng.integers(0, 9, (3, 7)).astype(np.uint8), np.arange(7.0), np.arange(7.0) * 2, row, starts)
+    rows_of_entry = np.split(row, starts[1:])
+    found = dict(boosting.dealt_out(block, 3))
+    assert sorted(found) == [0, 1, 2]
+    for task, (bins, label, weight, own, begins) in found.items():
+        assert np.array_equal(bins, block[0][:, task::3]) and np.array_equal(weight, 2 * label)
+        assert [a.tolist() for a in np.split(own, begins[1:])] == [rows_of_entry[int(e)].tolist() for e in label]
+    assert sorted(dict(boosting.dealt_out(block, 9))) == list(range(7))
