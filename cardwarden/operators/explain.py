@@ -118,54 +118,86 @@ def _tree_values(x: np.ndarray, forest: boosting.Forest, t: int, walk: _Walk) ->
     return values
 
 
-def _path_tables(forest: boosting.Forest, t: int) -> tuple[list[tuple], list[tuple]]:
-    """A tree's splits downwards, and per leaf its values by which of its path's features the row follows.
+def _path_tables(forest: boosting.Forest, t: int) -> tuple[list[int], list[tuple]]:
+    """A tree's upper splits, and the subtrees of ``SUBTREE_DEPTH`` levels below them with their leaves' values.
 
-    A split is (node, feature, bit of the feature on the path, whether it is the path's first on it); a leaf's
-    table has a row per combination of bits, the values as in ``_tree_values``.
+    A subtree is (root, its splits, features on its leaves' paths, table): the table has a row per feature and a
+    column per combination of sides, left being 1, at the splits on the way to the root and inside, the first one
+    the highest bit.  A leaf's values depend only on which of its path's features the row follows.
     """
     points, weights = _quadrature(forest.depth)
-    splits, leaves, open_nodes = [], [], [(0, (), ())]
-    while open_nodes:
-        node, features, shares = open_nodes.pop()
+    top = 2 ** max(0, forest.depth - SUBTREE_DEPTH) - 1
+    upper, inner, leaves, open_nodes = [], {}, {}, [(0, (), (), ())]
+    for node, way, features, shares in open_nodes:  # level by level
+        root = node
+        while root > 2 * top:
+            root = (root - 1) // 2
         f = int(forest.feature[t, node])
         if f < 0:
-            leaves.append((node, features, shares))
+            leaves.setdefault(len(features), []).append((node, root, way, features, shares))
             continue
-        first = f not in features
-        bit = len(features) if first else features.index(f)
-        splits.append((node, f, bit, first))
-        for child in (2 * node + 1, 2 * node + 2):
+        if node < top:
+            upper.append(node)
+        else:
+            inner.setdefault(root, []).append(node)
+        bit = features.index(f) if f in features else len(features)
+        for child, left in ((2 * node + 1, True), (2 * node + 2, False)):
             part = forest.cover[t, child] / forest.cover[t, node]
-            open_nodes.append((child, (*features, f), (*shares, part)) if first else (
-                child, features, (*shares[:bit], shares[bit] * part, *shares[bit + 1:])))
-    tables = []
-    for k in {len(features) for _, features, _ in leaves} - {0}:
-        some = [leaf for leaf in leaves if len(leaf[1]) == k]
-        share = np.array([shares for _, _, shares in some])[:, None]
+            open_nodes.append((child, (*way, (node, left, bit)), (*features, f), (*shares, part)) if bit == len(features) else (
+                child, (*way, (node, left, bit)), features, (*shares[:bit], shares[bit] * part, *shares[bit + 1:])))
+    groups: dict[int, dict[int, np.ndarray]] = {}
+    sides: dict[int, dict[int, np.ndarray]] = {}  # root -> split -> for every combination whether its side is the left one
+    for k, some in leaves.items():
+        if not k:
+            continue
+        share = np.array([leaf[4] for leaf in some])[:, None]
         moved = (np.arange(2 ** k)[:, None] >> np.arange(k) & 1) - share
         factor = share + points[:, None, None, None] * moved
         others = np.tensordot(weights, factor.prod(axis=3, keepdims=True) / factor, 1)
-        values = moved * others * forest.value[t, [node for node, _, _ in some]][:, None, None]
-        for (node, features, _), own in zip(some, values):
-            table = np.zeros((2 ** k, forest.width))
-            table[:, list(features)] = own
-            tables.append((node, table))
-    return splits, tables
-
-
-def _looked_up(x: np.ndarray, forest: boosting.Forest, t: int, splits: list[tuple], tables: list[tuple]) -> np.ndarray:
-    """Shapley values of one tree for a batch: every row's bits, walked down, pick a row of each leaf's table."""
-    values, codes = np.zeros(x.shape), {0: np.zeros(len(x), np.uint8)}
-    for node, f, bit, first in splits:
-        v, code = x[:, f], codes.pop(node)
-        left = np.where(np.isnan(v), forest.missing_left[t, node], v < forest.cut[t, node])
-        for child, inside in ((2 * node + 1, left), (2 * node + 2, ~left)):
-            mark = inside.astype(np.uint8) << np.uint8(bit)
-            codes[child] = code | mark if first else code & (mark | np.uint8(255 - (1 << bit)))
-    for node, table in tables:
-        values += table.take(codes[node], axis=0)
-    return values
+        values = moved * others * forest.value[t, [leaf[0] for leaf in some]][:, None, None]
+        for (_, root, way, features, _), own in zip(some, values):
+            if root not in sides:
+                splits = [*[node for node, _, _ in way if node < top], *inner.get(root, ())]
+                every = np.arange(2 ** len(splits))
+                sides[root] = {node: (every >> i & 1).astype(bool) for i, node in enumerate(splits[::-1])}
+            follows: dict[int, np.ndarray] = {}
+            for node, left, bit in way:
+                side = sides[root][node] if left else ~sides[root][node]
+                follows[bit] = follows[bit] & side if bit in follows else side
+            code = sum(follows[bit].astype(np.intp) << bit for bit in range(k))
+            held = groups.setdefault(root, {})
+            for f, column in zip(features, np.ascontiguousarray(own.T)):
+                held[f] = held[f] + column.take(code) if f in held else column.take(code)
+    return upper, [(root, inner.get(root, []), list(held), np.array(list(held.values()))) for root, held in groups.items()]
+
+
+def _looked_up(x: np.ndarray, forest: boosting.Forest, t: int, upper: list[int], groups: list[tuple]) -> np.ndarray:
+    """Shapley values of one tree for a batch: a row's sides at the splits pick a column of each subtree's table."""
+    values = np.zeros(x.shape[::-1])
+    add_looked_up(values, np.ascontiguousarray(x.T), np.isnan(x).any(axis=0), forest, t, upper, groups)
+    return values.T
+
+
+def add_looked_up(values: np.ndarray, x: np.ndarray, gaps: np.ndarray, forest: boosting.Forest, t: int,
+                  upper: list[int], groups: list[tuple]) -> None:
+    """One tree's values added to (features, rows); ``gaps`` tells which features have missing values."""
+    def turned(code, node):
+        f = forest.feature[t, node]
+        left = x[f] < forest.cut[t, node]
+        if gaps[f] and forest.missing_left[t, node]:
+            left |= np.isnan(x[f])
+        return code << np.uint16(1) | left
+
+    codes = {0: np.zeros(x.shape[1], np.uint16)}
+    for node in upper:
+        codes[2 * node + 1] = codes[2 * node + 2] = turned(codes.pop(node), node)
+    for root, inner, features, table in groups:
+        code = codes[root]
+        for node in inner:
+            code = turned(code, node)
+        code = code.astype(np.intp)
+        for f, column in zip(features, table):
+            values[f] += column.take(code, mode="clip")
 
 
 def expected_margin(forest: boosting.Forest) -> float:
@@ -176,8 +208,25 @@ def expected_margin(forest: boosting.Forest) -> float:
 
 
 ROWS_AT_ONCE = 256
-# Trees this deep at most have their leaves' values looked up: 64 leaves with 64 rows each.
+# Trees this deep at most have their leaves' values looked up: 8 subtrees with 1,024 combinations of sides each.
 LOOKED_UP_DEPTH = 6
+SUBTREE_DEPTH = 3
+# Rows that go down a tree together, and numbers of rows for which a tree's tables are made once.
+LOOKED_UP_ROWS, VALUES_AT_ONCE = 8192, 1 << 21
+
+
+def _gathered(batches, rows: int):
+    """Batches put together until they have so many rows; empty ones are left out."""
+    held, size = [], 0
+    for pdf in batches:
+        if len(pdf):
+            held.append(pdf)
+            size += len(pdf)
+        if size >= rows and held:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if held:
+        yield pd.concat(held, ignore_index=True)
 
 
 def tree_attributions(model: RiskModel, df: DataFrame, key: str) -> DataFrame:
@@ -195,14 +244,15 @@ def tree_attributions(model: RiskModel, df: DataFrame, key: str) -> DataFrame:
     def run(batches):
         forest = boosting.Forest(**shared.value)
         if forest.depth <= LOOKED_UP_DEPTH:
-            for pdf in batches:
-                x = np.asfortranarray(np.stack(pdf["x"].to_numpy())) if len(pdf) else np.zeros((0, forest.width))
-                values = np.zeros(x.shape)
+            for pdf in _gathered(batches, VALUES_AT_ONCE // forest.width):
+                x = np.stack(pdf["x"].to_numpy()).T
+                chunks = [np.ascontiguousarray(x[:, i:i + LOOKED_UP_ROWS]) for i in range(0, x.shape[1], LOOKED_UP_ROWS)]
+                gaps, values = np.isnan(x).any(axis=1), [np.zeros(c.shape) for c in chunks]
                 for t in range(len(forest)):
-                    splits, tables = _path_tables(forest, t)
-                    for i in range(0, len(x), 8 * ROWS_AT_ONCE):
-                        values[i:i + 8 * ROWS_AT_ONCE] += _looked_up(x[i:i + 8 * ROWS_AT_ONCE], forest, t, splits, tables)
-                yield pd.DataFrame({key: pdf[key], "values": list(values), "base": base})
+                    tables = _path_tables(forest, t)
+                    for chunk, own in zip(chunks, values):
+                        add_looked_up(own, chunk, gaps, forest, t, *tables)
+                yield pd.DataFrame({key: pdf[key], "values": list(np.concatenate(values, axis=1).T.copy()), "base": base})
             return
         walks = [_walk_of(f, c) for f, c in zip(forest.feature, forest.cover)]
         for pdf in batches:

@@ -278,3 +278,21 @@ def test_preparing_joins_once(spark, monkeypatch):
     assert got.select(want.columns).exceptAll(want).count() == 0 and got.count() == 200
     with pytest.raises(Exception):
         risk.prepare(spark, transactions, identity.unionAll(identity), work_path(spark, "prepared-test"))
+
+
+def test_rows_share_a_trees_tables(spark, monkeypatch):
+    """Batches are put together, so that a tree's tables are made once for many rows; chunks and gaps change no value."""
+    rng = np.random.default_rng(11)
+    forest = boosting.Forest.empty(1, 6, 4)
+    forest.feature[0, :63] = rng.integers(0, 3, 63)
+    forest.cut[0], forest.missing_left[0] = rng.normal(size=127), rng.random(127) < 0.5
+    forest.cover[0] = 1.0 / 2 ** np.floor(np.log2(np.arange(127) + 1))
+    forest.value[0, 63:] = rng.normal(size=64)
+    upper, groups = explain._path_tables(forest, 0)
+    assert len(upper) == 7 and len(groups) == 8 and all(table.shape[1] == 1024 for *_, table in groups)
+    x = np.where(rng.random((500, 4)) < 0.2, np.nan, rng.normal(size=(500, 4)))
+    want = explain._tree_values(x, forest, 0, explain._walk_of(forest.feature[0], forest.cover[0]))
+    assert explain._looked_up(x, forest, 0, upper, groups) == pytest.approx(want, abs=1e-12)
+    batches = [pd.DataFrame({"x": range(n)}) for n in (3, 0, 4, 5, 1)]
+    assert [len(b) for b in explain._gathered(batches, 6)] == [7, 6]
+    assert pd.concat(explain._gathered(batches, 6)).x.tolist() == pd.concat(batches).x.tolist()
