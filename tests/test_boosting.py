@@ -351,3 +351,31 @@ def test_entries_are_dealt_out_with_their_rows():
         assert np.array_equal(bins, block[0][:, task::3]) and np.array_equal(weight, 2 * label)
         assert [a.tolist() for a in np.split(own, begins[1:])] == [rows_of_entry[int(e)].tolist() for e in label]
     assert sorted(dict(boosting.dealt_out(block, 9))) == list(range(7))
+
+
+def test_equal_rows_go_through_the_curve_once(spark, monkeypatch):
+    """Copies are one row with their number, beyond 255 too, and every precision is that of all rows."""
+    x, y, _ = data(200, seed=13)
+    forest = boosting.fit(stored_rows(spark, x, y, np.ones(200)), Settings(trees=5, depth=3, rate=0.3, child_weight=0.5))
+    copies = np.r_[np.arange(200), np.repeat(np.arange(60), 5), np.full(400, 9)]
+    rows = materialise(spark.createDataFrame(pd.DataFrame(
+        {"part": "a", "x": list(x[copies]), "label": y[copies].astype(int)})).repartition(3), "parts")
+    seen = []
+    monkeypatch.setattr(boosting, "staged_margins", lambda rows, *a, staged=boosting.staged_margins: seen.append(rows.count()) or staged(rows, *a))
+    for most in (1 << 20, 50):
+        monkeypatch.setattr(boosting, "CELL_MARGINS", most)
+        got = {r.iteration: r.average_precision for r in boosting.average_precision_by_tree(rows, forest, "part", "label").collect()}
+        margins, hit = np.cumsum(forest.leaves(x[copies]), axis=1), y[copies] == 1
+        for t in range(5):
+            s = margins[:, t]
+            assert got[t + 1] == pytest.approx(sum((hit & (s >= v)).sum() / (s >= v).sum() for v in s[hit]) / hit.sum(), abs=1e-12)
+    assert seen == [200, 200]
+
+
+def test_counts_of_single_rows_are_their_draws():
+    row, s = np.random.default_rng(2).permutation(500), Settings(trees=1, row_share=0.7, seed=3)
+    counts = boosting.drawn_counts(row, np.arange(500), s, 5)
+    assert counts.dtype == np.uint8 and np.array_equal(counts, boosting.drawn_rows(row, s, 5))
+    gh = np.arange(500) * (1 + 2j)
+    weighed = boosting.weighed(gh.copy(), counts)
+    assert np.array_equal(weighed[counts == 1], gh[counts == 1]) and np.array_equal(boosting.weighed(gh.copy(), counts * 3), gh * counts * 3)
